@@ -50,6 +50,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_tmk_l": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]")),
         "_tmk_symbols": _count(text, SYMBOLS + "+").cast("long"),
         "_tmk_upper": _count(text, "\\p{Lu}+").cast("long"),
+        "_tmk_letters": _count(text, "\\p{L}+").cast("long"),
         "_tmk_bangs": _count(text, "!+").cast("long"),
         "_tmk_ends": _count(text, "[.!?](?=[ \\t-\\r]|$)").cast("long"),
     })
@@ -89,6 +90,7 @@ def votes() -> list[Column]:
         _vote(share("_tmk_repeats", 35), ~share("_tmk_repeats", 15)),
         _vote(100 * F.col("_tmk_dups") > 40 * F.col("_tmk_lines"), 100 * F.col("_tmk_dups") <= 20 * F.col("_tmk_lines")),
         _vote((chars < 2 * n) | (chars > 15 * n), (chars >= 3 * n) & (chars <= 11 * n)),
+        _vote(100 * F.col("_tmk_letters") < 75 * chars, 100 * F.col("_tmk_letters") > 85 * chars),
         _vote(200 * F.col("_tmk_ends") < n, 100 * F.col("_tmk_ends") > n),
     ]
 
@@ -112,7 +114,7 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
     """From (``_tmk_pattern``, ``_tmk_n``): ``_tmk_pattern`` and ``_tmk_good``, the posterior that it is good.
 
     State: p, the share of bad documents, and for each rule b and g, how often it votes bad on bad and on
-    good documents.  A rule's bad vote is meant to be rare on good documents, so g stays at or below 0.01;
+    good documents.  A rule's bad vote is meant to be rare on good documents, so g stays at or below 0.003;
     a bad vote seen more often than that has to come from bad documents.
     """
     rules = F.sequence(F.lit(0), F.lit(n_rules - 1))
@@ -144,12 +146,12 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
             return F.struct(
                 clip((nb + 1.0) / (nb + ng + 10.0), 0.01, 0.5).alias("p"),
                 F.transform(rules, lambda j: clip(rate("b", j), 0.05, 0.98)).alias("b"),
-                F.transform(rules, lambda j: clip(rate("g", j), 0.0005, 0.01)).alias("g"),
+                F.transform(rules, lambda j: clip(rate("g", j), 0.0002, 0.003)).alias("g"),
             )
 
         return _let(posterior, update)
 
-    start = F.struct(F.lit(0.1).alias("p"), F.array_repeat(F.lit(0.5), n_rules).alias("b"), F.array_repeat(F.lit(0.005), n_rules).alias("g"))
+    start = F.struct(F.lit(0.1).alias("p"), F.array_repeat(F.lit(0.5), n_rules).alias("b"), F.array_repeat(F.lit(0.001), n_rules).alias("g"))
     fitted = one.select("xs", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, again).alias("s"))
     return fitted.select("s", F.explode("xs").alias("x")).select(F.col("x")["key"].alias("_tmk_pattern"), (1 - bad(F.col("s"), F.col("x"))).alias("_tmk_good"))
 
@@ -157,7 +159,7 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
 def judge(featured: DataFrame, counted: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``featured`` (with its pattern) joined with ``_tmk_base_failed``, ``_tmk_good`` and ``_tmk_kept``.
 
-    The joined side has a row for each pattern, at most 2 * 3^7 = 4,374 of them, so it is broadcast.
+    The joined side has a row for each pattern, at most 2 * 3^8 = 13,122 of them, so it is broadcast.
     """
     n_rules = len(votes())
     counts = (counted if counted is not None else featured).groupBy("_tmk_pattern").agg(F.count(F.lit(1)).alias("_tmk_n"))
