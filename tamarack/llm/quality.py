@@ -90,7 +90,7 @@ def votes() -> list[Column]:
         _vote(share("_tmk_repeats", 35), ~share("_tmk_repeats", 15)),
         _vote(100 * F.col("_tmk_dups") > 40 * F.col("_tmk_lines"), 100 * F.col("_tmk_dups") <= 20 * F.col("_tmk_lines")),
         _vote((chars < 2 * n) | (chars > 15 * n), (chars >= 3 * n) & (chars <= 11 * n)),
-        _vote(100 * F.col("_tmk_letters") < 75 * chars, 100 * F.col("_tmk_letters") > 85 * chars),
+        _vote(100 * F.col("_tmk_letters") < 88 * chars, 100 * F.col("_tmk_letters") > 92 * chars),
         _vote(200 * F.col("_tmk_ends") < n, 100 * F.col("_tmk_ends") > n),
     ]
 
