@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, mixing, quality
+from tamarack.llm import bpe, chat, langid, mixing, pii, quality
 from tamarack.llm.common import materialize, read
 
 
@@ -28,6 +29,36 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    told = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return out.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    texts = langid.training_text(docs.where(~held_out))
+    out = langid.predict_language(docs.select("doc_id", "text"), texts)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        content = f.read()
+
+    def each(coder: bpe.Bpe, text: str) -> tuple[int, str, str]:
+        ids = coder.encode(text)
+        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.over_texts(docs, content, public_tokenizers.PATTERN, each, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     told = materialize(quality.with_pattern(quality.features(docs)).drop("text"))
@@ -48,6 +79,9 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
+    "op5_pii": op5_pii,
+    "op6_language_id": op6_language_id,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
 }
