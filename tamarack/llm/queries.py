@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, chat, langid, mixing, pii, quality
+from tamarack.llm import bpe, chat, langid, mixing, pii, quality, simhash
 from tamarack.llm.common import materialize, read
 
 
@@ -77,6 +77,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_tmk_size").alias("size"), "source_size", "target", "taken")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_copies(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_pii": op5_pii,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
