@@ -8,10 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, chat, langid, mixing, pii, quality, simhash
+from tamarack.llm import bpe, chat, langid, lines, mixing, pii, quality, simhash, substrings
 from tamarack.llm.common import materialize, read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = lines.drop_boilerplate(docs)
+    return out.select("doc_id", F.col("_tmk_dropped").alias("n_dropped"), F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.over_kept(docs, substrings.digest, "n_words long, n_removed long, kept_sha256 string")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -83,6 +94,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
