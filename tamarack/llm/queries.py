@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, chat, langid, lines, mixing, pii, quality, simhash, substrings
+from tamarack.llm import bpe, chat, hamming, langid, lines, mixing, pii, quality, simhash, substrings
 from tamarack.llm.common import materialize, read
 
 
@@ -40,12 +40,17 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialize(read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code")))
+    return hamming.top_k(rows, rows.where(F.col("id") % 50 == 0))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
     told = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
-    return out.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_topk_search": op4_topk_search,
     "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
@@ -105,4 +111,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": """
+        with pages as (select doc_id, source, text, string_split(text, chr(10)) as ls from documents),
+        lines as (select doc_id, source, unnest(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ \\t-\\r]')))) as line from pages),
+        totals as (select source, count(*) as n from pages group by source),
+        gone as (
+            select l.source, list(l.line) as gone from (select source, line, count(*) as k from lines group by source, line) l
+            join totals t on l.source is not distinct from t.source where l.k >= 5 and l.k > 0.1 * t.n group by l.source),
+        kept as (
+            select p.doc_id, len(p.ls) as n, list_filter(p.ls, lambda x: not list_contains(coalesce(g.gone, cast([] as varchar[])), x)) as ks
+            from pages p left join gone g on p.source is not distinct from g.source)
+        select doc_id, cast(coalesce(n - len(ks), 0) as bigint) as n_dropped, cast(length(array_to_string(ks, chr(10))) as bigint) as kept_chars,
+            sha256(array_to_string(ks, chr(10))) as kept_sha256
+        from kept
+    """,
+    "op4_topk_search": """
+        with codes as (select vec_id as id, list_transform(embedding, lambda x: x > 0) as bits from embeddings),
+        pairs as (
+            select q.id as query_id, r.id as neighbor_id,
+                cast(list_sum(list_transform(range(1, 65), lambda i: case when q.bits[i] <> r.bits[i] then 1 else 0 end)) as bigint) as distance
+            from codes q, codes r where q.id % 50 = 0 and q.id <> r.id),
+        ranked as (select *, row_number() over (partition by query_id order by distance, neighbor_id) as rank from pairs)
+        select query_id, rank, neighbor_id, distance from ranked where rank <= 10
+    """,
+}
