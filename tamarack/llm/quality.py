@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import SPACE_RUN, words
+from tamarack.llm.common import materialize, words
 
 #: Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -159,7 +159,8 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
 def judge(featured: DataFrame, counted: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``featured`` (with its pattern) joined with ``_tmk_base_failed``, ``_tmk_good`` and ``_tmk_kept``.
 
-    The joined side has a row for each pattern, at most 2 * 3^8 = 13,122 of them, so it is broadcast.
+    The joined side has a row for each pattern, at most 2 * 3^8 = 13,122 of them, so it is broadcast.  It is
+    written first: as a plain table, no condition on it is carried over to the expressions behind the pattern.
     """
     n_rules = len(votes())
     counts = (counted if counted is not None else featured).groupBy("_tmk_pattern").agg(F.count(F.lit(1)).alias("_tmk_n"))
@@ -168,7 +169,7 @@ def judge(featured: DataFrame, counted: DataFrame | None = None, threshold: floa
         F.startswith("_tmk_pattern", F.lit("f")).alias("_tmk_base_failed"),
         (F.startswith("_tmk_pattern", F.lit("p")) & (F.col("_tmk_good") >= threshold)).alias("_tmk_kept"),
     )
-    return featured.join(F.broadcast(verdict), "_tmk_pattern")
+    return featured.join(F.broadcast(materialize(verdict)), "_tmk_pattern")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
