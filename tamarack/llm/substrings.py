@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -52,15 +53,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _hashes(words: list[bytes], seen: dict[bytes, int]) -> np.ndarray:
-    get, digest = seen.get, xxhash.xxh64_intdigest
-    out = []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = seen[w] = digest(w, 7)
-        out.append(h)
-    return np.array(out, np.uint64)
+class _Words(dict):
+    """Numbers for words, given as they are met, and the hash of each number's word."""
+
+    def __init__(self) -> None:
+        self.hashes = array("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh64_intdigest(word, 7))
+        return n
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def hashed(self, numbers: np.ndarray) -> np.ndarray:
+        return np.array(self.hashes)[numbers]
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -73,13 +81,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def super_kmers(words: list[bytes], first: np.ndarray, seen: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of concatenated documents that begin at ``first`` (ending with the total): document, first word,
+def super_kmers(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the hashed words of documents that begin at ``first`` (ending with the total): document, first word,
     one past the last word, and minimiser of each super-k-mer, in order."""
     none = np.zeros(0, np.int64)
-    if len(words) < WINDOW:
+    if len(h) < WINDOW:
         return none, none, none, none.astype(np.uint64)
-    h = _hashes(words, seen)
     n = len(h) - MINIMISER + 1
     runs = _mixed(sum(h[k : k + n] * _ODD[k] for k in range(MINIMISER)))
     least = _sliding_min(runs, WINDOW - MINIMISER + 1)
@@ -118,13 +125,14 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
 
-def _send(docs: list[tuple[int, int, list[bytes]]], n_buckets: int, seen: dict[bytes, int]) -> pa.RecordBatch:
+def _send(docs: list[tuple[int, int, list[bytes]]], n_buckets: int) -> pa.RecordBatch:
     """A chunk's super-k-mers, packed by bucket (data: see :func:`_load`), and the ranges it can settle (bucket -1)."""
     words = [w for d in docs for w in d[2]]
     first = np.cumsum([0] + [len(d[2]) for d in docs])
     blob = b" ".join(words)
     place = np.cumsum([0] + [len(w) + 1 for w in words])
-    owner, start, stop, least = super_kmers(words, first, seen)
+    known = _Words()
+    owner, start, stop, least = super_kmers(known.hashed(known.numbers(words)), first)
     bucket = (least >> np.uint64(40)).astype(np.int64) % n_buckets
     held: dict[bytes, list] = {}  # super-k-mer -> [id, bucket, [(document, first word in it)]]
     settled: dict[int, list[tuple[int, int]]] = {}
@@ -154,13 +162,14 @@ def _send(docs: list[tuple[int, int, list[bytes]]], n_buckets: int, seen: dict[b
         items.sort(key=itemgetter(0, 1))
         whose = np.array([(docs[d][0], docs[d][1], p) for d, p, _ in items], np.int64)
         text = b"\n".join(t for _, _, t in items)
-        rows.append((None, None, b, squeeze(len(items).to_bytes(4, "little") + whose.tobytes() + text)))
+        n_windows = text.count(b" ") + len(items) * (2 - WINDOW)
+        rows.append((None, None, b, n_windows.to_bytes(4, "little") + squeeze(len(items).to_bytes(4, "little") + whose.tobytes() + text)))
     return _rows(rows)
 
 
 def _load(data: bytes) -> tuple[np.ndarray, list[bytes]]:
-    """(id, text hash, first word) of each super-k-mer, and its text."""
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    """(id, text hash, first word) of each super-k-mer, and its text; ``data`` begins with the number of windows."""
+    raw = zstandard.ZstdDecompressor().decompress(data[4:])
     n = int.from_bytes(raw[:4], "little")
     return np.frombuffer(raw, np.int64, 3 * n, 4).reshape(n, 3), raw[4 + 24 * n :].split(b"\n")
 
@@ -171,10 +180,12 @@ class _Held:
     def __init__(self) -> None:
         self.file = tempfile.SpooledTemporaryFile(max_size=HELD)
         self.sizes: list[int] = []
+        self.windows = 0
 
     def add(self, data: bytes) -> None:
         self.file.write(data)
         self.sizes.append(len(data))
+        self.windows += int.from_bytes(data[:4], "little")
 
     def __iter__(self) -> Iterator[bytes]:
         self.file.seek(0)
@@ -183,18 +194,20 @@ class _Held:
 
 
 def _windows(pieces, part: int, parts: int):
-    """Windows of a round: hash, id, index of super-k-mer, place in it; with the words of all of them as ids."""
-    seen: dict[bytes, int] = {}
-    number: dict[bytes, int] = {}
+    """Windows of a round: hash, id, number of super-k-mer, place in it and in all words; all words, as numbers;
+    and the place of each super-k-mer."""
+    known = _Words()
     got = []
+    places: list[np.ndarray] = []
     keep: list[np.ndarray] = []
     base_word = base_skm = 0
     for data in pieces:
         whose, texts = _load(data)
         lists = [t.split(b" ") for t in texts]
         sizes = np.array([len(x) for x in lists])
-        words = [w for x in lists for w in x]
-        h = _hashes(words, seen)
+        places.append(whose)
+        words = known.numbers([w for x in lists for w in x])
+        h = known.hashed(words)
         n = len(h) - WINDOW + 1
         acc = np.zeros(n, np.uint64)
         for k in range(WINDOW):
@@ -207,11 +220,11 @@ def _windows(pieces, part: int, parts: int):
         if parts > 1:
             ok &= acc % np.uint64(parts) == np.uint64(part)
         at = at[ok]
-        keep.append(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
+        keep.append(words)
         got.append((acc[ok], whose[skm[ok], 0], skm[ok] + base_skm, at - (ends - sizes)[skm[ok]], at + base_word))
         base_word += len(words)
         base_skm += len(texts)
-    return [np.concatenate(x) for x in zip(*got)], np.concatenate(keep)
+    return [np.concatenate(x) for x in zip(*got)], np.concatenate(keep), np.concatenate(places)
 
 
 def _repeated(h: np.ndarray, ids: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -240,16 +253,10 @@ def _repeated(h: np.ndarray, ids: np.ndarray, at: np.ndarray, words: np.ndarray)
 
 def _settle(held: _Held) -> Iterator[tuple]:
     """Ranges of words that go, for one bucket."""
-    whose, n = [], 0
-    for data in held:
-        w, texts = _load(data)
-        whose.append(w)
-        n += sum(t.count(b" ") + 2 - WINDOW for t in texts)
-    places = np.concatenate(whose)
-    parts = -(-n // ROUND)
+    parts = -(-held.windows // ROUND)
     hit = []
     for part in range(parts):
-        (h, ids, skm, at, word), words = _windows(held, part, parts)
+        (h, ids, skm, at, word), words, places = _windows(held, part, parts)
         gone = _repeated(h, ids, word, words)
         hit.append(np.stack([skm[gone], at[gone]], 1))
     hits = np.concatenate(hit)
@@ -273,7 +280,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, list[bytes]]] = []
-        size, seen = 0, {}
+        size = 0
         for b in batches:
             for d, h, t in zip(b.column("doc_id").to_pylist(), b.column("h").to_pylist(), b.column("text")):
                 words = (t.as_py() or "").encode("utf-8", "surrogatepass").split()
@@ -282,10 +289,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 held.append((d, h, words))
                 size += len(words)
                 if size >= CHUNK:
-                    yield _send(held, n_buckets, seen)
-                    held, size, seen = [], 0, {}
+                    yield _send(held, n_buckets)
+                    held, size = [], 0
         if held:
-            yield _send(held, n_buckets, seen)
+            yield _send(held, n_buckets)
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
