@@ -29,7 +29,7 @@ from tamarack.llm.common import ship
 
 #: Bits in a word of the bitmap; find-first-set on a word of this size is one step for Python's integers.
 WORD = 256
-KEPT, LONGEST_KEPT = 400_000, 64
+KEPT, LONGEST_KEPT = 800_000, 64
 
 
 class RankQueue:
