@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _EDGE = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
@@ -62,6 +62,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fence(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with columns that the optimiser will not look behind.
+
+    A condition on a computed column is otherwise pushed below its computation, written out again at every
+    place that refers to it; over a chain of steps that grows without bound.  Catalyst moves nothing past an
+    expression that isn't deterministic, which the partition's number formally isn't.
+    """
+    return df.withColumns({n: F.when(F.spark_partition_id() >= 0, F.col(n)) for n in names})
+
+
 def title(word: Column) -> Column:
     return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 1_000_000)))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions import dates
-from tamarack.functions.regex import has, let, matches, rewrite, rx, strip, sub
+from tamarack.functions.regex import fence, has, let, matches, rewrite, rx, strip, sub
 
 #: Glyphs that OCR takes for digits, and the digits.
 GLYPHS = ("OolISBZgq", "001158299")
@@ -96,7 +96,7 @@ def clean(df: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("_sorted", sort_schedules(F.col("_t")))
     logs.append(F.transform(F.col("_sorted.moved"), lambda _: F.lit(MOVED)))
     out = out.withColumns({"cleaned_text": tidy(F.col("_sorted.text")), "ocr_changes": F.concat(*logs)})
-    return out.drop("_t", "_sorted", *[f"_r{k}" for k in range(len(STEPS))])
+    return fence(out, "cleaned_text", "ocr_changes").drop("_t", "_sorted", *[f"_r{k}" for k in range(len(STEPS))])
 
 
 def _one(f):

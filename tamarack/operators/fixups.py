@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.dates import MONTHS
 from tamarack.functions.numbers import to_double, two_places
-from tamarack.functions.regex import blank, has, item, let, strip, sub
+from tamarack.functions.regex import blank, fence, has, item, let, strip, sub
 
 #: Plaintiffs that file often, in the order they are tried, and how OCR spells them.
 KNOWN_PLAINTIFFS = (
@@ -113,4 +113,4 @@ def plaintiff_flag(name: Column) -> Column:
 def apply_fixups(df: DataFrame) -> DataFrame:
     for step in (fix_total, fix_case, fix_outcome, fix_plaintiff, fix_rent, fix_dates):
         df = step(df)
-    return df
+    return fence(df, "payment_schedule", "total_payment_sum", "plaintiff")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.dates import NUMERIC, SHORT, normalize_date
-from tamarack.functions.regex import contains_any, first, has, let, matches, rx, strip, sub, with_starts
+from tamarack.functions.regex import contains_any, fence, first, has, let, matches, rx, strip, sub, with_starts
 
 #: Phrases before a mention of vacating that make it a notice or a consequence of breach.
 NOTICE = ("acknowledges receipt", "receipt of", "notice to vacate served", "notice to leave served")
@@ -105,7 +105,7 @@ def outcome(text: Column, vacates: Column) -> Column:
 def obligations(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None = None) -> DataFrame:
     """``df`` with the vacate date, outcome, terms and deadlines that its text states."""
     text = F.col(text_col)
-    out = df.withColumn("mandatory_vacate_date", vacate_date(text, as_of))
+    out = fence(df.withColumn("mandatory_vacate_date", vacate_date(text, as_of)), "mandatory_vacate_date")
     out = out.withColumn("_o", outcome(text, F.col("mandatory_vacate_date")))
     out = out.withColumns({
         "outcome_type": F.col("_o.kind"), "outcome_details": F.col("_o.details"),
@@ -115,4 +115,4 @@ def obligations(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | N
         "sealing_reference_stipulation": strip(F.coalesce(*[first(text, p, 0, "i") for p in SEALING])),
         "enforcement_period": strip(F.coalesce(*[first(text, p, 1, "i") for p in ENFORCEMENT])),
     })
-    return out.drop("_o")
+    return fence(out, "outcome_type", "outcome_details").drop("_o")

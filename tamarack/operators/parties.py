@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions.regex import every, first, has, item, let, strip, sub
+from tamarack.functions.regex import every, fence, first, has, item, let, strip, sub
 
 #: Headers that are no names, labels that are no names.
 HEADER = r"MUNICIPAL COURT|FRANKLIN COUNTY|^IN THE"
@@ -114,7 +114,8 @@ def parties(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
     d = sub(sub(strip(sub(F.col("_d"), r"<[^>]+>")), r"\s*[,.]\z"), r"\A\(.*?\)\s*")
     out = out.withColumns({"_p": p, "_d": d})
     fits = lambda c: F.length(c).between(2, 100)
-    return out.withColumns({
+    out = out.withColumns({
         "plaintiff": F.when(fits(F.col("_p")) & ~F.startswith(F.lower("_p"), F.lit("defendant")), F.col("_p")),
         "defendant": F.when(fits(F.col("_d")) & ~has(F.col("_d"), r"\ADefendants?\n?\z", "i"), F.col("_d")),
-    }).drop("_plain", "_sigs", "_bare", "_cells0", "_cells1", "_p", "_d", "_pd")
+    })
+    return fence(out, "plaintiff", "defendant").drop("_plain", "_sigs", "_bare", "_cells0", "_cells1", "_p", "_d", "_pd")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import dates
 from tamarack.functions.numbers import to_double, two_places
-from tamarack.functions.regex import around, every, first, has, item, let, matches, strip, sub, title, with_starts
+from tamarack.functions.regex import around, every, fence, first, has, item, let, matches, strip, sub, title, with_starts
 
 AMOUNT = r"\d+(?:,\d{3})*(?:\.\d{2})?"
 DATE = dates.ANY_TEXT_FIRST
@@ -48,12 +48,26 @@ def _any(text: Column, words) -> Column:
     return out
 
 
-def _item(due: Column, as_of, kind, amount, month, time, extra, raw: Column) -> Column:
-    lit = lambda x: F.lit(x).cast("string") if x is None or isinstance(x, str) else x.cast("string")
-    return F.struct(
-        F.lit(0).alias("payment_number"), dates.normalize_date(due, as_of).alias("due_date"), lit(kind).alias("payment_type"), lit(amount).alias("amount"),
-        lit(month).alias("month_rent"), lit(time).alias("time"), lit(extra).alias("extra_text"), raw.alias("raw_text"),
-    )
+#: An item as found: ``about`` is the text that describes it, what is null here is taken from that description.
+_FOUND = "array<struct<due:string,kind:string,amount:string,month:string,time:string,extra:string,raw:string,about:string>>"
+
+
+def _item(due: Column, amount=None, raw=None, about=None, kind=None, month=None, time=None, extra=None) -> Column:
+    lit = lambda x: F.lit(x).cast("string") if x is None or isinstance(x, str) else x
+    named = {"due": due, "kind": kind, "amount": amount, "month": month, "time": time, "extra": extra, "raw": raw, "about": about}
+    return F.struct(*[lit(x).alias(n) for n, x in named.items()])
+
+
+def _finished(items: Column, as_of: Column) -> Column:
+    """Items of the public schema: described, dated and numbered."""
+
+    def one(x: Column, i: Column) -> Column:
+        made = lambda d: F.struct(
+            (i + 1).alias("payment_number"), dates.normalize_date(x["due"], as_of).alias("due_date"), F.coalesce(x["kind"], d["kind"]).alias("payment_type"), x["amount"].alias("amount"),
+            F.coalesce(x["month"], d["month"]).alias("month_rent"), x["time"].alias("time"), F.coalesce(x["extra"], d["extra"]).alias("extra_text"), x["raw"].alias("raw_text"))
+        return let(describe(x["about"]), made)
+
+    return F.transform(items, one)
 
 
 def _slashes(date: Column) -> Column:
@@ -64,7 +78,7 @@ def _plain(amount: Column) -> Column:
     return F.replace(amount, F.lit(","), F.lit(""))
 
 
-def _table_items(df: DataFrame, text: Column, as_of: Column) -> DataFrame:
+def _table_items(df: DataFrame, text: Column) -> DataFrame:
     """``df`` with ``_y1``: the items of all table rows, in order."""
     date, money = f"({dates.NUMERIC})", rf"\$\s*({AMOUNT})"
     rows = F.transform(every(text, r"<tr>(.*?)</tr>", 1, "s"), lambda r: F.transform(every(r, r"<td>(.*?)</td>", 1, "s"), strip))
@@ -103,10 +117,10 @@ def _table_items(df: DataFrame, text: Column, as_of: Column) -> DataFrame:
         """The one cell of a row that has an amount and its date."""
         c = item(F.filter(cells, lambda x: has(x["c"], forms[0], "i") | has(x["c"], forms[1], "i")), 0)["c"]
         amount, day = (F.coalesce(first(c, forms[0], g, "i"), first(c, forms[1], g, "i")) for g in (1, 2))
-        return F.struct(c.alias("c"), amount.alias("amount"), _slashes(day).alias("day"), describe(c).alias("told"))
+        return F.struct(c.alias("c"), amount.alias("amount"), _slashes(day).alias("day"))
 
     def one(x: Column) -> Column:
-        made = _item(x["day"], as_of, x["told"]["kind"], x["amount"], x["told"]["month"], first(x["c"], TIME, 1, "i"), x["told"]["extra"], F.concat(F.lit("$"), x["amount"], F.lit(" by "), x["day"]))
+        made = _item(x["day"], x["amount"], F.concat(F.lit("$"), x["amount"], F.lit(" by "), x["day"]), about=x["c"], time=first(x["c"], TIME, 1, "i"))
         return F.array(F.when(x["amount"].isNotNull(), made))
 
     def from_pair(row: Column, p: Column) -> Column:
@@ -123,8 +137,8 @@ def _table_items(df: DataFrame, text: Column, as_of: Column) -> DataFrame:
         number = x["amount"].isNotNull()
         empty = ~number & ((sub(x["cell"], r"[$\s_.]") == "") | (x["words"] == ""))
         raw = F.concat(F.lit("$"), F.coalesce(x["amount"], x["words"]), F.lit(" by "), x["day"])
-        made = lambda t: _item(x["day"], as_of, t["kind"], x["amount"], t["month"], x["time"], F.when(number, t["extra"]).otherwise(x["words"]), raw)
-        return F.when(~empty & ~x["skip"], let(describe(F.when(number, x["cell"]).otherwise(x["words"])), made))
+        made = _item(x["day"], x["amount"], raw, about=F.when(number, x["cell"]).otherwise(x["words"]), time=x["time"], extra=F.when(~number, x["words"]))
+        return F.when(~empty & ~x["skip"], made)
 
     items = F.transform("_paired", lambda row: F.when(row["pairs"].isNull(), let(combined(row["cells"]), one)).otherwise(F.transform(row["pairs"], lambda p: from_pair(row, p))))
     return out.withColumn("_y1", F.filter(F.flatten(items), lambda x: x.isNotNull())).drop("_rows", "_told", "_paired")
@@ -134,13 +148,12 @@ def payments(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None
     """``df`` with ``payment_schedule`` and ``total_payment_sum`` (the sum of all amounts that are numbers)."""
     as_of = F.current_date() if as_of is None else as_of
     text = F.col(text_col)
-    out = _table_items(df.withColumn("_t", F.when(F.contains(text, F.lit("<tr>")), text).otherwise("")), F.col("_t"), as_of)
+    out = _table_items(df.withColumn("_t", F.when(F.contains(text, F.lit("<tr>")), text).otherwise("")), F.col("_t"))
     money = rf"\$\s*({AMOUNT})"
 
     def near(before: int):
         def build(t: Column, m: Column, at: Column, amount: int, day: Column, time: Column | None) -> Column:
-            made = lambda d: _item(day, as_of, d["kind"], _plain(m[f"g{amount}"]), d["month"], time, d["extra"], m["g0"])
-            return let(describe(around(t, at, F.length(m["g0"]), before, 50)), made)
+            return _item(day, _plain(m[f"g{amount}"]), m["g0"], about=around(t, at, F.length(m["g0"]), before, 50), time=time)
 
         return build
 
@@ -169,31 +182,32 @@ def payments(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None
         # an amount "to be paid by" a date, unless the text between sums up
         ((dollar,), placed(rf"{money}([^$\n]*?)(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda t, m, at: wide(t, m, at, 1, _slashes(m["g3"]), None), lambda m: ~summary(m))),
         # "March rent of" an amount "to be paid by" a date
-        ((dollar, rent), plain(rf"(\w+)\s+rent\s+of\s+{money}[^.]*?(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda m: _item(_slashes(m["g3"]), as_of, "monthly_rent", _plain(m["g2"]), title(m["g1"]), None, None, m["g0"]))),
+        ((dollar, rent), plain(rf"(\w+)\s+rent\s+of\s+{money}[^.]*?(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda m: _item(_slashes(m["g3"]), _plain(m["g2"]), m["g0"], kind="monthly_rent", month=title(m["g1"])))),
         # "agrees to pay" an amount "by" a time and a date
-        ((dollar,), plain(rf"(?:agrees?\s+to\s+pay|shall\s+pay)[^$]*?{money}\s+by\s+(?:({CLOCK}),?\s*)?({DATE})", 3, lambda m: _item(sub(_slashes(m["g3"]), r"(\d{1,2})(?:st|nd|rd|th)", "$1"), as_of, "fixed_amount", _plain(m["g1"]), None, m["g2"], None, m["g0"]))),
+        ((dollar,), plain(rf"(?:agrees?\s+to\s+pay|shall\s+pay)[^$]*?{money}\s+by\s+(?:({CLOCK}),?\s*)?({DATE})", 3, lambda m: _item(sub(_slashes(m["g3"]), r"(\d{1,2})(?:st|nd|rd|th)", "$1"), _plain(m["g1"]), m["g0"], kind="fixed_amount", time=m["g2"]))),
         # "will pay" an amount "no later than" a day, and months' rents to be paid so
         ((), lambda t: F.concat(
             F.coalesce(placed(rf"{pay}{money}\s+{limit}{WEEKDAY}({DATE})", 2, lambda t, m, at: wide(t, m, at, 1, _slashes(m["g2"]), None))(t), _none()),
-            F.coalesce(plain(rf"({dates.FULL}|{dates.SHORT})\s+rent\s+(?:will\s+be|shall\s+be|to\s+be|is\s+to\s+be)\s+paid\s+{limit}{WEEKDAY}({DATE})", 2, lambda m: _item(_slashes(m["g2"]), as_of, "monthly_rent", None, title(m["g1"]), None, None, m["g0"]))(t), _none()),
+            F.coalesce(plain(rf"({dates.FULL}|{dates.SHORT})\s+rent\s+(?:will\s+be|shall\s+be|to\s+be|is\s+to\s+be)\s+paid\s+{limit}{WEEKDAY}({DATE})", 2, lambda m: _item(_slashes(m["g2"]), None, m["g0"], kind="monthly_rent", month=title(m["g1"])))(t), _none()),
         )),
         # "$March rent ..." with no number
-        ((dollar, rent), plain(rf"\$([A-Za-z]+\s+rent[^$\n]*?)\s+on or before\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda m: _item(m["g2"], as_of, "monthly_rent", None, describe(m["g1"])["month"], m["g3"], m["g1"], m["g0"]))),
+        ((dollar, rent), plain(rf"\$([A-Za-z]+\s+rent[^$\n]*?)\s+on or before\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda m: _item(m["g2"], None, m["g0"], about=m["g1"], kind="monthly_rent", time=m["g3"], extra=m["g1"]))),
     ]
-    out = out.withColumn("_y", F.coalesce(F.col("_y1").cast(SCHEDULE), _none()))
+    out = out.withColumn("_y", F.coalesce(F.col("_y1").cast(_FOUND), _none()))
     for needs, make in forms:
         look = F.size("_y") == 0
         for n in needs:
             look = look & F.contains(F.lower(text), n)
         # the text is null, and the form costs nothing, where it isn't looked for
         out = out.withColumn("_t", F.when(look, text))
-        out = out.withColumn("_y", F.when(F.col("_t").isNull(), F.col("_y")).otherwise(F.coalesce(make(F.col("_t")).cast(SCHEDULE), _none())))
+        out = out.withColumn("_y", F.when(F.col("_t").isNull(), F.col("_y")).otherwise(F.coalesce(make(F.col("_t")).cast(_FOUND), _none())))
     total = F.aggregate("_y", F.lit(0.0), lambda s, x: s + F.coalesce(to_double(x["amount"]), F.lit(0.0)))
-    return out.withColumns({"payment_schedule": renumber(F.col("_y")), "total_payment_sum": F.when(total > 0, two_places(total))}).drop("_t", "_y", "_y1")
+    out = out.withColumns({"payment_schedule": _finished(F.col("_y"), as_of).cast(SCHEDULE), "total_payment_sum": F.when(total > 0, two_places(total))}).drop("_t", "_y", "_y1")
+    return fence(out, "payment_schedule", "total_payment_sum")
 
 
 def _none() -> Column:
-    return F.array().cast(SCHEDULE)
+    return F.array().cast(_FOUND)
 
 
 def renumber(schedule: Column) -> Column:
