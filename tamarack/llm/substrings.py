@@ -159,19 +159,26 @@ def _send(docs: list[tuple[int, int, list[bytes]]], n_buckets: int) -> pa.Record
         by_bucket.setdefault(b, []).extend((d, p, text) for d, p in places)
     squeeze = zstandard.ZstdCompressor(level=1).compress
     for b, items in by_bucket.items():
-        items.sort(key=itemgetter(0, 1))
-        whose = np.array([(docs[d][0], docs[d][1], p) for d, p, _ in items], np.int64)
+        items.sort(key=lambda x: (ids[x[0]], x[0], x[1]))
+        whose = _columns(np.array([(docs[d][0], docs[d][1], p) for d, p, _ in items], np.int64))
         text = b"\n".join(t for _, _, t in items)
         n_windows = text.count(b" ") + len(items) * (2 - WINDOW)
-        rows.append((None, None, b, n_windows.to_bytes(4, "little") + squeeze(len(items).to_bytes(4, "little") + whose.tobytes() + text)))
+        rows.append((None, None, b, n_windows.to_bytes(4, "little") + squeeze(len(items).to_bytes(4, "little") + whose + text)))
     return _rows(rows)
 
 
+def _columns(whose: np.ndarray) -> bytes:
+    """Rows of (id, text hash, first word) by column, ids as steps from one to the next, which packs well."""
+    return np.diff(whose[:, 0], prepend=0).tobytes() + whose[:, 1:].T.astype(np.uint32).tobytes()
+
+
 def _load(data: bytes) -> tuple[np.ndarray, list[bytes]]:
     """(id, text hash, first word) of each super-k-mer, and its text; ``data`` begins with the number of windows."""
     raw = zstandard.ZstdDecompressor().decompress(data[4:])
     n = int.from_bytes(raw[:4], "little")
-    return np.frombuffer(raw, np.int64, 3 * n, 4).reshape(n, 3), raw[4 + 24 * n :].split(b"\n")
+    ids = np.cumsum(np.frombuffer(raw, np.int64, n, 4))
+    rest = np.frombuffer(raw, np.uint32, 2 * n, 4 + 8 * n).reshape(2, n)
+    return np.stack([ids, *rest.astype(np.int64)], 1), raw[4 + 16 * n :].split(b"\n")
 
 
 class _Held:
@@ -271,6 +278,11 @@ def _settle(held: _Held) -> Iterator[tuple]:
         yield int(doc[a]), int(text[a]), -1, _pack_ranges(np.stack([start[a:z], start[a:z] + WINDOW], 1))
 
 
+def _short_hash(text_col: str):
+    """32 bits of a text's hash; tells rows of one id apart."""
+    return F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``doc_id``, ``h``, ``ranges``): for each row that loses words, half-open ranges of word numbers, as an
     array of packed pairs; ``h`` is the hash of the text, for tables that repeat an id."""
@@ -316,11 +328,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield _rows(out)
 
     schema = "doc_id long, h long, bucket int, data binary"
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _short_hash(text_col).alias("h"), F.col(text_col).alias("text"))
     sent = rows.mapInArrow(send, schema)
-    # settled ranges are dealt by document, the rest by bucket
-    key = F.when(F.col("bucket") < 0, F.xxhash64("doc_id", "h")).otherwise(F.col("bucket").cast("long"))
-    met = sent.repartition(n_partitions(spark), key).sortWithinPartitions("bucket").mapInArrow(receive, schema)
+    # settled ranges are dealt by document, the rest by bucket, the same number of buckets to each partition
+    n = n_partitions(spark)
+    part = F.when(F.col("bucket") < 0, F.pmod(F.hash("doc_id", "h"), F.lit(n))).otherwise(F.col("bucket") % n)
+    met = sent.repartitionById(n, part.cast("int")).sortWithinPartitions("bucket").mapInArrow(receive, schema)
     return met.groupBy("doc_id", "h").agg(F.collect_list("data").alias("ranges"))
 
 
@@ -339,7 +352,7 @@ def over_kept(docs: DataFrame, each, schema: str, id_col: str = "doc_id", text_c
     kind = docs.schema[id_col].dataType.simpleString()
     names = [x.split()[0] for x in schema.split(",")]
     found = repeats(docs, id_col, text_col).select(F.col("doc_id").alias("_tmk_id"), F.col("h").alias("_tmk_h"), "ranges")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _short_hash(text_col).alias("h"))
     both = rows.join(found, (rows["doc_id"].cast("long") == found["_tmk_id"]) & (rows["h"] == found["_tmk_h"]), "left").select("doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
