@@ -1,0 +1,454 @@
+"""Operators against brute force, round trips and held-out accuracy, with the cases each has to stand."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from tamarack.llm import bpe, chat, graph, hamming, langid, lines, mixing, pii, quality, simhash, substrings
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, h long, doc string"
+RANKS = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").read()
+
+
+def docs(spark, *texts, source=None):
+    """Documents with columns whose names clash with what operators might use."""
+    rows = [(k, t, "en", (source or (lambda k: f"s{k % 3}"))(k), 0, -1, -2, "x") for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def hard(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, ties."""
+    rnd = random.Random(9)
+    long = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(30_000))
+    rows = [(1, None, None, None), (None, "a text without an id", "en", "s"), (2, "", "en", "s"), (3, long, "en", "s"), (4, "same words here", "en", None), (4, "same words here", "en", None),
+            (5, "same words here", None, "s"), (6, "x" * 200_000, "en", "s"), (7, " \t\n ", "en", "s"), (None, None, None, None), (8, "🙂 \x00 é ", "en", "s")]
+    return spark.createDataFrame([(i, t, g, s, None, None, None, None) for i, t, g, s in rows], SCHEMA)
+
+
+def words(t):
+    return (t or "").encode().split()
+
+
+# ---- line dedup
+
+def brute_lines(rows, ratio, least):
+    pages, count = collections.Counter(), collections.Counter()
+    for _, t, s in rows:
+        pages[s] += 1
+        for x in {x for x in (t or "").split("\n") if re.search("[^ \t-\r]", x)}:
+            count[s, x] += 1
+    gone = {k for k, n in count.items() if n >= least and n > ratio * pages[k[0]]}
+    return [(i, None if t is None else "\n".join(x for x in t.split("\n") if (s, x) not in gone)) for i, t, s in rows]
+
+
+@pytest.mark.parametrize("bound", [lines.BROADCAST_BYTES, 0])
+def test_line_dedup(spark, monkeypatch, bound):
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", bound)
+    rnd = random.Random(1)
+    texts = ["\n".join(rnd.choice(["menu", "foot", "", " ", f"own {k}", "rare"]) for _ in range(6)) for k in range(60)] + [None, "", "menu"]
+    df = docs(spark, *texts).unionByName(docs(spark, "menu\nfoot", "menu", source=lambda k: None))
+    rows = [(r.doc_id, r.text, r.source) for r in df.collect()]
+    got = lines.drop_boilerplate(df, ratio=0.3, least=4)
+    assert got.columns == [*df.columns, "_tmk_dropped"]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, brute_lines(rows, 0.3, 4)))
+
+
+# ---- substring dedup
+
+def brute_repeats(rows):
+    first = {}
+    for i, t in rows:
+        w = words(t)
+        for k in range(len(w) - 12 if i is not None else 0):
+            key = tuple(w[k : k + 13])
+            first[key] = min(first.get(key, i), i)
+    out = []
+    for i, t in rows:
+        w = words(t)
+        gone = [False] * len(w)
+        for k in range(len(w) - 12 if i is not None else 0):
+            if first[tuple(w[k : k + 13])] < i:
+                gone[k : k + 13] = [True] * 13
+        kept = b" ".join(x for x, g in zip(w, gone) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_substring_dedup(spark, monkeypatch, small):
+    if small:
+        for name, n in (("CHUNK", 200), ("ROUND", 50), ("LONGEST", 3), ("HELD", 100)):
+            monkeypatch.setattr(substrings, name, n)
+    rnd = random.Random(2)
+    passages = [" ".join(rnd.choice("abcdefgh") for _ in range(20)) for _ in range(6)]
+    texts = [" ".join(rnd.choice([rnd.choice(passages), *"uvwxyz"]) for _ in range(rnd.randint(0, 12))) for _ in range(60)]
+    texts += ["a " * 100, "a " * 120, None, "", passages[0], passages[0]]
+    df = docs(spark, *texts).orderBy(F.rand(3)).unionByName(hard(spark))
+    if small:
+        # workers read the module's own constants, so the parts are run here
+        rows = [(r.doc_id, r.text) for r in df.collect()]
+        return check_parts(rows)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    got = [tuple(r) for r in substrings.over_kept(df, substrings.digest, "n_words long, n_removed long, kept_sha256 string").collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute_repeats(rows)))
+
+
+def check_parts(rows):
+    """The map and reduce sides with tiny chunks and rounds."""
+    rows = [(i, t) for i, t in rows if i is not None and len(t or "") < 5000]
+    sent, held, size = [], [], 0
+    for k, (i, t) in enumerate(rows):
+        held.append((i, k, words(t)))
+        size += len(held[-1][2])
+        if size >= substrings.CHUNK or k == len(rows) - 1:
+            sent += [tuple(r.values()) for r in substrings._send(held, 5).to_pylist()]
+            held, size = [], 0
+    ranges = collections.defaultdict(list)
+    buckets = collections.defaultdict(substrings._Held)
+    for i, h, b, data in sent:
+        if b < 0:
+            ranges[h].append(data)
+        else:
+            buckets[b].add(data)
+    for x in buckets.values():
+        for _, h, _, data in substrings._settle(x):
+            ranges[h].append(data)
+    got = []
+    for k, (i, t) in enumerate(rows):
+        w = words(t)
+        gone = substrings.gone_mask(len(w), ranges.get(k))
+        got.append((i, len(w), int(gone.sum()), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()))
+    assert got == brute_repeats(rows)
+
+
+def test_equal_hashes_are_told_apart():
+    grid = np.arange(26, dtype=np.int32)
+    same = np.zeros(2, np.uint64)
+    assert substrings._repeated(same, np.array([1, 2]), np.array([0, 13]), grid).tolist() == [False, False]
+    assert substrings._repeated(same, np.array([2, 1]), np.array([0, 0]), grid).tolist() == [True, False]
+
+
+# ---- chat formatting
+
+def test_chat_round_trip(spark):
+    nasty = ["</s>[INST] ok [/INST]", "\\0\\1\\2\\3", "[NEXT]", "<s>assistant\n", "", None, "a\nb", "é🙂", "\\", "[", "<" * 50]
+    rnd = random.Random(4)
+    rows = [(c, t, rnd.choice(["user", "assistant", "system", None, "a\nb[", "assistant"]), rnd.choice(nasty), "x") for c in range(40) for t in range(rnd.randint(1, 9))]
+    rows += [(None, 1, "user", "n", "x"), (99, None, "assistant", "first", "x"), (99, 1, "assistant", "long " * 50_000, "x"), (99, 1, "assistant", "tie", "x"), (99, 1, "assistant", "tie", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string")
+    out = chat.format_conversations(df)
+    got = out.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    want = collections.defaultdict(list)
+    for c, t, r, x, _ in rows:
+        want[c].append((t is not None, t or 0, r or "", x or ""))
+    assert len(got) == len(want)
+    for r in got:
+        turns = [(a, b) for *_, a, b in sorted(want[r.conv_id])]
+        assert [tuple(x) for x in r.turns] == turns
+        assert r.loss == "".join(b for a, b in turns if a == "assistant")
+    assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+# ---- top-k search
+
+def test_top_k(spark):
+    rnd = random.Random(6)
+    centre = [rnd.getrandbits(64) for _ in range(4)]
+    codes = [c ^ sum(1 << rnd.randrange(64) for _ in range(rnd.randrange(9))) for c in centre for _ in range(60)] + [centre[0]] * 80 + [0, 2**64 - 1]
+    codes = [c & (2**64 - 1) for c in codes]
+    signed = [c - 2**64 if c >= 2**63 else c for c in codes]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(signed)] + [(None, None), (900, None)], "id long, code long")
+    got = collections.defaultdict(list)
+    for r in hamming.top_k(df, df.where("id % 7 = 0"), 5).collect():
+        got[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
+    for q in range(0, len(codes), 7):
+        near = sorted((bin(codes[q] ^ c).count("1"), k) for k, c in enumerate(codes) if k != q)[:5]
+        assert sorted(got[q]) == [(k + 1, *x) for k, x in enumerate(near)]
+    few = df.where("id < 3")
+    assert hamming.top_k(few, few, 5).count() == 6
+    assert hamming.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_sign_code(spark):
+    rows = spark.createDataFrame([([1.0, -1.0, 0.0, float("nan"), 2.0],), (None,), ([],)], "v array<float>")
+    assert [r.c for r in rows.select(hamming.sign_code(F.col("v")).alias("c")).collect()] == [0b10001, None, 0]
+
+
+# ---- personal data
+
+def brute_pii(text):
+    out = []
+    for kind, p in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")) or kind == "card" and 13 <= len(d) <= 19 and pii.luhn(d) or kind == "phone" and 9 <= len(d) <= 15:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_pii_base_spans():
+    rnd = random.Random(7)
+    for _ in range(5000):
+        s = "".join(rnd.choice(["a", "@", ".", "-", "+", "1", "4111 1111 1111 1111", "0", " ", "é", "(", "255"]) for _ in range(rnd.randint(0, 25)))
+        assert [x[:3] for x in pii.find(s) if x[0] in pii.BASE_KINDS] == brute_pii(s), s
+
+
+def test_pii_extra_kinds_and_long_texts(spark):
+    kinds = lambda t: [x[0] for x in pii.find(t)]
+    assert "iban" in kinds("account DE89 3704 0044 0532 0130 00 ok") and "iban" not in kinds("account DE88 3704 0044 0532 0130 00 ok")
+    assert kinds("social security 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
+    for s in ("a" * 300_000, "1" * 300_000, "a@" * 50_000, "1." * 100_000, "+1" * 100_000, "A1" * 100_000):
+        pii.find(s)
+    assert pii.find_pii(hard(spark)).count() == hard(spark).count()
+    assert pii.find_pii(hard(spark).limit(0)).count() == 0
+
+
+# ---- language
+
+def test_cross_parsing_counts_phrases():
+    model = langid.Model({"x": "abcabd", "y": "zzzz"})
+    # against x: "abca" | "c" ("cc" occurs nowhere) | "ca" -> phrases of the greedy parse
+    text, phrases, at = "abcaccab", 0, 0
+    while at < len(text):
+        n = 1
+        while at + n < len(text) and text[at : at + n + 1] in "abcabd":
+            n += 1
+        phrases, at = phrases + 1, at + n
+    assert model.phrases([text])[0, 0] == phrases / len(text)
+    assert model.phrases(["zz" * 3000])[0].argmin() == 1
+
+
+def test_language_id(spark):
+    rnd = random.Random(8)
+    vocab = {"en": ["the", "and", "thing", "of", "with"], "de": ["der", "und", "nicht", "über", "mit"], "fr": ["les", "été", "nous", "avec", "une"]}
+    rows = [(k, " ".join(rnd.choice(vocab[g]) for _ in range(rnd.randint(3, 60))), g) for k in range(150) for g in [rnd.choice(list(vocab))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = langid.training_text(df.where("doc_id % 3 <> 1"), chars=5000)
+    got = {r.doc_id: r for r in langid.predict_language(df, texts).collect()}
+    held = [(i, g) for i, _, g in rows if i % 3 == 1]
+    assert sum(got[i].lang_pred == g for i, g in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in got.values())
+    edge = langid.predict_language(hard(spark), texts).collect()
+    assert len(edge) == hard(spark).count() and {r.lang_pred for r in edge if r.doc_id in (1, 2, 7)} == {"und"}
+    assert {r.lang_pred for r in langid.predict_language(hard(spark), {}).collect()} == {"und"}
+    assert langid.training_text(df.limit(0)) == {}
+
+
+# ---- byte-level BPE
+
+def test_bpe_is_tiktokens():
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(RANKS), special_tokens={})
+    coder = bpe.load(RANKS, public_tokenizers.PATTERN)
+    rnd = random.Random(10)
+    bits = ["a", "the", " ", "\n", "é", "日本", "🙂", "'s", "12", "!", " ", "_", "\x00", "un", "ing", "tion"]
+    for _ in range(2000):
+        s = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40)))
+        ids = coder.encode(s)
+        assert list(ids) == enc.encode_ordinary(s) and coder.decode(ids) == s.encode()
+    long = "".join(rnd.choice("abcdefgh") for _ in range(100_000))
+    assert list(coder.encode(long)) == enc.encode_ordinary(long)
+
+
+def test_bpe_with_ranks_out_of_order():
+    """A vocabulary in which a merge can bring up a lower rank than its own."""
+    ranks = {bytes([b]): 300 + b for b in range(256)} | {b"ab": 50, b"abc": 10, b"cd": 40, b"bc": 60}
+    coder = bpe.Bpe(ranks, ".+")
+
+    def slow(word):
+        parts = [bytes([b]) for b in word]
+        while True:
+            best = min(((ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+            if best is None:
+                return [ranks[p] for p in parts]
+            k = best[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    rnd = random.Random(11)
+    for _ in range(3000):
+        w = "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 15))).encode()
+        assert coder.merge(w) == ([ranks[w]] if w in ranks else slow(w))
+        assert not coder.queue.buckets and not any(coder.queue.levels[0])
+
+
+def test_bpe_tables(spark):
+    out = bpe.encode_texts(hard(spark), RANKS, public_tokenizers.PATTERN)
+    back = {r.doc_id: bytes(r.text) for r in bpe.decode_ids(out.where("doc_id is not null"), RANKS).collect()}
+    assert back == {r.doc_id: (r.text or "").encode() for r in hard(spark).where("doc_id is not null").collect()}
+    assert bpe.encode_texts(hard(spark).limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+# ---- quality rules
+
+def brute_quality(t):
+    w = [x for x in re.split("[ \t-\r]+", t or "") if x]
+    spans = collections.defaultdict(list)
+    for k in range(len(w) - 2):
+        spans[tuple(w[k : k + 3])].append(k)
+    covered = {j for ks in spans.values() if len(ks) > 1 for k in ks for j in (k, k + 1, k + 2)}
+    ls = [x for x in (t or "").split("\n") if re.search("[^ \t-\r]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(ls) - len(set(ls)), len(covered)
+
+
+def test_quality_counts(spark):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice(["a ", "b ", "c\n", "# ", "é\t", "the end\n"]) for _ in range(rnd.randint(0, 60))) for _ in range(80)]
+    df = docs(spark, *texts).unionByName(hard(spark))
+    out = quality.judge(quality.with_pattern(quality.features(df)))
+    want = sorted(repr((r.doc_id, *brute_quality(r.text))) for r in df.collect())
+    rows = out.collect()
+    assert sorted(repr((r.doc_id, r._tmk_words, r._tmk_chars, r._tmk_symbols, r._tmk_dups, r._tmk_repeats)) for r in rows) == want
+    assert all(r._tmk_base_failed == (r._tmk_words < 50 or 100 * r._tmk_repeats > 50 * r._tmk_words) and not (r._tmk_base_failed and r._tmk_kept) for r in rows)
+
+
+def test_places_beyond_the_packed_range(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PLACE_BITS", 4)
+    t = "a b c d e f g h i j k l m n o p a b c q"
+    assert quality.features(docs(spark, t)).first()._tmk_repeats == brute_quality(t)[-1] == 6
+
+
+def test_quality_keeps_clean_and_drops_junk(spark):
+    rnd = random.Random(13)
+    vocab = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(2000)]
+    clean = [". ".join(" ".join(rnd.choice(vocab) for _ in range(9)).capitalize() for _ in range(12)) + "." for _ in range(90)]
+    junk = [" ".join(rnd.choice(vocab) + rnd.choice(["***", "$$$", "%%%"]) for _ in range(120)) for _ in range(8)] + [" ".join(rnd.choice(vocab).upper() + "!!" for _ in range(120)) for _ in range(8)]
+    df = docs(spark, *clean, *junk)
+    kept = quality.keep_good(df)
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == set(range(90))
+    assert quality.keep_good(df.limit(0)).count() == 0
+
+
+# ---- mixing
+
+def brute_targets(sizes, weights=(3, 1, 2)):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[k % 3] for k, s in enumerate(names)}
+    left, open_, out = 1.5 * sum(sizes.values()), set(names), {}
+    while open_:
+        total = sum(w[s] for s in open_)
+        share = {s: left * w[s] / total for s in open_}
+        over = {s for s in open_ if share[s] >= 2 * sizes[s]}
+        if not over:
+            return out | share
+        for s in over:
+            out[s] = 2.0 * sizes[s]
+            left -= out[s]
+        open_ -= over
+    return out
+
+
+def test_mixing(spark):
+    rnd = random.Random(14)
+    texts = [" ".join(["w"] * rnd.choice([0, 1, 5, 50, 400])) for _ in range(400)] + [None]
+    df = docs(spark, *texts, source=lambda k: None if k % 10 == 0 else "big" if k % 3 == 0 else f"s{k % 7}")
+    rows = {r.doc_id: r for r in df.collect()}
+    out = mixing.schedule(mixing.sized(df)).collect()
+    again = {r.doc_id: r.taken for r in mixing.schedule(mixing.sized(df.repartition(7))).collect()}
+    sizes = collections.Counter()
+    for r in rows.values():
+        sizes[r.source] += len(words(r.text))
+    goal, took = brute_targets(sizes), collections.Counter()
+    for r in out:
+        assert r._tmk_size == len(words(r.text)) and r.source_size == sizes[r.source] and abs(r.target - goal[r.source]) < 1e-6 * max(1, goal[r.source])
+        assert 0 <= r.taken <= 2 * r._tmk_size and again[r.doc_id] == r.taken
+        took[r.source] += r.taken
+    assert all(abs(took[s] - goal[s]) <= 1 for s in sizes)
+    mixed = mixing.mix(df)
+    copies = collections.Counter(r.doc_id for r in mixed.collect())
+    assert mixed.columns == df.columns
+    for r in out:
+        assert (r.taken > 0) <= (copies[r.doc_id] > 0) and copies[r.doc_id] <= 2
+    assert mixing.mix(hard(spark)).count() > 0 and mixing.mix(df.limit(0)).count() == 0
+
+
+# ---- near-dedup
+
+def brute_fingerprint(t):
+    w = (t or "").encode().lower().split()
+    if not w:
+        return 0
+    sh = [b" ".join(w[k : k + 3]) for k in range(len(w) - 2)] or [b" ".join(w)]
+    h = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprint():
+    rnd = random.Random(15)
+    for n in (0, 1, 2, 3, 4, 50, 700):
+        t = " ".join(rnd.choice(["Aa", "b", "É", "c\x00", "D"]) for _ in range(n))
+        assert simhash.fingerprint(t) % 2**64 == brute_fingerprint(t)
+    t = " ".join(str(k % 997) for k in range(40_000))
+    assert simhash.fingerprint(t) % 2**64 == brute_fingerprint(t)
+
+
+def test_golay_keys_meet():
+    """Words up to two bits apart share a key."""
+    rnd = random.Random(16)
+    index = simhash.golay_index()
+    assert len(np.unique(index)) == 4096 and (np.bincount(index.astype(int)) == 2048).all()
+    for _ in range(300):
+        a = rnd.getrandbits(23)
+        b = a ^ sum({1 << rnd.randrange(23) for _ in range(2)})
+        ka, kb = simhash.segment_keys(np.array([a, b]))
+        assert set(ka[ka >= 0]) & set(kb[kb >= 0])
+
+
+def brute_components(fps):
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if bin((fps[i] ^ fps[j]) & (2**64 - 1)).count("1") <= 2:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("small", [simhash.SMALL, 2])
+def test_links_have_all_components(spark, monkeypatch, small):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    rnd = random.Random(17)
+    fps = {rnd.getrandbits(64) for _ in range(20)}
+    for f in list(fps):
+        for _ in range(rnd.choice([0, 3, 40])):
+            f ^= sum({1 << rnd.randrange(64) for _ in range(rnd.randint(1, 3))})
+            fps.add(f)
+    signed = sorted(f - 2**64 if f >= 2**63 else f for f in fps)
+    found = {r.node: r.root for r in graph.components(simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"))).collect()}
+    groups = collections.defaultdict(set)
+    for f, r in zip(signed, brute_components(signed)):
+        groups[r].add(f)
+    for g in groups.values():
+        assert {found.get(f, f) for f in g} == {min(g)}
+
+
+def test_near_copies(spark):
+    rnd = random.Random(18)
+    base = [" ".join(rnd.choice("abcdefghijklmnop") for _ in range(300)) for _ in range(12)]
+    texts = [t for t in base for _ in range(3)] + [t + " tail" for t in base] + [None, "", "A b", "a B"]
+    df = docs(spark, *texts).unionByName(hard(spark).withColumn("doc_id", F.col("doc_id") + 100))
+    rows = [(r.doc_id, simhash.fingerprint(r.text)) for r in df.collect()]
+    roots = brute_components([f for _, f in rows])
+    least = collections.defaultdict(list)
+    for (i, _), g in zip(rows, roots):
+        least[g].append(i)
+    name = {g: min((i for i in ids if i is not None), default=None) for g, ids in least.items()}
+    got = sorted(repr((r.doc_id, r.fp, r.component_id)) for r in simhash.near_copies(df).collect())
+    assert got == sorted(repr((i, f, name[g])) for (i, f), g in zip(rows, roots))
+    kept = simhash.drop_near_copies(df)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == df.columns
+    assert sorted(i for i in ids if i is not None) == sorted({n for n in name.values() if n is not None})
+    assert simhash.near_copies(df.limit(0)).count() == 0 and simhash.drop_near_copies(df.limit(0)).count() == 0
