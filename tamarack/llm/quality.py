@@ -50,7 +50,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_tmk_l": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]")),
         "_tmk_symbols": _count(text, SYMBOLS + "+").cast("long"),
         "_tmk_upper": _count(text, "\\p{Lu}+").cast("long"),
-        "_tmk_letters": _count(text, "\\p{L}+").cast("long"),
+        "_tmk_alnum": _count(text, "[\\p{L}\\p{N}]+").cast("long"),
         "_tmk_bangs": _count(text, "!+").cast("long"),
         "_tmk_ends": _count(text, "[.!?](?=[ \\t-\\r]|$)").cast("long"),
     })
@@ -90,7 +90,7 @@ def votes() -> list[Column]:
         _vote(share("_tmk_repeats", 35), ~share("_tmk_repeats", 15)),
         _vote(100 * F.col("_tmk_dups") > 40 * F.col("_tmk_lines"), 100 * F.col("_tmk_dups") <= 20 * F.col("_tmk_lines")),
         _vote((chars < 2 * n) | (chars > 15 * n), (chars >= 3 * n) & (chars <= 11 * n)),
-        _vote(100 * F.col("_tmk_letters") < 88 * chars, 100 * F.col("_tmk_letters") > 92 * chars),
+        _vote(100 * F.col("_tmk_alnum") < 88 * chars, 100 * F.col("_tmk_alnum") > 92 * chars),
         _vote(200 * F.col("_tmk_ends") < n, 100 * F.col("_tmk_ends") > n),
     ]
 
