@@ -19,10 +19,12 @@ def _year(y: Column) -> Column:
 
 def case_number(text: Column, filename: Column) -> Column:
     name = sub(sub(_bare(filename), r"_png\z"), r"_cleaned\z")
+    # fixed values: forms of a case number in a name, in the order they are tried
     ladder = [(r"\A(\d{4})_CVG_(\d{5,6})", ""), (r"(\d{4})\s+CVG\s+(\d{5,6})", "i"), (r"(\d{4})_CVG_(\d{5,6})", "i"),
               (r"(\d{2,4})[_\s-]+CVG[_\s-]+(\d{5,6})", "i"), (r"(\d{4})CVG(\d{6})", "i"), (r"(\d{2})CVG(\d{5,6})", "i")]
     # concat is null unless the rule matches
     from_name = [F.concat(_year(first(name, p, 1, f)), F.lit(" CVG "), first(name, p, 2, f)) for p, f in ladder]
+    # fixed values: forms in a text
     long_form, short_form = r"\d{4}\s*CVG\s*\d{6}", r"\d{2}[_\s]CVG[_\s]\d{5,6}"
     label = r"Case\s+No\.?[:\s]*"
     found = F.coalesce(*[first(text, p, 1, "i") for p in (f"{label}({long_form})", f"{label}({short_form})", f"({long_form})", f"({short_form})")])
@@ -39,6 +41,7 @@ def agreement_date(text: Column, filename: Column, as_of: Column | None = None)
     for p in (r"_-_(\d{1,2})_(\d{1,2})_(\d{4})_-_DAGREED", r"\s*-\s*(\d{1,2})\s+(\d{1,2})\s+(\d{4})\s*-\s*DAGREED"):
         m, d, y = (first(name, p, g, "i") for g in (1, 2, 3))
         from_name.append(F.when(m.isNotNull(), F.concat_ws("-", y, two(m), two(d))))
+    # fixed values: wordings around an agreement's date
     slash = r"(\d{1,2}/\d{1,2}/\d{2,4})"
     named = rf"((?:{SHORT})[A-Z]*\s+\d{{1,2}}[,\s]+\d{{4}})"
     judge, signed = r"(?:JUDGE|MAGISTRATE)[\s\S]{0,100}?", r"Date[\s:]*<?signature>?[\s\S]{0,50}?"

@@ -11,6 +11,7 @@ from tamarack.functions.regex import fence, has, let, matches, rewrite, rx, stri
 #: Glyphs that OCR takes for digits, and the digits.
 GLYPHS = ("OolISBZgq", "001158299")
 GLYPHS_IN_NUMBERS = ("OolI", "0011")
+#: What is taken for money, a number, a date.
 MONEY = r"\$[\d,.\w]+"
 NUMBER = r"\b\d{1,3}[,.]?[\dOoIl]{2,3}\.[\dOoIl]{2}\b"
 TEXT_DATE = rf"\b({dates.FULL})\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s*(\d{{4}})?\b"

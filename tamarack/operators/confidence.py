@@ -22,6 +22,9 @@ ENTITIES = (
 FORM_LABELS = ("plaintiff", "plaintiffs", "plaintiff(s)", "plaintiff,", "defendant", "defendants", "defendant(s)", "defendant,", "v.", "vs.", "vs")
 
 
+# The scores and the wordings of reasons below are fixed values too; each stands with its signal.
+
+
 def _sig(score, reason) -> Column:
     return F.struct((F.lit(score) if isinstance(score, float) else score).cast("double").alias("score"), (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"))
 

@@ -12,6 +12,7 @@ from tamarack.functions.regex import contains_any, fence, first, has, let, match
 NOTICE = ("acknowledges receipt", "receipt of", "notice to vacate served", "notice to leave served")
 BREACH = ("breach", "default", "fail to comply", "failure to comply", "if any of the terms", "if the terms", "not object to", "granted judgment", "set-out", "set out")
 
+#: The wordings of obligations, mentions, conditions, plans, deadlines, sealing and enforcement.
 _MUST = r"(?:shall|must|agrees?\s+to)"
 _LIMIT = r"(?:on\s+or\s+before|by|before|on)\s+"
 _DAY = rf"([A-Za-z]+\s+\d{{1,2}},?\s+\d{{4}}|{NUMERIC})"
@@ -45,7 +46,7 @@ ENFORCEMENT = (
     r"(?:agreement|entry)\s+shall\s+remain\s+enforceable\s+for[^.]*?(\d+\s+days)",
     r"time for execution.*?extended.*?to\s+(\d+\s+days)",
 )
-#: Signs of a payment: in the text as it is, and in lower case.
+#: Signs of a payment, in the text as it is, and in lower case.
 PAYS = (r"\$\s*\d", "") , (rf"\$\s*(?:{SHORT})\w*\s+rent", "i"), (r"\$\s*#\d+", "")
 PAYS_LOWER = r"agree\s+to\s+pay.*?(?:following|schedule|manner)|shall\s+make\s+the\s+following\s+payments|due\s+to\s+plaintiff\s+by|(?:agrees?\s+to\s+pay|shall\s+pay)\s+(?:plaintiff\s+)?\$|will\s+pay\s+\$|\w+\s+rent\s+(?:will|shall)\s+be\s+paid"
 

@@ -12,6 +12,7 @@ from tamarack.functions import dates
 from tamarack.functions.numbers import to_double, two_places
 from tamarack.functions.regex import around, every, fence, first, has, item, let, matches, strip, sub, title, with_starts
 
+#: Wordings of amounts, dates, times and limits.
 AMOUNT = r"\d+(?:,\d{3})*(?:\.\d{2})?"
 DATE = dates.ANY_TEXT_FIRST
 TIME = r"(\d{1,2}:\d{2}\s*(?:AM|PM)?)"
@@ -111,6 +112,7 @@ def _table_items(df: DataFrame, text: Column) -> DataFrame:
     both = lambda cells: F.exists(cells, lambda x: x["kind"] == "a") & F.exists(cells, lambda x: x["kind"] == "d")
     out = out.withColumn("_paired", F.transform("_told", lambda cells: F.struct(cells.alias("cells"), F.when(both(cells), pair(cells)).alias("pairs"), item(F.reverse(of(cells, "t")), 0)["c"].alias("time"))))
 
+    # fixed values: an amount and its date in one cell
     forms = (rf"\$\s*(\d+(?:\.\d{{2}})?)\s+(?:by|on or before)?\s*{date}", rf"\$\s*(\d+(?:\.\d{{2}})?)\s+(?:rent\s+)?(?:on\s+or\s+before|by)\s+{date}")
 
     def combined(cells: Column) -> Column:
@@ -174,6 +176,7 @@ def payments(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None
     pay = r"(?:will\s+pay|shall\s+pay|agrees?\s+to\s+pay)[^$\n]*?"
     limit = r"(?:no\s+later\s+than|by|on\s+or\s+before)\s+"
     dollar, rent = F.lit("$"), F.lit("rent")
+    # fixed values: the wordings of each form, in the order they are looked for
     forms = [
         # an amount, then a date in numbers
         ((dollar,), placed(rf"{money}\s+(?:{due})\s+({dates.NUMERIC})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda t, m, at: narrow(t, m, at, 1, _slashes(m["g2"]), m["g3"]))),
