@@ -64,7 +64,7 @@ def _over(df: DataFrame, source: str, keep: list[str], out: str, schema: str, fa
                     rows += [base | x | {"error": None} for x in use(backend, r[source])]
                 except Exception as e:  # one bad row must not stop the others
                     rows.append(base | {"error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(rows, columns=[*keep, *out.split(","), "error"])
+            yield pd.DataFrame({c: pd.Series([x.get(c) for x in rows], dtype=object) for c in [*keep, *out.split(","), "error"]})
 
     head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     return df.select(*keep, source).mapInPandas(run, f"{head}, {schema}, error string")

@@ -1,17 +1,22 @@
-"""Command line: extract a file, a folder of texts, or a folder as it grows."""
+"""Command line: extract a file, a folder of texts or PDFs, or a folder as it grows.
+
+PDFs need two back ends, each named ``module:factory``; see ``tamarack.backends``.
+"""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 import sys
 
 from pyspark.sql import functions as F
 
 from tamarack.plans.extraction import extract_documents
+from tamarack.plans.services import process_pdfs
 from tamarack.session import session
-from tamarack.sources.files import read_results, read_texts, skip_done
-from tamarack.sources.sinks import records, summary, write_csv, write_flat_json, write_json
+from tamarack.sources.files import read_pdfs, read_results, read_texts, skip_done
+from tamarack.sources.sinks import failures, records, summary, write_csv, write_flat_json, write_json
 from tamarack.streaming.ingest import run_incremental
 
 log = logging.getLogger("tamarack")
@@ -29,6 +34,14 @@ def _parser() -> argparse.ArgumentParser:
     many.add_argument("-o", "--output", required=True)
     many.add_argument("--format", choices=("csv", "json"), default="csv")
     many.add_argument("--resume", action="store_true", help="skip files whose rows are in the output")
+    for name, text in (("process", "one PDF"), ("process-dir", "all PDFs of a folder, as wide rows")):
+        pdf = sub.add_parser(name, help=text)
+        pdf.add_argument("path")
+        pdf.add_argument("-o", "--output", required=True)
+        pdf.add_argument("--rasterizer", required=True)
+        pdf.add_argument("--reader", required=True)
+        pdf.add_argument("--dpi", type=int, default=300)
+        pdf.add_argument("--resume", action="store_true")
     grow = sub.add_parser("ingest", help="text files that are new since the last run")
     grow.add_argument("folder")
     grow.add_argument("-o", "--output", required=True)
@@ -36,6 +49,11 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _factory(name: str):
+    module, _, attr = name.partition(":")
+    return getattr(importlib.import_module(module), attr)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO, format="%(levelname)s %(message)s")
@@ -55,6 +73,15 @@ def main(argv: list[str] | None = None) -> int:
             mode = "append" if args.resume else "errorifexists"
             write_csv(out, args.output, mode) if args.format == "csv" else write_flat_json(out, args.output, mode)
             log.info("%s", summary(files.select(F.lit(None).cast("string").alias("error"))).first())
+        elif args.command.startswith("process"):
+            glob = "*.pdf" if args.command == "process-dir" else "*"
+            pdfs = read_pdfs(spark, args.path, glob)
+            if args.resume:
+                pdfs = skip_done(pdfs, read_results(spark, args.output))
+            out = process_pdfs(pdfs, _factory(args.rasterizer), _factory(args.reader), args.dpi).persist()
+            write_csv(out.where("error is null"), args.output, "append" if args.resume else "errorifexists")
+            failures(out).coalesce(1).write.mode("overwrite").json(args.output.rstrip("/") + ".errors")
+            log.info("%s", summary(out).first())
         else:
             run_incremental(spark, args.folder, args.output, args.checkpoint)
     except Exception:

@@ -6,6 +6,7 @@ from tamarack import backends
 from tamarack.config import Settings
 from tamarack.evaluate import evaluate
 from tamarack.plans.extraction import extract_documents
+from tamarack.plans.services import extract_with_model
 from tamarack.sources import files, sinks
 from tamarack.streaming.ingest import run_incremental
 
@@ -67,6 +68,25 @@ def test_back_ends(spark):
     assert got["c"].error.startswith("ValueError")
 
 
+class Answers:
+    def answer(self, text):
+        if "fail" in text:
+            raise ValueError("no")
+        return '{"plaintiff": "From Model", "outcome_type": "Settlement"}'
+
+
+class Second:
+    def answer(self, text):
+        return '{"outcome_type": "Vacate Only", "reasoning": "why"}'
+
+
+def test_model_answers(spark):
+    rows = spark.createDataFrame([(1, None, "nothing"), (2, None, "fail")], "k int, filename string, text string")
+    got = {r.k: r for r in extract_with_model(rows, "k", Answers, Second).collect()}
+    assert (got[1].plaintiff, got[1].outcome_type, got[1].outcome_details, got[1].extraction_method) == ("From Model", "Vacate Only", "why", "LLM+Regex+Reclassified")
+    assert (got[2].plaintiff, got[2].extraction_method) == (None, "Regex-only+Reclassified")
+
+
 def _no_wait(seconds):
     pass
 
