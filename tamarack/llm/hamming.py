@@ -63,7 +63,8 @@ def _met(open_: DataFrame, index: DataFrame, cuts: list[tuple[int, int]], t: int
         return rows.select(name, F.explode(F.concat(*[keys(name, j, masks) for j in range(len(cuts))])).alias("key"))
 
     shell = lambda n: [sum(1 << b for b in bs) for bs in combinations(range(n), t)]
-    pairs = keyed(open_, "q", shell).join(keyed(index.select("c"), "c", lambda n: [0]), "key")
+    # lookups are many times the rows they come from, so the planner's guess at their size must not make it broadcast them
+    pairs = keyed(open_, "q", shell).hint("merge").join(keyed(index.select("c"), "c", lambda n: [0]), "key")
     away = [F.bit_count(_part(F.col("q").bitwiseXOR(F.col("c")), cut)) for cut in cuts]
     seg = F.shiftright("key", 32)
     # met in the first segment at distance t, if no segment is nearer
@@ -114,7 +115,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         lookups = sum(math.comb(n, t) for _, n in cuts)
         scan = lookups > n_codes or t > max(n for _, n in cuts)
         met = _scan(open_, index, k) if scan else _met(open_, index, cuts, t)
-        met = met.join(index, "c").select("q", "c", "d", "ids")
+        met = met.hint("merge").join(index, "c").select("q", "c", "d", "ids")
         if best is not None and not scan:
             met = met.unionByName(best)
         near = met.withColumn("r", F.row_number().over(by_near)).where(F.col("r") <= k + 1).drop("r")
