@@ -42,6 +42,8 @@ SEED, SHINGLE, DISTANCE, SMALL = 42, 3, 2, 32
 #: Fixed value: a generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
 CHUNK = 16384
+#: Most ids in a broadcast table: 8 bytes each, about 32 MB as Spark holds them.
+BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None) -> int:
@@ -165,7 +167,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     told = materialize(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_tmk_first"), F.count(F.lit(1)).alias("_tmk_rows")))
     gone = told.where("not _tmk_first").select(F.col("doc_id").alias("_tmk_id"))
     again = told.where("_tmk_first and _tmk_rows > 1").select(F.col("doc_id").alias("_tmk_id"))
-    kept = docs.join(gone, docs[id_col] == gone["_tmk_id"], "left_anti")
+    n_gone, n_again = gone.count(), again.count()
+    # ids that go are broadcast while they are surely small; beyond that both sides are shuffled
+    kept = docs.join(F.broadcast(gone) if n_gone <= BROADCAST_IDS else gone, docs[id_col] == gone["_tmk_id"], "left_anti")
+    if not n_again:
+        return kept.select(*cols)
+    again = F.broadcast(again) if n_again <= BROADCAST_IDS else again
     once = kept.join(again, kept[id_col] == again["_tmk_id"], "left_anti")
     twice = kept.join(again, kept[id_col] == again["_tmk_id"], "left_semi").dropDuplicates([id_col])
     return once.select(*cols).unionByName(twice.select(*cols))
