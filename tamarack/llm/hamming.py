@@ -1,6 +1,6 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A 64-bit code is cut into m segments, about log2(number of codes) bits each, and every segment is an index
+A 64-bit code is cut into m segments, about log2(number of codes / 4) bits each, and every segment is an index
 of its own.  Search radii grow in shells: shell t looks up, in each segment, all values exactly t bits from
 the query's.  After shell t every code within m * (t + 1) - 1 bits has been met, because a code farther than
 t in each of m segments is at least m * (t + 1) away.  Each code met is verified by its whole distance, and a
@@ -41,8 +41,8 @@ def sign_code(vector: Column) -> Column:
 
 
 def _cuts(n_codes: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each segment."""
-    width = min(24, max(4, round(math.log2(max(2, n_codes)))))
+    """(first bit, bits) of each segment: about four codes to a value, as a lookup costs as much as a few candidates."""
+    width = min(24, max(4, round(math.log2(max(2, n_codes) / 4))))
     m = -(-BITS // width)
     edges = [BITS * j // m for j in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
