@@ -15,6 +15,8 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     rows = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey")).join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.selectExpr("o_orderkey as k", "cast(round(o_totalprice * 100) as bigint) as cents", "cast(o_orderdate as date) as d", "c_name as cust", "n_name as nat")
+    # extraction costs far more than these rows weigh, so they are dealt to all cores whatever their size
+    rows = rows.repartition(2 * spark.sparkContext.defaultParallelism, "k")
     day = lambda c: f"concat(month({c}), '/', day({c}), '/', year({c}))"
     money = lambda c: f"concat({c} div 100, '.', lpad({c} % 100, 2, '0'))"
     return rows.selectExpr(
