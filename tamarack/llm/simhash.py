@@ -162,8 +162,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of rows that repeat an id, one stays.
     """
+    return drop_found(docs, near_copies(docs, id_col, text_col), id_col)
+
+
+def drop_found(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """:func:`drop_near_copies` by the components (``doc_id``, ``component_id``) in ``found``."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    found = near_copies(docs, id_col, text_col).where("doc_id is not null")
+    found = found.where("doc_id is not null")
     told = materialize(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_tmk_first"), F.count(F.lit(1)).alias("_tmk_rows")))
     gone = told.where("not _tmk_first").select(F.col("doc_id").alias("_tmk_id"))
     again = told.where("_tmk_first and _tmk_rows > 1").select(F.col("doc_id").alias("_tmk_id"))
