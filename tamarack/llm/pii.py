@@ -5,7 +5,8 @@ is dropped and not retried.  Further kinds are proposed by pattern and kept by s
 at a prior of the kind, a passed checksum raises it, and words of the kind's list within ``WINDOW``
 code points before the span raise it too.
 
-* iban: country letters, two check digits, 11 to 30 more; mod-97 must give 1
+* iban: country letters, two check digits, 11 to 30 more; mod-97 must give 1.  The end is the one of the
+  country's fixed length; in a country without one, each end at a boundary is tried, the farthest first
 * ssn: 3-2-4 digits, no zero group; kept only with a context word nearby
 * mac: six colon- or hyphen-separated hex pairs
 
@@ -37,7 +38,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}+))")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {c: int(x[0]) for x in map(str.split, (
+    "15 NO", "16 BE", "18 DK FI FK FO GL NL SD", "19 MK SI", "20 AT BA EE KZ LT LU MN XK", "21 CH HR LI LV", "22 BG BH CR DE GB GE IE ME RS VA",
+    "23 AE GI IL IQ OM SO TL", "24 AD CZ ES MD PK RO SA SE SK TN VG", "25 LY PT ST", "26 IS TR", "27 BI DJ FR GR IT MC MR SM", "28 AL AZ BY CY DO GT HN HU LB NI PL SV",
+    "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU")) for c in x[1:]}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _MAC = re.compile(r"(?<![0-9A-Fa-f:-])[0-9A-Fa-f]{2}(?:([:-])[0-9A-Fa-f]{2})(?:\1[0-9A-Fa-f]{2}){4}(?![0-9A-Fa-f:-])")
 #: Words near a span that speak for its kind, the kind's prior, and what a checksum adds.
@@ -96,6 +102,25 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    free = 0
+    for m in _IBAN.finditer(text):
+        if m.start() < free:
+            continue
+        ends, size = [], 4
+        for at in range(m.start(1), m.end(1)):
+            size += text[at] != " "
+            # a boundary: no ASCII letter or digit follows
+            if text[at] != " " and size >= 15 and not (text[at + 1 : at + 2].isascii() and text[at + 1 : at + 2].isalnum()):
+                ends.append((size, at + 1))
+        fixed = IBAN_LENGTHS.get(text[m.start() : m.start() + 2])
+        for size, end in reversed(ends):
+            if fixed in (None, size) and mod97(text[m.start() : end]):
+                free = end
+                yield m.start(), end
+                break
+
+
 def _score(kind: str, text: str, start: int, checked: bool) -> float:
     before = text[max(0, start - WINDOW) : start].lower()
     near = any(w in CONTEXT[kind] for w in re.findall("[a-z]+", before))
@@ -112,7 +137,7 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
     add("card", _cards(text), True)
     if "+" in text:
         add("phone", _phones(text))
-    more = [("iban", m.start(), m.end(), _score("iban", text, m.start(), True)) for m in _IBAN.finditer(text) if mod97(m[0])]
+    more = [("iban", s, e, _score("iban", text, s, True)) for s, e in _ibans(text)]
     more += [("ssn", m.start(), m.end(), _score("ssn", text, m.start(), False)) for m in _SSN.finditer(text)]
     more += [("mac", m.start(), m.end(), _score("mac", text, m.start(), False)) for m in _MAC.finditer(text)]
     return out + [x for x in more if x[3] >= LEAST]
