@@ -25,6 +25,10 @@ from tamarack.llm.common import materialize, words
 SYMBOLS = "[#*$%&|<>]"
 ROUNDS = 40
 THRESHOLD = 0.5
+#: Fixed value: the highest rate of false alarms that is estimated for a rule.
+MOST_FALSE = 0.3
+#: Sentence ends before white space, and those of scripts that need none behind them.
+ENDS = "[.!?\u061f\u06d4](?=[ \\t-\\r]|$)|[\u0964\u0965\u3002\uff01\uff1f\uff61\u0589\u1362\u1367\u104b\u17d4\u17d5\u0f0d]"
 #: The low bits of a packed window hold its place; longer texts take the exact path for every window.
 PLACE_BITS = 24
 
@@ -50,9 +54,9 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_tmk_l": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]")),
         "_tmk_symbols": _count(text, SYMBOLS + "+").cast("long"),
         "_tmk_upper": _count(text, "\\p{Lu}+").cast("long"),
-        "_tmk_alnum": _count(text, "[\\p{L}\\p{N}]+").cast("long"),
+        "_tmk_alnum": _count(text, "[\\p{L}\\p{M}\\p{N}]+").cast("long"),
         "_tmk_bangs": _count(text, "!+").cast("long"),
-        "_tmk_ends": _count(text, "[.!?](?=[ \\t-\\r]|$)").cast("long"),
+        "_tmk_ends": _count(text, ENDS).cast("long"),
     })
     n = F.size("_tmk_w")
     mask = (1 << PLACE_BITS) - 1
@@ -114,8 +118,8 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
     """From (``_tmk_pattern``, ``_tmk_n``): ``_tmk_pattern`` and ``_tmk_good``, the posterior that it is good.
 
     State: p, the share of bad documents, and for each rule b and g, how often it votes bad on bad and on
-    good documents.  A rule's bad vote is meant to be rare on good documents, so g stays at or below 0.003;
-    a bad vote seen more often than that has to come from bad documents.
+    good documents.  g is estimated up to ``MOST_FALSE`` and never above b, so a rule that clean documents trip
+    often loses its weight.
     """
     rules = F.sequence(F.lit(0), F.lit(n_rules - 1))
     item = F.struct(
@@ -124,7 +128,7 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
         F.col("_tmk_n").cast("double").alias("n"),
     )
     one = patterns.agg(F.sort_array(F.collect_list(item)).alias("xs"))
-    clip = lambda x, lo, hi: F.greatest(F.lit(lo), F.least(F.lit(hi), x))
+    clip = lambda x, lo, hi: F.greatest(F.lit(lo), F.least(hi if isinstance(hi, Column) else F.lit(hi), x))
 
     def bad(s: Column, x: Column) -> Column:
         def step(acc: Column, j: Column) -> Column:
@@ -143,11 +147,11 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
             # one pseudo-document of each vote keeps rates off 0 and 1
             rate = lambda f, j: (total(ps, lambda x: F.when(F.get(x["v"], j) == -1, x[f]).otherwise(0.0)) + 1.0) / (total(ps, lambda x: F.when(F.get(x["v"], j) != 0, x[f]).otherwise(0.0)) + 2.0)
             nb, ng = total(ps, lambda x: x["b"]), total(ps, lambda x: x["g"])
-            return F.struct(
+            return _let(F.transform(rules, lambda j: clip(rate("b", j), 0.05, 0.98)), lambda b: F.struct(
                 clip((nb + 1.0) / (nb + ng + 10.0), 0.01, 0.5).alias("p"),
-                F.transform(rules, lambda j: clip(rate("b", j), 0.05, 0.98)).alias("b"),
-                F.transform(rules, lambda j: clip(rate("g", j), 0.0002, 0.003)).alias("g"),
-            )
+                b.alias("b"),
+                F.transform(rules, lambda j: clip(rate("g", j), 0.0002, F.least(F.lit(MOST_FALSE), F.get(b, j)))).alias("g"),
+            ))
 
         return _let(posterior, update)
 
