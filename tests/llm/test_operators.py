@@ -82,58 +82,72 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_substring_dedup(spark, monkeypatch, small):
-    if small:
-        for name, n in (("CHUNK", 200), ("ROUND", 50), ("LONGEST", 3), ("HELD", 100)):
-            monkeypatch.setattr(substrings, name, n)
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_substring_dedup(spark, kind):
     rnd = random.Random(2)
     passages = [" ".join(rnd.choice("abcdefgh") for _ in range(20)) for _ in range(6)]
-    texts = [" ".join(rnd.choice([rnd.choice(passages), *"uvwxyz"]) for _ in range(rnd.randint(0, 12))) for _ in range(60)]
+    texts = [rnd.choice([" ", "\t", " \n "]).join(rnd.choice([rnd.choice(passages), *"uvwxyz", "aVeryLongWordOf" * 9]) for _ in range(rnd.randint(0, 12))) for _ in range(60)]
     texts += ["a " * 100, "a " * 120, None, "", passages[0], passages[0]]
-    df = docs(spark, *texts).orderBy(F.rand(3)).unionByName(hard(spark))
-    if small:
-        # workers read the module's own constants, so the parts are run here
-        rows = [(r.doc_id, r.text) for r in df.collect()]
-        return check_parts(rows)
+    df = docs(spark, *texts).orderBy(F.rand(3)).unionByName(hard(spark)).withColumn("doc_id", F.col("doc_id").cast(kind))
     rows = [(r.doc_id, r.text) for r in df.collect()]
+    want = brute_repeats(rows)
     got = [tuple(r) for r in substrings.over_kept(df, substrings.digest, "n_words long, n_removed long, kept_sha256 string").collect()]
-    assert sorted(map(repr, got)) == sorted(map(repr, brute_repeats(rows)))
-
-
-def check_parts(rows):
-    """The map and reduce sides with tiny chunks and rounds."""
-    rows = [(i, t) for i, t in rows if i is not None and len(t or "") < 5000]
-    sent, held, size = [], [], 0
-    for k, (i, t) in enumerate(rows):
-        held.append((i, k, words(t)))
-        size += len(held[-1][2])
-        if size >= substrings.CHUNK or k == len(rows) - 1:
-            sent += [tuple(r.values()) for r in substrings._send(held, 5).to_pylist()]
-            held, size = [], 0
-    ranges = collections.defaultdict(list)
-    buckets = collections.defaultdict(substrings._Held)
-    for i, h, b, data in sent:
-        if b < 0:
-            ranges[h].append(data)
-        else:
-            buckets[b].add(data)
-    for x in buckets.values():
-        for _, h, _, data in substrings._settle(x):
-            ranges[h].append(data)
-    got = []
-    for k, (i, t) in enumerate(rows):
-        w = words(t)
-        gone = substrings.gone_mask(len(w), ranges.get(k))
-        got.append((i, len(w), int(gone.sum()), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()))
-    assert got == brute_repeats(rows)
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and sum(x[2] for x in want) > 200
+    assert substrings.drop_repeats(df.limit(0)).count() == 0
+    with pytest.raises(TypeError):
+        substrings.drop_repeats(df.withColumn("doc_id", F.lit(1.5)))
+
+
+@pytest.mark.parametrize("rolls", range(4))
+def test_substring_parts(monkeypatch, rolls):
+    """The map and reduce sides with tiny chunks, blocks and rounds, and with frequent runs."""
+    for name, n in (("BLOCK", 300), ("ROUND", [50, 10**6][rolls % 2]), ("LONGEST", 3), ("LONG_WORD", 16)):
+        monkeypatch.setattr(substrings, name, n)
+    rnd = random.Random(rolls)
+    passages = [" ".join(rnd.choice("abcdefgh") for _ in range(20)) for _ in range(6)]
+    rows = [(rnd.randrange(40) - 20, " ".join(rnd.choice([rnd.choice(passages), *"uvwxyz", "é" * 12, "word" * 30]) for _ in range(rnd.randint(0, 12)))) for _ in range(60)]
+    texts = [t.encode() for _, t in rows]
+    text, place, first = substrings.tidy(texts)
+    least = substrings.super_kmers(substrings.word_hashes(text, place[:-1], np.diff(place) - 1), first)[3]
+    heavy = np.unique(least)[::2] if rolls > 1 else np.zeros(0, np.uint64)
+    for text_ids in (False, True):
+        name = (lambda i: f"{i:03}") if text_ids else (lambda i: i)
+        table, sent = substrings._Table(text_ids), []
+        for k in range(0, 60, 7):
+            ids = [name(i) for i, _ in rows[k : k + 7]]
+            ids = substrings._objects([i.encode() for i in ids]) if text_ids else np.array(ids)
+            sent += [r for x in substrings._send(ids, np.arange(k, k + len(ids)), texts[k : k + 7], 5, heavy, table) for r in x.to_pylist()]
+        buckets = collections.defaultdict(list)
+        for r in sent:
+            if r["bucket"] >= 0:
+                buckets[r["bucket"]].append(r["data"])
+        sent += [r for x in buckets.values() for y in substrings._settle(x, table) for r in y.to_pylist()]
+        got = []
+        for k, (i, t) in enumerate(rows):
+            w = words(t)
+            found = [r for r in sent if r["bucket"] < 0 and r["h"] == k]
+            assert {r["doc_id"] for r in found} <= {name(i)}
+            gone = substrings.gone_mask(len(w), np.array([r["start"] << 32 | r["stop"] for r in found], np.int64))
+            got.append((name(i), len(w), int(gone.sum()), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()))
+        assert got == brute_repeats([(name(i), t) for i, t in rows])
+
+
+def test_frequent_runs_come_last(spark):
+    def kmers(texts, heavy=None):
+        text, place, first = substrings.tidy([t.encode() for t in texts])
+        return np.unique(substrings.super_kmers(substrings.word_hashes(text, place[:-1], np.diff(place) - 1), first, heavy)[3], return_counts=True)
+
+    around = lambda run, n: [" ".join([*(f"u{k}_{j}" for j in range(8)), *run, *(f"v{k}_{j}" for j in range(8))]) for k in range(n)]
+    run = max((["one", f"x{j}"] for j in range(30)), key=lambda r: kmers(around(r, 20))[1].max())  # one with a small hash
+    texts = around(run, 2000)
+    heavy = substrings._heavy(docs(spark, *texts).selectExpr("doc_id", "xxhash64(text) h", "text"), substrings._Table(False))
+    assert len(heavy) == 1 and kmers(texts)[1].max() > 500 and kmers(texts, heavy)[1].max() < 20
 
 
 def test_equal_hashes_are_told_apart():
-    grid = np.arange(26, dtype=np.int32)
-    same = np.zeros(2, np.uint64)
-    assert substrings._repeated(same, np.array([1, 2]), np.array([0, 13]), grid).tolist() == [False, False]
-    assert substrings._repeated(same, np.array([2, 1]), np.array([0, 0]), grid).tolist() == [True, False]
+    same = np.zeros(3, np.uint64)
+    assert substrings._repeated(same, np.array([1, 2, 3]), [b"a", b"b", b"a"]).tolist() == [False, False, True]
+    assert substrings._repeated(same, np.array([2, 1, 2]), [b"a", b"a", b"b"]).tolist() == [True, False, False]
 
 
 # ---- chat formatting
