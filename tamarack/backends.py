@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.tables import ship
+
 MAX_TEXT, TRIES = 15_000, 3
 #: What in an error's text makes a call worth another try.
 RETRYABLE = ("429", "500", "503", "rate", "quota")
@@ -39,14 +41,14 @@ class Model(Protocol):
 
 
 def retried(call: Callable[[], str], tries: int = TRIES, wait: Callable[[float], None] = time.sleep) -> str:
-    """``call()``, again after 1, 2, 4 ... seconds while it fails with an error that may pass."""
+    """``call()``, again after 2, 4 ... seconds while it fails with an error that may pass."""
     for k in range(tries):
         try:
             return call()
         except Exception as e:
             if k + 1 == tries or not any(x in str(e).lower() for x in RETRYABLE):
                 raise
-            wait(2.0**k)
+            wait(2.0 ** (k + 1))
     raise AssertionError("unreachable")
 
 
@@ -66,6 +68,7 @@ def _over(df: DataFrame, source: str, keep: list[str], out: str, schema: str, fa
                     rows.append(base | {"error": f"{type(e).__name__}: {e}"})
             yield pd.DataFrame({c: pd.Series([x.get(c) for x in rows], dtype=object) for c in [*keep, *out.split(","), "error"]})
 
+    ship(df.sparkSession)
     head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     return df.select(*keep, source).mapInPandas(run, f"{head}, {schema}, error string")
 

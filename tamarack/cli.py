@@ -1,6 +1,8 @@
 """Command line: extract a file, a folder of texts or PDFs, or a folder as it grows.
 
-PDFs need two back ends, each named ``module:factory``; see ``tamarack.backends``.
+Settings come from the environment, see ``tamarack.config``: with a key, an address and a name of a model it is asked
+too, unless ``--regex-only`` is given.  PDFs are rasterised by pdf2image and read by the back end of the settings, or by
+back ends named ``module:factory``, see ``tamarack.backends``.
 """
 
 from __future__ import annotations
@@ -10,14 +12,18 @@ import importlib
 import logging
 import sys
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack import adapters
+from tamarack.config import Settings
 from tamarack.plans.extraction import extract_documents
-from tamarack.plans.services import process_pdfs
+from tamarack.plans.services import extract_with_model, process_pdfs
 from tamarack.session import session
 from tamarack.sources.files import read_pdfs, read_results, read_texts, skip_done
 from tamarack.sources.sinks import failures, records, summary, write_csv, write_flat_json, write_json
 from tamarack.streaming.ingest import run_incremental
+from tamarack.tables import materialize
 
 log = logging.getLogger("tamarack")
 
@@ -27,21 +33,27 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("-v", "--verbose", action="store_true")
     sub = p.add_subparsers(dest="command", required=True)
     one = sub.add_parser("extract", help="one text file, as a JSON record")
-    one.add_argument("file")
+    one.add_argument("path")
     one.add_argument("-o", "--output")
     many = sub.add_parser("extract-dir", help="all text files of a folder, as wide rows")
-    many.add_argument("folder")
+    many.add_argument("path")
     many.add_argument("-o", "--output", required=True)
     many.add_argument("--format", choices=("csv", "json"), default="csv")
-    many.add_argument("--resume", action="store_true", help="skip files whose rows are in the output")
-    for name, text in (("process", "one PDF"), ("process-dir", "all PDFs of a folder, as wide rows")):
-        pdf = sub.add_parser(name, help=text)
-        pdf.add_argument("path")
-        pdf.add_argument("-o", "--output", required=True)
-        pdf.add_argument("--rasterizer", required=True)
-        pdf.add_argument("--reader", required=True)
-        pdf.add_argument("--dpi", type=int, default=300)
-        pdf.add_argument("--resume", action="store_true")
+    for texts in (one, many):
+        texts.add_argument("--regex-only", action="store_true", help="ask no model")
+        texts.add_argument("--no-clean", action="store_true", help="take texts as they are")
+    pdf = sub.add_parser("process", help="one PDF, as a JSON record")
+    pdf.add_argument("path")
+    pdf.add_argument("-o", "--output")
+    pdfs = sub.add_parser("process-dir", help="all PDFs of a folder, as wide rows")
+    pdfs.add_argument("path")
+    pdfs.add_argument("-o", "--output", required=True)
+    for x in (pdf, pdfs):
+        x.add_argument("--rasterizer")
+        x.add_argument("--reader")
+        x.add_argument("--dpi", type=int)
+    for x in (many, pdfs):
+        x.add_argument("--resume", action="store_true", help="skip files whose rows are in the output")
     grow = sub.add_parser("ingest", help="text files that are new since the last run")
     grow.add_argument("folder")
     grow.add_argument("-o", "--output", required=True)
@@ -54,36 +66,61 @@ def _factory(name: str):
     return getattr(importlib.import_module(module), attr)
 
 
+def _extracted(files: DataFrame, args: argparse.Namespace, settings: Settings) -> DataFrame:
+    """Records of texts, with a model's answers where the settings have one and it is wanted."""
+    if args.regex_only or not settings.calls_model():
+        return extract_documents(files, do_clean=not args.no_clean)
+    return extract_with_model(files, "source_file", lambda: adapters.ChatModel(settings), lambda: adapters.SecondOpinion(settings), do_clean=not args.no_clean)
+
+
+def _read(pdfs: DataFrame, args: argparse.Namespace, settings: Settings) -> DataFrame:
+    """Records of PDFs, written before they are used, so that no page is read twice."""
+    rasterizer = _factory(args.rasterizer) if args.rasterizer else adapters.PdfPages
+    reader = _factory(args.reader) if args.reader else adapters.reader(settings)
+    return materialize(process_pdfs(pdfs, rasterizer, reader, args.dpi or settings.pdf_dpi, args.reader or settings.ocr_backend))
+
+
+def _one(out: DataFrame, path: str | None) -> None:
+    if path:
+        write_json(out, path, "overwrite")
+    else:
+        print(records(out).first()["value"])
+
+
+def _left(files: DataFrame, args: argparse.Namespace) -> tuple[DataFrame, int]:
+    """Files that a resumed run has still to take, and how many it skips."""
+    if not args.resume:
+        return files, 0
+    left = skip_done(files, read_results(files.sparkSession, args.output))
+    return left, files.select("source_file").count() - left.select("source_file").count()
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO, format="%(levelname)s %(message)s")
-    spark = session()
+    spark, settings = session(), Settings.from_env()
     try:
         if args.command == "extract":
-            out = extract_documents(read_texts(spark, args.file, glob=""))
-            if args.output:
-                write_json(out, args.output, "overwrite")
+            _one(_extracted(read_texts(spark, args.path, glob=""), args, settings), args.output)
+        elif args.command == "process":
+            out = _read(read_pdfs(spark, args.path, "*"), args, settings)
+            bad = failures(out).first()
+            if bad:
+                raise RuntimeError(f"{bad.file}: {bad.error}")
+            _one(out, args.output)
+        elif args.command == "ingest":
+            run_incremental(spark, args.folder, args.output, args.checkpoint)
+        else:
+            texts = args.command == "extract-dir"
+            files, skipped = _left(read_texts(spark, args.path) if texts else read_pdfs(spark, args.path), args)
+            out = materialize(_extracted(files, args, settings).withColumn("error", F.lit(None).cast("string"))) if texts else _read(files, args, settings)
+            good, mode = out.where("error is null"), "append" if args.resume else "errorifexists"
+            if texts and args.format == "json":
+                write_flat_json(good, args.output, mode)
             else:
-                print(records(out).first()["value"])
-        elif args.command == "extract-dir":
-            files = read_texts(spark, args.folder)
-            if args.resume:
-                files = skip_done(files, read_results(spark, args.output))
-            out = extract_documents(files)
-            mode = "append" if args.resume else "errorifexists"
-            write_csv(out, args.output, mode) if args.format == "csv" else write_flat_json(out, args.output, mode)
-            log.info("%s", summary(files.select(F.lit(None).cast("string").alias("error"))).first())
-        elif args.command.startswith("process"):
-            glob = "*.pdf" if args.command == "process-dir" else "*"
-            pdfs = read_pdfs(spark, args.path, glob)
-            if args.resume:
-                pdfs = skip_done(pdfs, read_results(spark, args.output))
-            out = process_pdfs(pdfs, _factory(args.rasterizer), _factory(args.reader), args.dpi).persist()
-            write_csv(out.where("error is null"), args.output, "append" if args.resume else "errorifexists")
+                write_csv(good, args.output, mode)
             failures(out).coalesce(1).write.mode("overwrite").json(args.output.rstrip("/") + ".errors")
-            log.info("%s", summary(out).first())
-        else:
-            run_incremental(spark, args.folder, args.output, args.checkpoint)
+            log.info("%s", summary(out, skipped).first())
     except Exception:
         log.exception("failed")
         return 1

@@ -73,7 +73,7 @@ def fence(df: DataFrame, *names: str) -> DataFrame:
 
 
 def title(word: Column) -> Column:
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 1_000_000)))
+    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, F.lit(2), F.length(word))))
 
 
 def matches(text: Column, pattern: str, groups: int, flags: str = "") -> Column:
@@ -83,6 +83,11 @@ def matches(text: Column, pattern: str, groups: int, flags: str = "") -> Column:
     return F.transform(cols.cast(kind), lambda m: F.struct(*[F.nullif(m[f"g{g}"], F.lit("")).alias(f"g{g}") for g in range(groups + 1)]))
 
 
+def place(text: Column, pattern: str, flags: str = "") -> Column:
+    """Where the first match starts, in code points from 1; 0 without a match.  For patterns that match something."""
+    return let(F.split(text, rx(pattern, flags), 2), lambda parts: F.when(F.size(parts) > 1, F.length(item(parts, 0)) + 1).otherwise(0))
+
+
 def with_starts(text: Column, found: Column) -> Column:
     """``array<struct<m, at>>``: each of :func:`matches` with the place it starts at (from 1).
 

@@ -16,13 +16,13 @@ MONEY = r"\$[\d,.\w]+"
 NUMBER = r"\b\d{1,3}[,.]?[\dOoIl]{2,3}\.[\dOoIl]{2}\b"
 TEXT_DATE = rf"\b({dates.FULL})\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s*(\d{{4}})?\b"
 NUMERIC_DATE = r"\b(\d{1,2})[/-](\d{1,2})[/-](\d{2,4})\b"
-#: A schedule's header, then whole lines up to two line feeds or the end of the text.
+#: A schedule's header, then whole lines up to two line feeds or the end of the text.
 BLOCK = r"(Payment\s+Schedule|Payment\s+Plan|Installment\s+Schedule)[:\s]*\n((?:(?s:.*?)\n)??)(?=\n\n|\z)"
 INVALID = " [INVALID DATE]"
 
 
 def fix_money(text: Column) -> Column:
-    return rewrite(text, MONEY, "", lambda m, _: F.concat(F.lit("$"), F.translate(F.substring(m, 2, 1_000_000), *GLYPHS)))
+    return rewrite(text, MONEY, "", lambda m, _: F.concat(F.lit("$"), F.translate(F.substring(m, F.lit(2), F.length(m)), *GLYPHS)))
 
 
 def fix_numbers(text: Column) -> Column:

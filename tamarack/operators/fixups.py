@@ -28,6 +28,7 @@ KNOWN_PLAINTIFFS = (
 #: The first days and last days around the agreement that a payment may fall on.
 DAYS_BEFORE, DAYS_AFTER = 7, 548
 EARLY, LATE = "DATE_BEFORE_AGREEMENT", "DATE_TOO_FAR_FUTURE"
+#: Fixed value: a filing stamp that OCR took for a name.
 STAMP = r"\d{4}\s+[A-Z]{3}\s+\d{1,2}\s+[AP]M"
 MONTH_WORDS = tuple(m.lower() for m in MONTHS) + tuple(m[:3].lower() for m in MONTHS)
 

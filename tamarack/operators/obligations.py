@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.dates import NUMERIC, SHORT, normalize_date
-from tamarack.functions.regex import contains_any, fence, first, has, let, matches, rx, strip, sub, with_starts
+from tamarack.functions.regex import contains_any, fence, first, has, let, matches, place, strip, sub, with_starts
 
 #: Phrases before a mention of vacating that make it a notice or a consequence of breach.
 NOTICE = ("acknowledges receipt", "receipt of", "notice to vacate served", "notice to leave served")
@@ -58,7 +58,7 @@ def vacate_date(text: Column, as_of: Column | None = None) -> Column:
     def hit(t: Column, p: str) -> Column:
         before = lambda at: F.lower(F.substring(t, F.greatest(at - 150, F.lit(1)), F.least(at - 1, F.lit(150))))
         bound = lambda b: ~contains_any(b, NOTICE + BREACH)
-        return let(F.regexp_instr(t, F.lit(rx(p, "im"))), lambda at: F.when((at > 0) & let(before(at), bound), strip(first(t, p, 1, "im"))))
+        return let(place(t, p, "im"), lambda at: F.when((at > 0) & let(before(at), bound), strip(first(t, p, 1, "im"))))
 
     plain = sub(sub(text, r"\*\*"), r"(\d{1,2})(?:st|nd|rd|th)", "$1")
     return normalize_date(let(plain, lambda t: F.coalesce(*[hit(t, p) for p in VACATE])), as_of)

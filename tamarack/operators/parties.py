@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions.regex import every, fence, first, has, item, let, strip, sub
+from tamarack.functions.regex import every, fence, first, has, item, let, rx, strip, sub
 
 #: Headers that are no names, labels that are no names.
 HEADER = r"MUNICIPAL COURT|FRANKLIN COUNTY|^IN THE"
@@ -16,8 +16,15 @@ HEADER_ABOVE = r"MUNICIPAL COURT|FRANKLIN COUNTY|COLUMBUS.*OHIO|^IN THE"
 HEADER_INLINE = r"MUNICIPAL COURT|FRANKLIN COUNTY"
 LABELS = ("v.", "vs.", "defendant", "defendants", "plaintiff", "plaintiffs", "date")
 SIGNATURE = r"<signature>(.*?)</signature>"
-#: Lines of a caption block that are followed upwards; a longer block is no name anyway.
-MOST_LINES = 50
+#: Wordings of plaintiffs and defendants in running text.
+PLAINTIFF_LINE = r"\s*(?:Plaintiff|PLAINTIFF)"
+PLAINTIFF_AFTER = r"((?:[A-Z][^\n]*\n){0,3}[^\n]*?),?\s*Plaintiff\s*[,(.]"
+PLAINTIFFS = r"([A-Z][A-Za-z\s.,&/]+?)\s*(?:,\s*)?PLAINTIFF\(S\)"
+VERSUS_LINE = r"(?:v\.|Vs|versus|vs)\s*\.?\s*\n\s*(?:Name:\s*)?([^\n]+)"
+VERSUS_NAME = r"(?:v\.|vs\.|versus)\s+([A-Z][A-Za-z\s]+?)(?:\s*,|\s*\n)"
+DEFENDANTS = r"(?:v\.|vs\.)\s*\n?\s*([A-Z][A-Za-z\s.,]+?)\s*(?:,\s*)?DEFENDANT\(S\)"
+ADDRESS, NAME, DEFENDANT_TAIL = r"Address:.*\z", r"Name:\s*", r"[,\s]*Defendant.*\z"
+#: Fixed value: characters from a signature in which its label is looked for.
 WINDOW = 200
 
 
@@ -60,6 +67,22 @@ def _above(cells: Column, label: str, refuse) -> Column:
     return let(told, pick)
 
 
+def _block_above(text: Column) -> Column:
+    """The lines above the first line that begins with the plaintiff's label and has any: each begins with a capital,
+    the first from its first capital on.
+
+    The text is cut before each such line, and of each piece all up to its last line of another kind goes, by
+    patterns that run over single characters only, so no length of block exhausts the stack.
+    """
+
+    def block(piece: Column) -> Column:
+        ended = sub(piece, r"\n\s*,?\s*\z")
+        return first(sub(ended, r"\A.*\n(?![A-Z][^\n])", "", "s"), r"[A-Z][^\n].*\z", 0, "s")
+
+    pieces = F.split(text, rx(rf"\n(?={PLAINTIFF_LINE})"), -1)
+    return let(pieces, lambda x: item(F.filter(F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda p: let(p, block)), lambda b: b.isNotNull()), 0))
+
+
 def _signed(sigs: Column, text: Column, want: str, other: str) -> Column:
     """The first signature whose label, in the text from it on, is ``want`` before ``other``."""
 
@@ -97,14 +120,14 @@ def parties(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
     bare = F.col("_bare")
     some = lambda word, x: F.when(F.contains(F.lower(bare), F.lit(word)), x)
     squeeze = lambda x: sub(x, r"\s+", " ")
-    m1 = squeeze(strip(first(bare, rf"([A-Z][^\n]+(?:\n[A-Z][^\n]+){{0,{MOST_LINES}}}?)\s*[,]?\s*\n\s*(?:Plaintiff|PLAINTIFF)", 1)))
-    m2 = squeeze(sub(strip(first(bare, r"((?:[A-Z][^\n]*\n){0,3}[^\n]*?),?\s*Plaintiff\s*[,(.]", 1, "i")), r"\n", " "))
-    m3 = strip(first(bare, r"([A-Z][A-Za-z\s.,&/]+?)\s*(?:,\s*)?PLAINTIFF\(S\)", 1, "i"))
+    m1 = squeeze(strip(_block_above(bare)))
+    m2 = squeeze(sub(strip(first(bare, PLAINTIFF_AFTER, 1, "i")), r"\n", " "))
+    m3 = strip(first(bare, PLAINTIFFS, 1, "i"))
     keep = lambda name, header: let(name, lambda x: F.when(~has(x, header, "i") & (x != ""), x))
-    d1 = strip(first(bare, r"(?:v\.|Vs|versus|vs)\s*\.?\s*\n\s*(?:Name:\s*)?([^\n]+)", 1, "i"))
-    d1 = strip(squeeze(sub(sub(sub(d1, r"Address:.*\z", "", "i"), r"Name:\s*"), r"[,\s]*Defendant.*\z", "", "i")))
-    d2 = sub(strip(first(bare, r"(?:v\.|vs\.|versus)\s+([A-Z][A-Za-z\s]+?)(?:\s*,|\s*\n)", 1, "i")), r"[,\s]*Defendant.*\z", "", "i")
-    d3 = strip(first(bare, r"(?:v\.|vs\.)\s*\n?\s*([A-Z][A-Za-z\s.,]+?)\s*(?:,\s*)?DEFENDANT\(S\)", 1, "is"))
+    d1 = strip(first(bare, VERSUS_LINE, 1, "i"))
+    d1 = strip(squeeze(sub(sub(sub(d1, ADDRESS, "", "i"), NAME), DEFENDANT_TAIL, "", "i")))
+    d2 = sub(strip(first(bare, VERSUS_NAME, 1, "i")), DEFENDANT_TAIL, "", "i")
+    d3 = strip(first(bare, DEFENDANTS, 1, "is"))
     long_ = lambda name: let(name, lambda x: F.when(F.length(x) > 1, x))
     out = out.withColumns({
         "_p": F.coalesce(F.col("_p"), some("plaintiff", F.coalesce(keep(m1, HEADER_ABOVE), keep(m2, HEADER), keep(m3, HEADER_INLINE))), _signed(F.col("_sigs"), text, "plaintiff", "defendant")),

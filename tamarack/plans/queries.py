@@ -29,9 +29,9 @@ def _add(name: str, run: Callable[[SparkSession, str], DataFrame], oracle: str |
         ORACLE_SQL[name] = f"{BASE_SQL}\n{oracle}"
 
 
-def _on_text(name: str, text: str, build: Callable[[DataFrame], DataFrame], oracle: str, where: str = "true") -> None:
+def _on_text(name: str, text: str, build: Callable[[DataFrame], DataFrame], oracle: str) -> None:
     """A query over ``text``, an SQL expression of the base columns."""
-    _add(name, lambda spark, sf: build(base(spark, sf).where(where).selectExpr("*", f"{text} as text", "cast(null as string) as filename")), oracle)
+    _add(name, lambda spark, sf: build(base(spark, sf).selectExpr("*", f"{text} as text", "cast(null as string) as filename")), oracle)
 
 
 def _col(name: str, make: Callable[[], Column]):
@@ -127,15 +127,15 @@ def _schedule(*items: dict) -> str:
     return f"cast(array({', '.join(one)}) as {payments.SCHEDULE}) as payment_schedule"
 
 
-def _fix(name: str, cols: list[str], step: Callable[[DataFrame], DataFrame], oracle: str, where: str = "true") -> None:
-    _add(name, lambda s, sf: step(base(s, sf).where(where).selectExpr("k", *cols)), oracle)
+def _fix(name: str, cols: list[str], step: Callable[[DataFrame], DataFrame], oracle: str) -> None:
+    _add(name, lambda s, sf: step(base(s, sf).selectExpr("k", *cols)), oracle)
 
 
 _first = lambda df: df.select("k", "total_payment_sum", F.get("payment_schedule", F.lit(0)).alias("p")).select("k", "total_payment_sum", "p.payment_type", "p.amount", "p.month_rent", "p.extra_text")
 _fix("fix_total", [_schedule({"amt": "amt"}, {"amt": "amt2"}, {"kind": "'monthly_rent'", "amt": "'999'"}), "'old' as total_payment_sum"], lambda df: fixups.fix_total(df).select("k", "total_payment_sum"), "select k, total as total_payment_sum from b")
-_fix("fix_case", ["concat('5812 CVG ', no, case when k % 2 = 0 then ' 15812' else '' end) as case_number"], lambda df: fixups.fix_case(df), "select k, 'S812 CVG ' || no || (case when k % 2 = 0 then ' 15812' else '' end) as case_number from b where no <> '005812'", "no <> '005812'")
+_fix("fix_case", ["concat('5812 CVG ', no, case when k % 2 = 0 then ' 15812' else '' end) as case_number"], lambda df: fixups.fix_case(df), "select k, 'S812 CVG ' || no || (case when k % 2 = 0 then ' 15812' else '' end) as case_number from b")
 _fix("fix_plaintiff", ["case k % 5 when 0 then 'VINEBROOX HOMES' when 1 then concat('The Delamere ', k) when 2 then 'Waltham Assets' when 3 then 'S8''12' else concat(cust, ' q') end as plaintiff"], lambda df: fixups.fix_plaintiff(df),
-     "select k, case k % 5 when 0 then 'Vinebrook' when 1 then 'Elam' when 2 then 'Waltham Assets' when 3 then 'S81' else cust || ' q' end as plaintiff from b where not contains(no, '581') and not contains(cust, '581')", "not contains(no, '581') and not contains(cust, '581')")
+     "select k, case when k % 5 = 0 then 'Vinebrook' when k % 5 = 2 then 'Waltham Assets' when k % 5 = 3 or contains(case when k % 5 = 1 then cast(k as varchar) else cust end, '581') then 'S81' when k % 5 = 1 then 'Elam' else cust || ' q' end as plaintiff from b")
 _fix("fix_rent", [_schedule({"amt": "case k % 3 when 0 then 'march' when 1 then '750' else amt end", "month": "case when k % 3 = 1 then 'May' end", "extra": "case when k % 3 = 2 then 'some Rent' end"}), "cast(null as string) as total_payment_sum"], lambda df: _first(fixups.fix_rent(df)),
      "select k, cast(null as varchar) as total_payment_sum, 'monthly_rent' as payment_type, case when k % 3 = 2 then amt end as amount, case k % 3 when 0 then 'March' when 1 then 'May' end as month_rent, case when k % 3 = 2 then 'some Rent' end as extra_text from b")
 _fix("fix_dates", [_schedule({"amt": "amt", "due": "date_format(date_add(d, case k % 4 when 0 then -8 when 1 then -7 when 2 then 548 else 549 end), 'yyyy-MM-dd')", "extra": "case when k % 2 = 0 then 'water' end"}), "cast(null as string) as total_payment_sum", "date_format(d, 'yyyy-MM-dd') as agreement_signed_date"], lambda df: _first(fixups.fix_dates(fixups.fix_dates(df))),

@@ -15,6 +15,7 @@ from tamarack import backends
 from tamarack.operators.clean import clean
 from tamarack.operators.reclassify import MAX_CHARS, needs_reclassification
 from tamarack.plans.extraction import extract_documents
+from tamarack.tables import materialize
 
 
 def process_pdfs(pdfs: DataFrame, rasterizer: Callable[[], backends.Rasterizer], reader: Callable[[], backends.PageReader], dpi: int = 300, name: str = "hosted", as_of: Column | None = None) -> DataFrame:
@@ -24,16 +25,23 @@ def process_pdfs(pdfs: DataFrame, rasterizer: Callable[[], backends.Rasterizer],
     return extract_documents(texts, as_of=as_of).withColumn("ocr_backend", F.lit(name))
 
 
-def extract_with_model(df: DataFrame, key: str, model: Callable[[], backends.Model], second: Callable[[], backends.Model] | None = None, as_of: Column | None = None) -> DataFrame:
+def extract_with_model(df: DataFrame, key: str, model: Callable[[], backends.Model], second: Callable[[], backends.Model] | None = None, as_of: Column | None = None, do_clean: bool = True) -> DataFrame:
     """Records of (``key``, ``filename``, ``text``) merged with a model's answers; ``key`` is unique.
 
-    ``second`` is asked only about rows whose outcome is vague after the merge.
+    ``second`` is asked only about rows whose outcome is vague after the merge; only those are extracted again.
+    Answers are written to the shared folder before they are used, so that no later step, retry or lost executor
+    asks again.
     """
-    cleaned = clean(df)
-    answers = backends.ask(cleaned, model, key).select(key, "model")
+    shown = clean(df) if do_clean else df.withColumn("cleaned_text", F.coalesce("text", F.lit("")))
+    answers = materialize(backends.ask(shown, model, key).select(key, "model"))
     rows = df.join(answers, key, "left")
+    out = extract_documents(rows, "model", do_clean=do_clean, as_of=as_of).drop("model")
     if second is None:
-        return extract_documents(rows, "model", as_of=as_of).drop("model")
-    vague = extract_documents(rows, "model", as_of=as_of).where(needs_reclassification(F.col("outcome_type")))
-    more = backends.ask(vague, second, key, out="answer", chars=MAX_CHARS).select(key, "answer")
-    return extract_documents(rows.join(more, key, "left"), "model", "answer", as_of=as_of).drop("model", "answer")
+        return out
+    out = materialize(out)
+    vague = out.where(needs_reclassification(F.col("outcome_type")))
+    told = F.substring(F.coalesce("cleaned_text", "text", F.lit("")), 1, MAX_CHARS)
+    asked = vague.select(key, F.concat(F.lit("Case: "), F.coalesce("case_number", F.lit("unknown")), F.lit("\n\nDocument text:\n"), told).alias("cleaned_text"))
+    more = materialize(backends.ask(asked, second, key, out="answer", chars=2 * MAX_CHARS).select(key, "answer"))
+    told = extract_documents(rows.join(more, key), "model", "answer", do_clean=do_clean, as_of=as_of).drop("model", "answer")
+    return out.join(more, key, "left_anti").select(told.columns).unionByName(told)

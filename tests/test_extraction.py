@@ -1,3 +1,5 @@
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +60,37 @@ def test_obligations(spark):
     assert got[1].mandatory_vacate_date is None and got[2].mandatory_vacate_date is None
 
 
+def test_places_count_code_points(spark):
+    near = "On breach " + "\U0001f600" * 5 + "x" * 116 + " Defendant shall vacate the premises by 1/2/2024."
+    far = "On breach " + "\U0001f600" * 5 + "x" * 176 + " Defendant shall vacate the premises by 1/2/2024."
+    got = {r.k: r.mandatory_vacate_date for r in obligations.obligations(texts(spark, near, far), "text", day()).collect()}
+    assert got == {0: None, 1: "2024-01-02"}
+
+
+def test_long_captions(spark):
+    many = "\n".join(["Capital line"] * 60)
+    rows = texts(spark, f"IN THE FRANKLIN COUNTY MUNICIPAL COURT\n{many}\nPlaintiff\n\nZed Homes, Plaintiff,", "x\nab Acme Inc\nand Sons Ltd\n  Sunrise\nLLC,\n\n ,\n Plaintiff", "no capital\nplaintiff\n\nBlue Sky,\nPlaintiff",
+                 "abc\nPlaintiff Foo\nPlaintiff", "Homes\nPlaintiff\nOther\nPlaintiff")
+    got = {r.k: r.plaintiff for r in parties.parties(rows, "text").collect()}
+    assert got == {0: "Zed Homes", 1: "Sunrise LLC", 2: "Blue Sky", 3: "Plaintiff Foo", 4: "Homes"}
+
+
+def test_lines_above_the_label_as_python_finds_them(spark):
+    rnd = random.Random(5)
+    bits = ["A", "Bc", "d", " ", ",", "\n", "\n", "\n", "Plaintiff", "PLAINTIFF", "Plain", "é", "Ab cd"]
+    ts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25))) for _ in range(3000)]
+    form = re.compile(r"([A-Z][^\n]+(?:\n[A-Z][^\n]+)*?)\s*[,]?\s*\n\s*(?:Plaintiff|PLAINTIFF)")
+    got = {r.k: r.b for r in texts(spark, *ts).select("k", parties._block_above(F.col("text")).alias("b")).collect()}
+    for k, x in enumerate(ts):
+        m = form.search(x)
+        assert (got[k] and got[k].strip()) == (m and m[1].strip()), (x, got[k], m and m[1])
+
+
+def test_no_length_is_cut(spark):
+    run = "5" * 1_200_000 + "O"
+    assert len(clean.clean(texts(spark, "$" + run)).first().cleaned_text) == len(run) + 1
+
+
 def test_known_plaintiffs(spark):
     rows = spark.createDataFrame([("Delamere",), ("s8'12",), ("vinebr00k homes",), ("Unknown LLC",), ("x",), (None,)], "n string")
     assert [r.p for r in rows.select(fixups.known_plaintiff(F.col("n")).alias("p")).collect()] == ["Elam", "S81", "Vinebrook", None, None, None]

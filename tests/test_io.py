@@ -87,6 +87,28 @@ def test_model_answers(spark):
     assert (got[2].plaintiff, got[2].extraction_method) == (None, "Regex-only+Reclassified")
 
 
+class Counted:
+    """Answers, and a line in a file for each call."""
+
+    def __init__(self, path, kind):
+        self.path, self.kind = path, kind
+
+    def answer(self, text):
+        with open(self.path, "a") as f:
+            f.write("x\n")
+        return '{"outcome_type": "%s", "reasoning": "why"}' % self.kind
+
+
+def test_each_call_is_made_once(spark, tmp_path):
+    rows = spark.createDataFrame([(k, None, f"text {k}" + (" Agreed entry" if k % 2 else " pay $5")) for k in range(6)], "k int, filename string, text string")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    out = extract_with_model(rows, "k", lambda: Counted(one, "Settlement"), lambda: Counted(two, "Vacate Only"))
+    for _ in range(2):
+        assert sorted(r.k for r in out.select("k", "outcome_type", "confidence_score").collect()) == list(range(6))
+    vague = out.where("extraction_method like '%Reclassified'").count()
+    assert len(open(one).readlines()) == 6 and len(open(two).readlines()) == vague > 0
+
+
 def _no_wait(seconds):
     pass
 
