@@ -2,79 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a maximal run of characters other than space and U+0009..U+000D.
-SPACE_RUN = "[ \\t-\\r]+"
-#: The same set, for ``bytes.strip`` and friends; ``bytes.split()`` cuts on exactly these.
-PREFIX = "_tmk_"
-
-_root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package when it isn't installed on them.
-
-    On a cluster the package travels as ``--py-files`` or is installed; here the folder it was
-    imported from is added to the workers' path.
-    """
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "")
-    if _root not in have.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (have, _root) if x)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
-
-    Where that is unset, a temporary folder in local mode and a folder beside the warehouse
-    otherwise, so that no machine-local folder is ever used on a cluster.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        return "file://" + _local_dir()
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tamarack"
+from tamarack.tables import discard, materialize, shared_dir, ship, uses
 
+__all__ = ["SPACE_RUN", "discard", "materialize", "n_partitions", "read", "shared_dir", "ship", "uses", "words"]
 
-_local: list[str] = []
-
-
-def _local_dir() -> str:
-    if not _local:
-        made = tempfile.TemporaryDirectory(prefix="tamarack-")
-        atexit.register(made.cleanup)
-        _local.append(made.name)
-    return _local[0]
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts the lineage and survives lost executors; as Parquet it also tells Catalyst its size.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tamarack_path = path  # type: ignore[attr-defined]
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table that :func:`materialize` wrote, once nothing reads it any more."""
-    path = getattr(df, "_tamarack_path", None)
-    if path:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+#: A word is a maximal run of characters other than space and U+0009..U+000D.
+SPACE_RUN = "[ \\t-\\r]+"
 
 
 def n_partitions(spark: SparkSession) -> int:

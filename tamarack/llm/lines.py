@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import materialize
+from tamarack.llm.common import materialize, uses
 
 RATIO, LEAST = 0.1, 5
 BROADCAST_BYTES, SALTS = 32 << 20, 64
@@ -35,29 +35,33 @@ def _hash(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
-    """(``_tmk_host``, ``_tmk_gone``): the hashes of each host's boilerplate lines."""
-    host = F.coalesce(F.concat(F.lit("1"), F.col(host_col)), F.lit("2")).alias("_tmk_host")
-    lines = F.array_distinct(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: x.rlike("[^ \\t-\\r]")))
-    hosts = pages.select(host).groupBy("_tmk_host").agg(F.count(F.lit(1)).alias("_tmk_pages"))
-    held = pages.select(host, F.explode(F.transform(lines, _hash)).alias("_tmk_line")).groupBy("_tmk_host", "_tmk_line").agg(F.count(F.lit(1)).alias("_tmk_n"))
-    often = held.where(F.col("_tmk_n") >= least).join(hosts, "_tmk_host").where(F.col("_tmk_n") > ratio * F.col("_tmk_pages"))
-    return often.groupBy("_tmk_host").agg(F.collect_list("_tmk_line").alias("_tmk_gone"))
+def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
+    """(``host``, ``gone``): the hashes of each host's boilerplate lines, from (``host``, ``text``)."""
+    lines = F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike("[^ \\t-\\r]")))
+    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    held = pages.select("host", F.explode(F.transform(lines, _hash)).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    # frequent lines of a host are spread over salts, to each of which the host's total goes
+    salted = held.where(F.col("n") >= least).withColumn("salt", F.pmod(F.xxhash64("line"), F.lit(SALTS)).cast("int"))
+    often = salted.join(hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "salt"]).where(F.col("n") > ratio * F.col("pages"))
+    return often.groupBy("host").agg(F.collect_list("line").alias("gone"))
 
 
-def drop_boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
-    """``pages`` with boilerplate lines gone from its text, and ``_tmk_dropped``, how many went from each page."""
-    gone = materialize(boilerplate(pages, text_col, host_col, ratio, least))
-    size = gone.agg(F.sum(F.size("_tmk_gone") * 16 + F.length("_tmk_host"))).first()[0] or 0
-    host = F.coalesce(F.concat(F.lit("1"), F.col(host_col)), F.lit("2"))
+def drop_boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO, least: int = LEAST, count_col: str | None = None) -> DataFrame:
+    """``pages`` with boilerplate lines gone from its text, and ``count_col``, if named, how many went from each page."""
+    if count_col in pages.columns:
+        raise ValueError(f"there is a column {count_col} already")
+    host = F.coalesce(F.concat(F.lit("1"), F.col(f"`{host_col}`")), F.lit("2"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), host.alias("host"), F.col(f"`{text_col}`").alias("text"))
+    gone = materialize(boilerplate(rows.select("host", "text"), ratio, least))
+    size = gone.agg(F.sum(F.size("gone") * 16 + F.length("host"))).first()[0] or 0
     if size <= BROADCAST_BYTES:
-        out = pages.withColumn("_tmk_host", host).join(F.broadcast(gone), "_tmk_host", "left")
+        out = rows.join(F.broadcast(gone), "host", "left")
     else:
-        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_tmk_salt")
-        salted = pages.withColumns({"_tmk_host": host, "_tmk_salt": F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int")})
-        out = salted.join(gone.select("*", salt), ["_tmk_host", "_tmk_salt"], "left").drop("_tmk_salt")
-    all_lines = F.split(F.col(text_col), "\n")
-    out = out.withColumn("_tmk_kept", F.when(F.col("_tmk_gone").isNull(), all_lines).otherwise(F.filter(all_lines, lambda x: ~F.array_contains(F.col("_tmk_gone"), _hash(x)))))
-    out = out.withColumn("_tmk_dropped", F.coalesce(F.size(all_lines) - F.size("_tmk_kept"), F.lit(0)).cast("long"))
-    cols = [F.array_join("_tmk_kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
-    return out.select(*cols, "_tmk_dropped")
+        # a salt of the row's own: copies of one page are spread too
+        salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        out = salted.join(gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "salt"], "left")
+    every = F.split("text", "\n")
+    out = out.withColumn("kept", F.when(F.col("gone").isNull(), every).otherwise(F.filter(every, lambda x: ~F.array_contains("gone", _hash(x)))))
+    cols = [(F.array_join("kept", "\n") if c == text_col else F.col("row")[c]).alias(c) for c in pages.columns]
+    count = [F.coalesce(F.size(every) - F.size("kept"), F.lit(0)).cast("long").alias(count_col)] if count_col else []
+    return uses(out.select(*cols, *count), gone)

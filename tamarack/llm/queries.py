@@ -14,8 +14,8 @@ from tamarack.llm.common import materialize, read
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = lines.drop_boilerplate(docs)
-    return out.select("doc_id", F.col("_tmk_dropped").alias("n_dropped"), F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+    out = lines.drop_boilerplate(docs, count_col="n_dropped")
+    return out.select("doc_id", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return out.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
+                      F.size("spans").cast("long").alias("n_spans"), F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +89,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    small = materialize(mixing.sized(docs).select("doc_id", "_tmk_size", "_tmk_h", "_tmk_src"))
-    out = mixing.schedule(small)
-    return out.select("doc_id", F.col("_tmk_size").alias("size"), "source_size", "target", "taken")
+    small = materialize(mixing.queued(docs, ["doc_id"]))
+    out = mixing.scheduled(small, *mixing.plan(small))
+    return out.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("served")).alias("taken"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +99,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that SQL can express."""
+    return op5_pii(spark, sf_dir).drop("spans", "n_spans", "scores")
+
+
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can express."""
+    return op8_quality_rules(spark, sf_dir).drop("kept", "p_good", "votes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -109,8 +120,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
+    "pii_base_spans": pii_base_spans,
+    "quality_base_counts": quality_base_counts,
 }
 
+#: In SQL: the words of a text.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+')"
+
+
+def _sql_spans(kind: str, pattern: str) -> str:
+    """All matches of a pattern with the text before each."""
+    return f"select rn, '{kind}' as kind, unnest(regexp_extract_all(x, '{pattern}')) as m, unnest(string_split_regex(x, '{pattern}')) as g, generate_subscripts(string_split_regex(x, '{pattern}'), 1) as i from t"
+
+
+_SQL_SPANS = " union all ".join(_sql_spans(k, p) for k, p in (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")))
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": """
         with pages as (select doc_id, source, text, string_split(text, chr(10)) as ls from documents),
@@ -135,4 +161,81 @@ ORACLE_SQL: dict[str, str] = {
         ranked as (select *, row_number() over (partition by query_id order by distance, neighbor_id) as rank from pairs)
         select query_id, rank, neighbor_id, distance from ranked where rank <= 10
     """,
+    "op2_substring_dedup": f"""
+        with d as (select row_number() over () as rn, doc_id, {_WORDS} as w from documents),
+        x as (select rn, doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from d),
+        k as (
+            select rn, doc_id, i, lead(word, 12) over o as last, concat_ws(' ', word, {", ".join(f"lead(word, {j}) over o" for j in range(1, 13))}) as run
+            from x window o as (partition by rn order by i)),
+        m as (select rn, doc_id, i, min(doc_id) over (partition by run) as first from k where last is not null and doc_id is not null),
+        gone as (select distinct rn, i + j as i from m cross join (select unnest(range(13)) as j) where first < doc_id),
+        kept as (
+            select x.rn, string_agg(word, ' ' order by x.i) filter (gone.rn is null) as t, count(gone.rn) as n_removed
+            from x left join gone on x.rn = gone.rn and x.i = gone.i group by x.rn)
+        select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+        from d left join kept on d.rn = kept.rn
+    """,
+    "op3_chat_formatting": r"""
+        with c as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        r as (
+            select *, role is distinct from lag(role) over (partition by conv_id order by turn nulls first, role, text) as opens,
+                length(regexp_replace(text, '[\\\[<]', '..', 'g')) as n, length(regexp_replace(role, '[\\\[<\n]', '..', 'g')) as head from c)
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by turn nulls first, role, text)) as turns_sha256,
+            cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn nulls first, text) filter (role = 'assistant'), '')) as loss_sha256,
+            cast(sum(n + case when not opens then 6 else head + 1 + case role when 'assistant' then 7 else 13 end end) as bigint) as formatted_chars
+        from r group by conv_id
+    """,
+    "pii_base_spans": f"""
+        with t as (select row_number() over () as rn, doc_id, coalesce(text, '') as x from documents),
+        f as ({_SQL_SPANS}),
+        s as (select rn, kind, m, sum(length(g) + coalesce(length(m), 0)) over (partition by rn, kind order by i) as stop, regexp_replace(m, '[^0-9]', '', 'g') as ds from f),
+        ok as (
+            select rn, kind, stop - length(m) as start, stop from s where m is not null and case kind
+                when 'email' then true
+                when 'ip' then list_max(list_transform(string_split(m, '.'), lambda a: case when length(ltrim(a, '0')) > 3 then 999 else cast(a as bigint) end)) <= 255
+                when 'phone' then length(ds) between 9 and 15
+                else length(ds) between 13 and 19 and list_sum(list_transform(range(1, length(ds) + 1), lambda i:
+                    case when i % 2 = 1 then cast(substr(reverse(ds), i, 1) as int) else (2 * cast(substr(reverse(ds), i, 1) as int)) % 10 + (2 * cast(substr(reverse(ds), i, 1) as int)) // 10 end)) % 10 = 0 end),
+        n as (
+            select rn, {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in pii.BASE_KINDS)},
+                string_agg(concat(kind, ':', start, ':', stop), ',' order by case kind when 'email' then 1 when 'ip' then 2 when 'card' then 3 else 4 end, start) as told
+            from ok group by rn)
+        select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in pii.BASE_KINDS)}, sha256(coalesce(told, '')) as base_sha256 from t left join n on t.rn = n.rn
+    """,
+    "quality_base_counts": f"""
+        with d as (
+            select row_number() over () as rn, doc_id, coalesce(text, '') as x, {_WORDS} as w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ \\t-\\r]')) as ls from documents),
+        e as (select rn, unnest(w) as word, generate_subscripts(w, 1) as i from d),
+        k as (select rn, i, lead(word, 2) over o as last, concat_ws(' ', word, lead(word) over o, lead(word, 2) over o) as run from e window o as (partition by rn order by i)),
+        m as (select rn, i, count(*) over (partition by rn, run) as n from k where last is not null),
+        r as (select rn, count(distinct i + j) as n from m cross join (select unnest(range(3)) as j) where n > 1 group by rn)
+        select doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+            cast(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+            cast(coalesce(n, 0) as bigint) as n_repeat_words, len(w) < 50 or 100 * coalesce(n, 0) > 50 * len(w) as base_failed
+        from d left join r on d.rn = r.rn
+    """,
+    "op9_source_mixing": f"""
+        with d as (
+            select row_number() over () as rn, doc_id, cast(doc_id as varchar) as id, coalesce('1' || source, '2') as src, cast(len({_WORDS}) as bigint) as size,
+                substr(md5(concat_ws(':', cast(doc_id as varchar), text)), 1, 15) as h from documents),
+        s as (select src, cast(sum(size) as double) as n, cast([3, 1, 2][1 + (row_number() over (order by src) - 1) % 3] as double) as w from d group by src),
+        l as (
+            select *, (1.5::double * sum(n) over () - coalesce(sum(2 * n) over (order by 2 * n / w, src rows between unbounded preceding and 1 preceding), 0))
+                / sum(w) over (order by 2 * n / w, src rows between current row and unbounded following) as level from s),
+        t as (
+            select src, cast(n as bigint) as source_size, least(2 * n, w * coalesce((select level from l where 2 * n / w > level order by 2 * n / w, src limit 1), 'infinity'::double)) as target
+            from l),
+        q as (select d.*, source_size, target, sum(size) over (partition by d.src order by h, id, size rows unbounded preceding) - size as before from d join t on d.src = t.src),
+        v as (
+            select rn, size, h, id, src, k, cast(before + k * source_size + size as double) / target as finish
+            from q cross join (select unnest([0, 1]) as k) where size > 0 and before + k * source_size < target),
+        g as (select rn, size, sum(size) over (order by finish, h, id, src, k rows unbounded preceding) - size as run from v),
+        took as (select rn, sum(size) as taken from g where run < (select 1.5::double * sum(size) from d) group by rn)
+        select doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken from q left join took on q.rn = took.rn
+    """,
 }
