@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import discard, materialize
+from tamarack.llm.common import discard, materialize, uses
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,10 +31,34 @@ def components(edges: DataFrame) -> DataFrame:
         # settled when every node has one link and no link's lower end has a link of its own
         links = after.count()
         same = links == now.count() and after.join(now, ["a", "b"], "left_anti").isEmpty()
-        discard(large)
-        discard(now)
+        discard(large, now)
         now = after
         if same:
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return uses(out, now)
+
+
+def named(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id``, ``node``, ...) with ``root`` and ``component_id``, the smallest id of the component.
+
+    ``nodes`` has ``node`` and ``first``, its smallest id; a node that ``roots`` lacks is alone.
+    """
+    linked = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(linked.join(names, "root").select("node", "root", "component_id"), "node")
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, node, id_col: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each component of ``found`` (``doc_id``, ``node``, ``root``): of those that have an id the
+    one with the smallest, else one without; ``node`` is the node of a row, as a Column over ``docs``.
+
+    Rows are matched by id and node, both sides dealt by them whatever their size, so texts move once and copies
+    of one text are spread by their ids.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
+    keep = found.groupBy("root").agg(first.alias("f")).select(F.col("f.doc_id").alias("doc_id"), F.col("f.node").alias("node"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), node.alias("at"))
+    kept = rows.join(keep.hint("merge"), rows["id"].eqNullSafe(keep["doc_id"]) & (rows["at"] == keep["node"]), "left_semi")
+    return kept.dropDuplicates(["id", "at"]).select("row.*")

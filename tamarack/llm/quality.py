@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import materialize, words
+from tamarack.llm.common import materialize, uses, words
 
 #: Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -173,11 +173,16 @@ def judge(featured: DataFrame, counted: DataFrame | None = None, threshold: floa
         F.startswith("_tmk_pattern", F.lit("f")).alias("_tmk_base_failed"),
         (F.startswith("_tmk_pattern", F.lit("p")) & (F.col("_tmk_good") >= threshold)).alias("_tmk_kept"),
     )
-    return featured.join(F.broadcast(materialize(verdict)), "_tmk_pattern")
+    verdict = materialize(verdict)
+    return uses(featured.join(F.broadcast(verdict), "_tmk_pattern"), verdict)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that pass the base test and are more likely good than not."""
-    cols = docs.columns
-    featured = with_pattern(features(docs, text_col)).select(*[F.col(f"`{c}`") for c in cols], "_tmk_pattern")
-    return judge(featured, threshold=threshold).where("_tmk_kept").select(*[F.col(f"`{c}`") for c in cols])
+    """The rows of ``docs`` that pass the base test and are more likely good than not.
+
+    The rows are written once with their votes, so the rules run over each text once.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    voted = materialize(with_pattern(features(rows)).select("row", "_tmk_pattern"))
+    judged = judge(voted, threshold=threshold)
+    return uses(judged.where("_tmk_kept").select("row.*"), voted, *judged._tamarack_uses)

@@ -13,16 +13,17 @@ them.  With at most two errors over three segments, one of these holds, and each
 * B is equal, and A shares a key;
 * A and B have one error each, so C is equal and both A and B share a key.
 
-Nodes that share a key are candidates and are verified by their distance.  A key shared by more than
-``SMALL`` nodes isn't paired up: its nodes emit the words between them (the node and its 64 neighbours), and
-nodes that meet at such a word are within 2 bits of each other, so each links to the least of them.  That
-finds the same components exactly, with 65 rows a node instead of all pairs.
+Nodes that share a key are candidates and are verified by their distance.  Keys are counted first, combined before
+the shuffle, and only shared keys go on.  A key shared by more than ``SMALL`` nodes isn't paired up: its nodes emit
+the words between them (the node and its 64 neighbours), and nodes that meet at such a word are within 2 bits of
+each other, so each links to the least of them.  That finds the same components exactly, with 65 rows a node instead
+of all pairs.
 
 Components are found by joins over distinct fingerprints; only ids and fingerprints move, never texts.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id never
 names a component unless the component has no other; repeated rows share their component; an empty table
-gives an empty result; extra columns are ignored or, in :func:`drop_near_copies`, kept.
+gives an empty result; extra columns are ignored or, in :func:`drop_near_copies`, kept whatever their names.
 """
 
 from __future__ import annotations
@@ -32,18 +33,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tamarack.llm import graph
-from tamarack.llm.common import materialize, ship
+from tamarack.llm.common import discard, materialize, ship, uses
 
 SEED, SHINGLE, DISTANCE, SMALL = 42, 3, 2, 32
 #: Fixed value: a generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
 CHUNK = 16384
-#: Most ids in a broadcast table: 8 bytes each, about 32 MB as Spark holds them.
-BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: str | None) -> int:
@@ -63,17 +63,23 @@ def fingerprint(text: str | None) -> int:
     return int(bits.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``doc_id``, ``fp``) for each row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """(``doc_id``, ``fp``) for each row, and with ``keep`` the ``row``, a struct."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py()) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            rows = [b.column("row")] if keep else []
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64()), *rows], ["doc_id", "fp", "row"][: 2 + keep])
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    cols = [docs[id_col].alias("doc_id"), docs[text_col].alias("text")]
+    if not keep:
+        return docs.select(*cols).mapInArrow(run, f"doc_id {kind}, fp long")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(*cols, row)
+    return rows.mapInArrow(run, StructType([StructField("doc_id", docs.schema[id_col].dataType), StructField("fp", LongType()), StructField("row", rows.schema["row"].dataType)]))
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -134,50 +140,40 @@ def links(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[row])], ["key", "fp"])
 
     keyed = nodes.select("fp").mapInArrow(run, "key long, fp long")
-    keyed = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
+    often = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keyed = materialize(keyed.join(often, "key"))
     few = keyed.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     few = few.select(F.explode("fps").alias("a"), "fps").select("a", F.explode(F.filter("fps", lambda x: (x > F.col("a")) & (F.bit_count(x.bitwiseXOR(F.col("a"))) <= DISTANCE))).alias("b"))
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), k) for k in range(64)])
     many = keyed.where(F.col("n") > SMALL).select("fp").distinct().select("fp", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("mid"))
     least = many.groupBy("mid").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = many.join(least, "mid").select(F.col("fp").alias("a"), "b").where("a <> b")
-    return few.unionByName(met).distinct()
+    return uses(few.unionByName(met).distinct(), keyed)
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``doc_id``, ``fp``, ``component_id``) for each row; the component is named by its smallest id."""
-    fps = materialize(fingerprints(docs, id_col, text_col))
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = graph.components(links(nodes)).withColumnRenamed("node", "fp")
-    named = nodes.join(roots, "fp")
-    names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    # alone: the node names its component; else its root does
-    linked = named.join(names, "root").select("fp", "component_id")
-    alone = nodes.join(roots, "fp", "left_anti").select("fp", F.col("first").alias("component_id"))
-    return fps.join(linked.unionByName(alone), "fp").select("doc_id", "fp", "component_id")
+    out = _found(docs, id_col, text_col)
+    return uses(out.select("doc_id", F.col("node").alias("fp"), "component_id"), *out._tamarack_uses)
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(``doc_id``, ``node``, ``root``, ``component_id``) for each row; its node is its fingerprint."""
+    fps = materialize(fingerprints(docs, id_col, text_col).withColumnRenamed("fp", "node"))
+    nodes = materialize(fps.groupBy("node").agg(F.min("doc_id").alias("first")))
+    linked = materialize(links(nodes.select(F.col("node").alias("fp"))))
+    roots = graph.components(linked)
+    discard(linked)
+    return uses(graph.named(fps, nodes, roots), fps, nodes, *roots._tamarack_uses)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the first of their component (all of those with a null id and no other).
+    """One row of ``docs`` for each component: of rows with an id one with the smallest, else one without.
 
-    Of rows that repeat an id, one stays.
+    Rows of one component that share that id are told apart by fingerprint; of those alike in both one stays.
     """
-    return drop_found(docs, near_copies(docs, id_col, text_col), id_col)
-
-
-def drop_found(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """:func:`drop_near_copies` by the components (``doc_id``, ``component_id``) in ``found``."""
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    found = found.where("doc_id is not null")
-    told = materialize(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_tmk_first"), F.count(F.lit(1)).alias("_tmk_rows")))
-    gone = told.where("not _tmk_first").select(F.col("doc_id").alias("_tmk_id"))
-    again = told.where("_tmk_first and _tmk_rows > 1").select(F.col("doc_id").alias("_tmk_id"))
-    n_gone, n_again = gone.count(), again.count()
-    # ids that go are broadcast while they are surely small; beyond that both sides are shuffled
-    kept = docs.join(F.broadcast(gone) if n_gone <= BROADCAST_IDS else gone, docs[id_col] == gone["_tmk_id"], "left_anti")
-    if not n_again:
-        return kept.select(*cols)
-    again = F.broadcast(again) if n_again <= BROADCAST_IDS else again
-    once = kept.join(again, kept[id_col] == again["_tmk_id"], "left_anti")
-    twice = kept.join(again, kept[id_col] == again["_tmk_id"], "left_semi").dropDuplicates([id_col])
-    return once.select(*cols).unionByName(twice.select(*cols))
+    found = _found(docs, id_col, text_col)
+    told = materialize(found.select("doc_id", "node", "root"))
+    discard(*found._tamarack_uses)
+    marked = fingerprints(docs, id_col, text_col, keep=True)
+    return uses(graph.first_of_each(marked, told, F.col("fp"), "doc_id").select("row.*"), told)
