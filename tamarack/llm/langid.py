@@ -4,22 +4,26 @@ A model of a language is the suffix automaton of labelled text in it.  A text is
 model greedily: a phrase is the longest match from where the last phrase ended, and the character after
 it begins the next one.  The language that needs the fewest phrases per character wins.
 
-Training text is a bounded sample: at most ``chars`` code points for each language (4 times that in
-all, so that the models of many languages still fit in a worker's memory), from at most
-``per_language`` labelled documents, the ones with the smallest hash of their id, so that a rerun learns
-the same.  Models are built once in each worker from that sample (no more than ``MOST_LANGUAGES``
-languages, the most frequent).  Everything else covers all rows and whole texts.
+Training text is a bounded sample: about ``chars`` code points for each language (``ALL`` times that in all, shared by
+the languages, but never fewer than ``LEAST`` for any), from at most ``per_language`` labelled documents, those with
+the smallest hash of their id, and from a hashed place in each, so that a rerun learns the same and no shared opening
+is all there is.  Every labelled language is learned, with all characters of its sample; a model takes about 50 bytes
+a code point.  Models are built once in each worker.  Everything else covers all rows and whole texts.
 
-Parsing is vectorised: automata are transition tables, and all texts of a batch, cut into blocks of
-``BLOCK`` characters that are each parsed from the root, take their steps together.  A phrase never
-crosses a block's edge, for every language alike.
+Parsing is vectorised: the automaton is one array of transitions, each state's row laid into gaps of the others, and
+all texts of a batch, cut into blocks of ``BLOCK`` characters, take their steps together.  Blocks are first parsed as
+if a phrase began with each; then each is parsed again from the state in which the block before it ended, until a
+phrase begins where one did in the first parse, as the two are the same from there on.  A block whose last state
+changed hands it on to the next.  So phrases cross blocks, and the count is that of the parse in one go.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; ties go to the language
-that comes first by name; with no labelled text at all every row is ``und``; extra columns are ignored.
+that comes first by name; with no labelled text at all every row is ``und``; rows that repeat are judged alike; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,27 +33,31 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.common import ship
 
-CHARS, PER_LANGUAGE, MOST_LANGUAGES = 40_000, 200, 64
-ALPHABET, BLOCK = 96, 512
+CHARS, PER_LANGUAGE, ALL, LEAST, BLOCK = 40_000, 200, 4, 2_000, 512
+#: Most characters of texts that are parsed together.
+BATCH = 2_000_000
 #: How sharply the score follows the difference in phrases per character.
 SHARP = 60.0
+#: Codes of a letter that no training text has, and of a run of anything but letters; letters follow.
+UNSEEN, GAP = 0, 1
+_LOW = np.int64((1 << 32) - 1)
 
 
-def automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes`` (1..width-1); row 0 stands for no state, row 1 is the root."""
-    nxt: list[dict[int, int]] = [{}, {}]
-    link, length = [0, 0], [0, 0]
-    last = 1
+def automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``codes``; state 0 is the root."""
+    nxt: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
     for c in codes:
         cur = len(nxt)
         nxt.append({})
-        link.append(1)
+        link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p and c not in nxt[p]:
+        while p >= 0 and c not in nxt[p]:
             nxt[p][c] = cur
             p = link[p]
-        if p:
+        if p >= 0:
             q = nxt[p][c]
             if length[q] == length[p] + 1:
                 link[cur] = q
@@ -58,81 +66,161 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
                 nxt.append(dict(nxt[q]))
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p and nxt[p].get(c) == q:
+                while p >= 0 and nxt[p].get(c) == q:
                     nxt[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(nxt), width), np.int32)
+    return nxt
+
+
+def laid_out(nxt: list[dict[int, int]], n_codes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions in one array.  A state is known by the place of its row, ``base``; its transition by code ``c`` is at
+    ``base + c``: the state's own base << 32 | the next one's, so a slot that another row filled is told apart.
+
+    Also the state after each code when a phrase begins with it (the root's own base if none does).
+    """
+    window = 2048
+    total = sum(map(len, nxt))
+    size = 4 * total + len(nxt) + 4 * n_codes + 4 * window
+    free, unused = np.ones(size, bool), np.ones(size, bool)
+    base = np.zeros(len(nxt), np.int64)
+    low = n_codes
+    several = sorted((s for s, d in enumerate(nxt) if len(d) > 1), key=lambda s: -len(nxt[s]))
+    for s in several:
+        row = sorted(nxt[s])
+        at = low
+        while True:
+            if at + row[-1] + window > len(free):
+                free, unused = (np.concatenate([x, np.ones(len(x), bool)]) for x in (free, unused))
+            ok = unused[at : at + window].copy()
+            for c in row:
+                ok &= free[at + c : at + c + window]
+            k = int(ok.argmax())
+            if ok[k]:
+                break
+            at += window
+        base[s] = at + k
+        unused[at + k] = False
+        free[np.array(row) + at + k] = False
+        if not unused[low : low + window].any():
+            low += window
+    slots = iter(np.flatnonzero(free[n_codes:]) + n_codes)
     for s, d in enumerate(nxt):
+        if len(d) > 1:
+            continue
+        c = next(iter(d), 0)
+        b = next(b for p in slots if unused[b := int(p) - c])
+        base[s] = b
+        unused[b] = False
         if d:
-            table[s, list(d)] = list(d.values())
-    return table
+            free[b + c] = False
+    steps = np.full(int(base.max()) + n_codes + 1, -1, np.int64)
+    for s, d in enumerate(nxt):
+        b = int(base[s])
+        for c, to in d.items():
+            steps[b + c] = b << 32 | int(base[to])
+    first = np.full(n_codes, base[0], np.int64)
+    for c, to in nxt[0].items():
+        first[c] = base[to]
+    return steps, first
 
 
 def _letters() -> np.ndarray:
-    """Which code points are letters."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    """Which code points are letters or marks on them."""
+    return np.fromiter((chr(c).isalpha() or unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), bool, 0x110000)
 
 
 class Model:
-    """Automata of all languages over one alphabet: the most frequent characters of the training text."""
+    """Automata of all languages over the characters of all training texts."""
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.languages = sorted(texts)
-        joined = np.frombuffer("".join(filter(str.isalpha, "".join(texts.values()).lower())).encode("utf-32-le"), np.uint32)
-        chars, counts = np.unique(joined, return_counts=True)
-        order = np.lexsort((chars, -counts))[: ALPHABET - 3]
-        # 0: a letter that training has not; 1: one in rare use; 2: anything but a letter; then the others
-        self.lookup = np.where(_letters(), np.uint8(0), np.uint8(2))
-        self.lookup[chars] = 1
-        self.lookup[chars[order]] = np.arange(3, 3 + len(order), dtype=np.uint8)
-        self.steps = []
-        for x in self.languages:
-            t = automaton(self.codes(texts[x]).tolist(), ALPHABET)
-            t[:, 0] = 0
-            # a step that fails begins a new phrase at the same character; the phrase is counted in bit 30
-            again = np.where(t[1] > 0, t[1], 1) * ALPHABET + (1 << 30)
-            flat = np.where(t > 0, t * ALPHABET, again[None, :]).astype(np.int32)
-            self.steps.append(np.ascontiguousarray(flat).ravel())
+        letters = _letters()
+        seen = np.unique(np.frombuffer("".join(texts.values()).lower().encode("utf-32-le", "surrogatepass"), np.uint32))
+        seen = seen[letters[seen]]
+        self.lookup = np.where(letters, np.int32(UNSEEN), np.int32(GAP))
+        self.lookup[seen] = np.arange(GAP + 1, GAP + 1 + len(seen), dtype=np.int32)
+        self.models = [laid_out(automaton(self.codes(texts[x]).tolist()), GAP + 1 + len(seen)) for x in self.languages]
 
     def codes(self, text: str) -> np.ndarray:
         """Letters as codes; a run of anything else counts as one gap."""
         codes = self.lookup[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        keep = codes != 2
-        keep[1:] |= codes[:-1] != 2
+        keep = codes != GAP
+        keep[1:] |= codes[:-1] != GAP
         return codes[keep]
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases per character, a row for each text and a column for each language; texts are not empty."""
         codes = [self.codes(t) for t in texts]
-        codes = [c if len(c) else np.full(1, 2, np.uint8) for c in codes]
+        codes = [c if len(c) else np.full(1, GAP, np.int32) for c in codes]
         sizes = np.array([len(c) for c in codes])
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        first = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * inside
+        length = np.minimum(BLOCK, np.repeat(np.cumsum(sizes), blocks) - first)
         flat = np.concatenate(codes)
-        first = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks))
-        ends = np.repeat(np.cumsum(sizes), blocks)
-        length = np.minimum(BLOCK, ends - first)
-        order = np.argsort(-length, kind="stable")
-        first, length, owner = first[order], length[order], owner[order]
-        alive = np.searchsorted(-length, -np.arange(length.max()), side="left")  # blocks longer than k come first
-        out = np.empty((len(texts), len(self.languages)))
-        flat = np.append(flat, np.zeros(1, np.uint8))
-        state = [np.full(len(first), ALPHABET, np.int32) for _ in self.languages]
-        count = [np.ones(len(first), np.int32) for _ in self.languages]
-        for k in range(int(length.max())):
-            n = alive[k]
-            c = flat[first[:n] + k]
-            for j, step in enumerate(self.steps):
-                v = step.take(state[j][:n] + c)
-                count[j][:n] += v >> 30
-                np.bitwise_and(v, (1 << 30) - 1, out=state[j][:n])
-        for j in range(len(self.languages)):
-            out[:, j] = np.bincount(owner, weights=count[j], minlength=len(texts)) / sizes
+        out = np.empty((len(texts), len(self.models)))
+        for j, (steps, begin) in enumerate(self.models):
+            out[:, j] = np.bincount(owner, weights=parsed(flat, first, length, inside > 0, steps, begin), minlength=len(texts)) / sizes
         return out
 
 
+def parsed(flat: np.ndarray, first: np.ndarray, length: np.ndarray, goes_on: np.ndarray, steps: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """How many phrases begin in each block of ``flat``; a block that ``goes_on`` follows the one before it."""
+    root = begin[UNSEEN]  # no phrase goes on after a letter that training has not
+
+    def step(state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a phrase begins."""
+        found = steps.take(state + c)
+        new = ((found >> 32) != state) | (state == root)
+        return np.where(new, begin.take(c), found & _LOW), new
+
+    # as if a phrase began with each block; longer blocks first, so those still at work are the first ones
+    order = np.argsort(-length, kind="stable")
+    at, size = first[order], length[order]
+    alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
+    begins = np.zeros(len(flat), bool)
+    begins[at] = True
+    state = begin.take(flat[at])
+    for k in range(1, int(size[0])):
+        n = alive[k]
+        here = at[:n] + k
+        state[:n], begins[here] = step(state[:n], flat[here])
+    first_end = np.empty_like(state)
+    first_end[order] = state
+    end = first_end.copy()
+    upto = np.cumsum(begins)
+    last = first + length - 1
+    count = upto[last] - upto[first] + 1
+    todo = np.flatnonzero(goes_on)
+    while len(todo):
+        state, mine, now = end[todo - 1], np.zeros(len(todo), np.int64), todo
+        changed = []
+        k = 0
+        while len(now):
+            here = first[now] + k
+            state, new = step(state, flat[here])
+            met = new & begins[here]
+            count[now[met]] = mine[met] + upto[last[now[met]]] - upto[here[met]] + 1
+            mine += new
+            over = ~met & (k + 1 == length[now])
+            count[now[over]] = mine[over]
+            done = met | over
+            if done.any():
+                which, after = now[done], np.where(met, first_end[now], state)[done]
+                changed.append(which[end[which] != after] + 1)
+                end[which] = after
+            going = ~done
+            state, mine, now = state[going], mine[going], now[going]
+            k += 1
+        todo = np.concatenate(changed) if changed else todo[:0]
+        todo = todo[todo < len(first)]
+        todo = np.sort(todo[goes_on[todo]])
+    return count
+
+
 _models: dict[int, Model] = {}
 
 
@@ -145,26 +233,25 @@ def _model(texts: dict[str, str]) -> Model:
 
 
 def training_text(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chars: int = CHARS, per_language: int = PER_LANGUAGE) -> dict[str, str]:
-    """The bounded sample of labelled text: language -> at most ``chars`` code points.
+    """The bounded sample of labelled text: language -> about ``chars`` code points.
 
-    Documents are drawn by hash in two steps, in each part of the hash range and then overall, so that
-    no task gathers a language; at most languages x ``per_language`` excerpts reach the driver.
+    Documents are drawn by a threshold on their hash that follows from the language's count, then ranked, so that no
+    task gathers more of a language than a few times ``per_language`` excerpts; that many reach the driver.
     """
-    text, lang = F.col(text_col), F.col(lang_col)
-    rows = labelled.where(lang.isNotNull() & text.rlike("\\p{L}")).select(
-        lang.alias("lang"), F.substring(text, 1, max(1, 4 * chars // per_language)).alias("t"), F.xxhash64(F.col(id_col).cast("string"), lang).alias("h"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    rows = rows.join(F.broadcast(top.select("lang")), "lang")
-    part = rows.withColumn("part", F.pmod(F.col("h"), F.lit(64)))
-    for keys in (["lang", "part"], ["lang"]):
-        part = part.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "t"))).where(F.col("k") <= per_language)
-    n_languages = top.count()
-    chars = min(chars, 4 * chars // max(1, n_languages))
-    out: dict[str, str] = {}
-    for r in part.select("lang", "t", "h").orderBy("lang", "h", "t").collect():
-        have = out.get(r.lang, "")
-        out[r.lang] = (have + "\n" + r.t if have else r.t)[:chars]
-    return out
+    text = F.col(text_col)
+    rows = labelled.where(F.col(lang_col).isNotNull() & text.rlike("\\p{L}")).select(F.col(lang_col).alias("lang"), text.alias("t"), F.xxhash64(F.col(id_col).cast("string"), lang_col).alias("h"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    n_languages = counts.count()
+    chars = max(LEAST, min(chars, ALL * chars // max(1, n_languages)))
+    drawn = rows.join(counts, "lang").where(F.pmod("h", F.lit(1 << 40)) * F.col("n") < F.lit((1 << 40) * (2.0 * per_language + 50)))
+    size = F.ceil(F.lit(chars) / F.least("n", F.lit(per_language))).cast("int")
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("t") - size + 1, F.lit(1))).cast("int") + 1
+    cut = drawn.select("lang", F.substring("t", start, size).alias("t"), F.pmod("h", F.lit(1 << 40)).alias("h"))
+    best = cut.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("k") <= per_language)
+    out: dict[str, list[str]] = {}
+    for r in best.select("lang", "t", "h").orderBy("lang", "h", "t").collect():
+        out.setdefault(r.lang, []).append(r.t)
+    return {lang: "\n".join(ts) for lang, ts in out.items()}
 
 
 def predict_language(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,7 +259,7 @@ def predict_language(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_
     spark = docs.sparkSession
     ship(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(texts)  # at most MOST_LANGUAGES * CHARS code points
+    shared = spark.sparkContext.broadcast(texts)  # the bounded sample
 
     def judged(texts_: list[str]) -> tuple[list[str], list[float]]:
         model = _model(shared.value)
@@ -189,7 +276,7 @@ def predict_language(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_
             for k in known:
                 held.append(k)
                 size += len(b["text"].iat[k])
-                if size >= 2_000_000 or k == known[-1]:
+                if size >= BATCH or k == known[-1]:
                     lang[held], score[held] = judged([b["text"].iat[i] for i in held])
                     held, size = [], 0
             yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": lang, "score": score})
