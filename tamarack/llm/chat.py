@@ -80,15 +80,25 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         F.array(F.struct(F.length(tail(b)).alias("n"), F.lit(False).alias("loss"))),
     )))
     conv = conv.select("conv_id", F.array_join(pieces, "").alias("formatted"), parts.alias("parts"))
+    # a fold copies what it has at each step, so parts are run over in stretches of about the root of their number
+    conv = conv.withColumn("stretch", F.ceil(F.sqrt(F.size("parts"))).cast("int"))
+    stretches = F.transform(F.sequence(F.lit(0), (F.ceil(F.size("parts") / F.col("stretch")) - 1).cast("int")), lambda k: F.slice("parts", k * F.col("stretch") + 1, F.col("stretch")))
     span = lambda s, p: F.struct(s["at"].alias("start"), (s["at"] + p["n"]).alias("end"))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    spans = F.aggregate(
-        "parts",
+    within = lambda ps: F.aggregate(
+        ps,
         F.struct(F.lit(0).alias("at"), none.alias("spans")),
         lambda s, p: F.struct((s["at"] + p["n"]).alias("at"), F.when(p["loss"], F.concat(s["spans"], F.array(span(s, p)))).otherwise(s["spans"]).alias("spans")),
-        lambda s: s["spans"],
     )
-    return conv.select("conv_id", "formatted", spans.alias("loss_spans"))
+    conv = conv.withColumn("told", F.transform(stretches, within))
+    begins = F.aggregate(
+        "told",
+        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("begins")),
+        lambda s, x: F.struct((s["at"] + x["at"]).alias("at"), F.concat(s["begins"], F.array(s["at"])).alias("begins")),
+        lambda s: s["begins"],
+    )
+    moved = F.zip_with("told", begins, lambda x, b: F.transform(x["spans"], lambda s: F.struct((s["start"] + b).alias("start"), (s["end"] + b).alias("end"))))
+    return conv.select("conv_id", "formatted", F.flatten(moved).alias("loss_spans"))
 
 
 def read_back(formatted: Column) -> Column:

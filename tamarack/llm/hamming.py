@@ -6,8 +6,8 @@ the query's.  After shell t every code within m * (t + 1) - 1 bits has been met,
 t in each of m segments is at least m * (t + 1) away.  Each code met is verified by its whole distance, and a
 query is done when its k-th verified distance is within what is covered; only the others go on.
 
-A shell with more lookups than there are codes is not worth making: the queries still open then scan the
-codes, in blocks of queries against blocks of codes, which is exact as well.
+A shell with more lookups than there are codes is not worth making: the queries still open then meet the codes in
+blocks of queries against blocks of codes, joined by the number of the block, which is exact as well.
 
 Codes are indexed once however many rows share them, with the ``k + 1`` smallest ids of each (enough for k
 neighbours other than the query itself), so a vector that a third of all rows repeat is one entry.  Equal
@@ -35,9 +35,10 @@ BITS, K, BLOCK = 64, 10, 4096
 
 
 def sign_code(vector: Column) -> Column:
-    """The signs of up to 64 elements as one long; null for a null vector."""
+    """The signs of up to 64 elements as one long; null for a null vector, an error for a longer one."""
     bit = lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
-    return F.aggregate(F.transform(F.slice(vector, 1, BITS), bit), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    signs = F.aggregate(F.transform(vector, bit), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    return F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"a code has {BITS} bits at most"))).otherwise(signs)
 
 
 def _cuts(n_codes: int) -> list[tuple[int, int]]:
@@ -77,9 +78,9 @@ def _scan(open_: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """(``q``, ``c``, ``d``) of the nearest codes of each query, by scanning blocks against blocks."""
     ship(open_.sparkSession)
 
-    def blocks(rows: DataFrame, *cols: str) -> DataFrame:
+    def blocks(rows: DataFrame, name: str, *cols: str) -> tuple[DataFrame, int]:
         n = max(1, -(-rows.count() // BLOCK))
-        return rows.groupBy(F.pmod(F.xxhash64(cols[0]), F.lit(n)).alias("b")).agg(*[F.collect_list(c).alias(c + "s") for c in cols]).drop("b")
+        return rows.groupBy(F.pmod(F.xxhash64(cols[0]), F.lit(n)).alias(name)).agg(*[F.collect_list(c).alias(c + "s") for c in cols]), n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,8 +94,11 @@ def _scan(open_: DataFrame, index: DataFrame, k: int) -> DataFrame:
                     row = np.repeat(np.arange(len(d)), near.shape[1])
                     yield pa.RecordBatch.from_arrays([pa.array(q[at : at + 256][row]), pa.array(c[near.ravel()]), pa.array(d[row, near.ravel()].astype(np.int32))], ["q", "c", "d"])
 
-    both = blocks(open_, "q").crossJoin(blocks(index.select("c", F.get("ids", F.lit(0)).alias("least")), "c", "least"))
-    return both.mapInArrow(run, "q long, c long, d int")
+    codes, n = blocks(index.select("c", F.get("ids", F.lit(0)).alias("least")), "b", "c", "least")
+    open_blocks, _ = blocks(open_, "a", "q")
+    # each block of queries goes to each block of codes, which stay where they were gathered
+    both = open_blocks.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))).hint("merge").join(codes, "b")
+    return both.select("qs", "cs", "leasts").mapInArrow(run, "q long, c long, d int")
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:

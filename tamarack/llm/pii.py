@@ -2,13 +2,16 @@
 
 Base kinds (email, ip, card, phone) are found as fixed by their patterns; a match that fails its test
 is dropped and not retried.  Further kinds are proposed by pattern and kept by score: the score starts
-at a prior of the kind, a passed checksum raises it, and words of the kind's list within ``WINDOW``
-code points before the span raise it too.
+at a prior of the kind, a passed checksum raises it, and words of the kind's list within ``BEFORE``
+code points before the span or ``AFTER`` behind it raise it too.  Spans below ``LEAST`` are left out.
 
 * iban: country letters, two check digits, 11 to 30 more; mod-97 must give 1.  The end is the one of the
   country's fixed length; in a country without one, each end at a boundary is tried, the farthest first
 * ssn: 3-2-4 digits, no zero group; kept only with a context word nearby
 * mac: six colon- or hyphen-separated hex pairs
+* secret: private-key blocks; tokens with a known beginning; tokens of three parts whose first is JSON in base64; and
+  runs of 20 characters or more with letters and digits whose entropy is that of random ones, where a context word
+  such as ``token`` or ``password`` is nearby
 
 Every pattern runs in time linear in the text: runs are matched from where they can begin, with
 possessive repeats, and the left side of an email is cut at the previous ``@``.
@@ -19,7 +22,11 @@ empty result; repeated rows give repeated results.  The text itself never leaves
 
 from __future__ import annotations
 
+import base64
+import binascii
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,7 +36,7 @@ from tamarack.llm.common import ship
 
 #: Kinds in the order of the result.
 BASE_KINDS = ("email", "ip", "card", "phone")
-EXTRA_KINDS = ("iban", "ssn", "mac")
+EXTRA_KINDS = ("iban", "ssn", "mac", "secret")
 KINDS = BASE_KINDS + EXTRA_KINDS
 
 #: Characters of an email's left side.
@@ -46,14 +53,24 @@ IBAN_LENGTHS = {c: int(x[0]) for x in map(str.split, (
     "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU")) for c in x[1:]}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _MAC = re.compile(r"(?<![0-9A-Fa-f:-])[0-9A-Fa-f]{2}(?:([:-])[0-9A-Fa-f]{2})(?:\1[0-9A-Fa-f]{2}){4}(?![0-9A-Fa-f:-])")
+_SECRET = re.compile(
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
+    r"|(?<![A-Za-z0-9_+/.=-])[A-Za-z0-9_+/.-]{20,}+={0,2}")
+#: How tokens of well-known services begin, and the least entropy, in bits a character, of random hex
+#: digits and of other random characters of that length.
+BEGINNINGS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-", "sk_live_", "npm_")
+HEX_BITS, OTHER_BITS = 2.8, 3.4
 #: Words near a span that speak for its kind, the kind's prior, and what a checksum adds.
 CONTEXT = {
     "email": ("mail", "contact", "write"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "credit", "payment"),
     "phone": ("phone", "call", "tel", "mobile", "fax"), "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"), "mac": ("mac", "device", "ethernet"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api", "auth", "bearer", "credential", "credentials"),
 }
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.3, "mac": 0.6}
-CHECKSUM, NEARBY, WINDOW, LEAST = 0.4, 0.3, 50, 0.6
+PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.3, "mac": 0.6, "secret": 0.1}
+CHECKSUM, NEARBY, BEFORE, AFTER, LEAST = 0.4, 0.3, 50, 25, 0.6
+#: What a secret's form adds: a block, a known beginning or a readable header is enough by itself.
+FORM = 0.6
 
 
 def luhn(digits: str) -> bool:
@@ -121,25 +138,61 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
-def _score(kind: str, text: str, start: int, checked: bool) -> float:
-    before = text[max(0, start - WINDOW) : start].lower()
-    near = any(w in CONTEXT[kind] for w in re.findall("[a-z]+", before))
-    return min(1.0, PRIOR[kind] + CHECKSUM * checked + NEARBY * near)
+def entropy(run: str) -> float:
+    """Bits a character."""
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values())
+
+
+def _header(run: str) -> bool:
+    """Whether the first of three parts is JSON in base64."""
+    parts = run.split(".")
+    try:
+        return len(parts) == 3 and base64.urlsafe_b64decode(parts[0] + "=" * (-len(parts[0]) % 4))[:2] == b'{"'
+    except (binascii.Error, ValueError):
+        return False
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int, float]]:
+    """Start, end and what form and entropy add to the score."""
+    for m in _SECRET.finditer(text):
+        run = m[0]
+        if run.startswith("-----"):
+            yield *m.span(), FORM
+            continue
+        run = run.rstrip("./-_+")
+        if len(run) < 20:
+            continue
+        if run.startswith(BEGINNINGS) or _header(run):
+            yield m.start(), m.start() + len(run), FORM
+        elif len(run) <= 512 and any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
+            bits = entropy(run)
+            if bits >= (HEX_BITS if re.fullmatch("[0-9a-fA-F]+", run) else OTHER_BITS):
+                yield m.start(), m.start() + len(run), CHECKSUM
+
+
+def _near(kind: str, text: str, start: int, end: int) -> bool:
+    around = (text[max(0, start - BEFORE) : start] + " " + text[end : end + AFTER]).lower()
+    return any(w in CONTEXT[kind] for w in re.findall("[a-z]+", around))
+
+
+def _score(kind: str, text: str, start: int, end: int, added: float = 0.0) -> float:
+    return round(min(1.0, PRIOR[kind] + added + NEARBY * _near(kind, text, start, end)), 2)
 
 
 def find(text: str) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score), by kind in the order of ``KINDS``, then by start."""
     out = []
-    add = lambda kind, spans, checked=False: out.extend((kind, s, e, _score(kind, text, s, checked)) for s, e in spans)
+    add = lambda kind, spans, added=0.0: out.extend((kind, s, e, _score(kind, text, s, e, added)) for s, e in spans)
     if "@" in text:
         add("email", emails(text))
     add("ip", _ips(text))
-    add("card", _cards(text), True)
+    add("card", _cards(text), CHECKSUM)
     if "+" in text:
         add("phone", _phones(text))
-    more = [("iban", s, e, _score("iban", text, s, True)) for s, e in _ibans(text)]
-    more += [("ssn", m.start(), m.end(), _score("ssn", text, m.start(), False)) for m in _SSN.finditer(text)]
-    more += [("mac", m.start(), m.end(), _score("mac", text, m.start(), False)) for m in _MAC.finditer(text)]
+    more = [("iban", s, e, _score("iban", text, s, e, CHECKSUM)) for s, e in _ibans(text)]
+    more += [("ssn", *m.span(), _score("ssn", text, *m.span())) for m in _SSN.finditer(text)]
+    more += [("mac", *m.span(), _score("mac", text, *m.span())) for m in _MAC.finditer(text)]
+    more += [("secret", s, e, _score("secret", text, s, e, added)) for s, e, added in _secrets(text)]
     return out + [x for x in more if x[3] >= LEAST]
 
 
