@@ -243,7 +243,8 @@ def training_text(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     n_languages = counts.count()
     chars = max(LEAST, min(chars, ALL * chars // max(1, n_languages)))
-    drawn = rows.join(counts, "lang").where(F.pmod("h", F.lit(1 << 40)) * F.col("n") < F.lit((1 << 40) * (2.0 * per_language + 50)))
+    # a row for each language, all of which are in the model too, so broadcast: texts stay where they are
+    drawn = rows.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 40)) * F.col("n") < F.lit((1 << 40) * (2.0 * per_language + 50)))
     size = F.ceil(F.lit(chars) / F.least("n", F.lit(per_language))).cast("int")
     start = F.pmod(F.xxhash64("h"), F.greatest(F.length("t") - size + 1, F.lit(1))).cast("int") + 1
     cut = drawn.select("lang", F.substring("t", start, size).alias("t"), F.pmod("h", F.lit(1 << 40)).alias("h"))
