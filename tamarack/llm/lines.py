@@ -57,8 +57,8 @@ def drop_boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "
     if size <= BROADCAST_BYTES:
         out = rows.join(F.broadcast(gone), "host", "left")
     else:
-        # a salt of the row's own: copies of one page are spread too
-        salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        # a salt of the whole row, so that copies of one page are spread by their ids; it is the same in every attempt
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
         out = salted.join(gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "salt"], "left")
     every = F.split("text", "\n")
     out = out.withColumn("kept", F.when(F.col("gone").isNull(), every).otherwise(F.filter(every, lambda x: ~F.array_contains("gone", _hash(x)))))
