@@ -114,7 +114,8 @@ def main(argv: list[str] | None = None) -> int:
             texts = args.command == "extract-dir"
             files, skipped = _left(read_texts(spark, args.path) if texts else read_pdfs(spark, args.path), args)
             out = materialize(_extracted(files, args, settings).withColumn("error", F.lit(None).cast("string"))) if texts else _read(files, args, settings)
-            good, mode = out.where("error is null"), "append" if args.resume else "errorifexists"
+            # rows in the order of their files, as ranges over the output's parts
+            good, mode = out.where("error is null").orderBy("source_file"), "append" if args.resume else "errorifexists"
             if texts and args.format == "json":
                 write_flat_json(good, args.output, mode)
             else:

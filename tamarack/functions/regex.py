@@ -77,10 +77,13 @@ def title(word: Column) -> Column:
 
 
 def matches(text: Column, pattern: str, groups: int, flags: str = "") -> Column:
-    """``array<struct<g0, g1, ...>>`` of all matches; an absent group is null."""
-    cols = F.arrays_zip(*[every(text, pattern, g, flags).alias(f"g{g}") for g in range(groups + 1)])
-    kind = "array<struct<" + ",".join(f"g{g}:string" for g in range(groups + 1)) + ">>"
-    return F.transform(cols.cast(kind), lambda m: F.struct(*[F.nullif(m[f"g{g}"], F.lit("")).alias(f"g{g}") for g in range(groups + 1)]))
+    """``array<struct<g0, g1, ...>>`` of all matches; an absent group is null.
+
+    The text is searched once; groups are taken from each match by itself.  Sound for patterns that look at no more
+    than what is true at the edges of a text too (word boundaries before and behind words, ends, the end of the text).
+    """
+    one = lambda m: F.struct(F.nullif(m, F.lit("")).alias("g0"), *[first(m, pattern, g, flags).alias(f"g{g}") for g in range(1, groups + 1)])
+    return F.transform(every(text, pattern, 0, flags), one)
 
 
 def place(text: Column, pattern: str, flags: str = "") -> Column:
@@ -117,7 +120,8 @@ def rewrite(text: Column, pattern: str, flags: str, change: Callable[[Column, Co
 
     def build(done: Column) -> Column:
         gaps = F.split(text, rx(pattern, flags), -1)
-        out = F.array_join(F.flatten(F.zip_with(gaps, done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
+        joined = F.array_join(F.flatten(F.zip_with(gaps, done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
+        out = F.when(F.size(done) > 0, joined).otherwise(text)
         return F.struct(out.alias("text"), F.filter(done, lambda d: d["old"] != d["new"]).alias("changed"))
 
     found = matches(text, pattern, groups, flags)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamarack.operators import case_ids, clean, fixups, flatten, obligations, parties
+from tamarack.operators import case_ids, clean, confidence, fixups, flatten, obligations, parties, payments
 from tamarack.plans.corpus import base
 from tamarack.plans.queries import _add, _col, _fix, _items, _on_text, _row, _terms, f, t, today
 
@@ -80,3 +80,32 @@ def _flat_sql() -> str:
 
 
 _add("flat_columns", _flat, _flat_sql())
+
+# confidence: the branches of each signal, each dealt by its own remainder of the order's number
+_ITEM = "named_struct('payment_number', 1, 'due_date', {}, 'payment_type', 'fixed_amount', 'amount', {}, 'month_rent', cast(null as string), 'time', cast(null as string), 'extra_text', {}, 'raw_text', cast(null as string))"
+_WELL, _LATE, _BARE = _ITEM.format("'2024-01-05'", "'5'", "cast(null as string)"), _ITEM.format("'2029-01-05'", "'5'", "'DATE_TOO_FAR_FUTURE'"), _ITEM.format("cast(null as string)", "cast(null as string)", "cast(null as string)")
+
+
+def _signals(spark, sf):
+    rows = base(spark, sf).selectExpr(
+        "k", "element_at(array('LLM+Regex', 'LLM+Regex', 'Regex-only', 'Regex'), cast(k % 4 as int) + 1) as extraction_method", "case when k % 4 = 0 then array('Overriding it') else cast(array() as array<string>) end as errors",
+        "'C 12' as case_number", "element_at(array('vs.', 'Sunrise', 'AB', null, 'Sun Homes', 'Sun Homes LLC'), cast(k % 6 as int) + 1) as plaintiff", "element_at(array('Jane Doe', '', 'XY', 'Doe, J', 'Smith', 'Jane Doe'), cast(k % 6 as int) + 1) as defendant",
+        "element_at(array('Vacate Only', 'Pay and Stay', 'Settlement', 'Pay and Vacate', null), cast(k % 5 as int) + 1) as outcome_type", "cast(null as string) as mandatory_vacate_date",
+        f"case k % 5 when 3 then array({_WELL}, {_LATE}) when 4 then array({_BARE}) else cast(array() as array<{_KIND}>) end as payment_schedule",
+        "element_at(array(null, 'f_99_2023', 'c12_2023'), cast(k % 3 as int) + 1) as filename", "'2024-01-02' as agreement_signed_date",
+        "case k % 7 when 0 then 'short' when 1 then repeat('word ', 20) when 5 then repeat('word ', 20) else concat(repeat('word ', 60), repeat('[?]', case k % 7 when 2 then 3 when 3 then 6 else 0 end)) end as cleaned_text", "'' as text",
+        "array_repeat('c', case k % 7 when 4 then 11 when 5 then 21 else 0 end) as ocr_changes")
+    return confidence.confidence(rows).select("k", "confidence_details")
+
+
+_KIND = payments.SCHEDULE.removeprefix("array<").removesuffix(">")
+_add("confidence_signals", _signals, """, s as (
+    select k, list_filter([case when k % 6 = 3 then 'plaintiff' end, case when k % 6 = 1 then 'defendant' end, case when k % 5 = 4 then 'outcome_type' end,
+        case k % 5 when 1 then 'payment_schedule (expected for Pay outcome)' when 0 then 'mandatory_vacate_date (expected for Vacate outcome)' end], lambda x: x is not null) as gaps from b)
+select k, 'method_agreement=' || (['0.60 (LLM+Regex ran but outcome was overridden (disagreement resolved))', '1.00 (LLM and Regex both ran and agreed)', '0.40 (Regex-only (no LLM cross-validation))', '0.30 (Single extraction method: Regex)'])[1 + k % 4]
+    || '; field_completeness=' || printf('%.2f', (5 - len(gaps)) / 5.0) || ' (' || (case when len(gaps) = 0 then 'All expected fields populated' else 'Missing: ' || array_to_string(gaps, ', ') end) || ')'
+    || '; filename_consistency=' || (['0.50 (No filename available for validation)', '0.00 (case_number not found in filename; agreement_date not matched in filename)', '0.50 (agreement_date not matched in filename)'])[1 + k % 3]
+    || '; payment_validity=' || (['1.00 (Vacate-only with no payments (expected))', '0.20 (Pay-type outcome but no payments extracted)', '0.70 (No payments and no pay-type outcome)', '0.75 (1 payment(s) with date anomaly)', '0.00 (Payments present)'])[1 + k % 5]
+    || '; ocr_quality=' || (['0.10 (OCR text is empty or extremely short)', '0.80 (Short OCR text (100 chars))', '0.85 (3 uncertain [?] markers)', '0.70 (6 uncertain [?] markers)', '0.85 (11 OCR corrections applied)', '0.50 (21 OCR corrections applied; Short OCR text (100 chars))', '1.00 (Clean OCR text)'])[1 + k % 7]
+    || '; name_plausibility=' || (['0.10 (plaintiff is a form label (''vs.''), not an actual name)', '0.20 (Likely plaintiff/defendant swap: single-word non-entity plaintiff with empty defendant)', '0.70 (plaintiff very short (2 chars); defendant very short (2 chars))',
+        '0.60 (plaintiff is empty)', '0.90 (defendant is single word (possibly incomplete))', '1.00 (Names look plausible)'])[1 + k % 6] as confidence_details from s""")

@@ -121,6 +121,12 @@ def test_settings_and_evaluation(spark):
     assert {r.field: (r.n, r.n_correct) for r in evaluate(rows, truth).collect()} == {"who": (2, 2), "n": (1, 1)}
 
 
+def test_truth_file(spark, tmp_path):
+    (tmp_path / "cases.json").write_text(json.dumps([{"filename": "a", "text_file": "a.txt", "expected": {"plaintiff": "X", "payment_count": 2, "mandatory_vacate_date": None}}]))
+    rows = files.read_truth(spark, str(tmp_path / "cases.json"))
+    assert {(r.filename, r.field, r.expected) for r in rows.collect()} == {("a", "plaintiff", "X"), ("a", "payment_count", "2"), ("a", "mandatory_vacate_date", None)}
+
+
 def test_counts(spark):
     r = sinks.summary(spark.createDataFrame([(None,), ("x",)], "error string").withColumn("source_file", F.lit("f")), 3).first()
     assert (r.ok, r.failed, r.skipped, r.total) == (1, 1, 3, 5)
