@@ -28,7 +28,9 @@ THRESHOLD = 0.5
 #: Fixed value: the highest rate of false alarms that is estimated for a rule.
 MOST_FALSE = 0.3
 #: Sentence ends before white space, and those of scripts that need none behind them.
-ENDS = "[.!?\u061f\u06d4](?=[ \\t-\\r]|$)|[\u0964\u0965\u3002\uff01\uff1f\uff61\u0589\u1362\u1367\u104b\u17d4\u17d5\u0f0d]"
+ENDS = "[.!?\u061f\u06d4](?=[ \\t-\\r]|$)"
+#: The range in front is one test for characters of Latin texts, the class is thirteen.
+OTHER_ENDS = "(?=[\u0589-\uff61])[\u0964\u0965\u3002\uff01\uff1f\uff61\u0589\u1362\u1367\u104b\u17d4\u17d5\u0f0d]"
 #: The low bits of a packed window hold its place; longer texts take the exact path for every window.
 PLACE_BITS = 24
 
@@ -45,8 +47,9 @@ def _neighbours(arr: str, key) -> Column:
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the counts the rules look at, each named ``_tmk_...``.
 
-    Words in repeated 3-word windows: windows are hashed, packed with their place into one number and
-    sorted; windows whose hash occurs twice are then compared as texts, so the count is exact.
+    Words in repeated 3-word windows: windows are hashed; where a hash occurs twice, hashes are packed with their
+    place into one number and sorted, and windows whose hash repeats are compared as texts, so the count is exact.
+    Names that begin with ``_tmk_`` are the operator's own here and in :func:`judge`; :func:`keep_good` takes any.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.withColumns({
@@ -56,14 +59,17 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_tmk_upper": _count(text, "\\p{Lu}+").cast("long"),
         "_tmk_alnum": _count(text, "[\\p{L}\\p{M}\\p{N}]+").cast("long"),
         "_tmk_bangs": _count(text, "!+").cast("long"),
-        "_tmk_ends": _count(text, ENDS).cast("long"),
+        # one class of characters each: a choice between patterns would be tried at every character
+        "_tmk_ends": (_count(text, ENDS) + _count(text, OTHER_ENDS)).cast("long"),
     })
     n = F.size("_tmk_w")
     mask = (1 << PLACE_BITS) - 1
     place = F.sequence(F.lit(0), n - 3)
     triple = lambda i: (F.get("_tmk_w", i), F.get("_tmk_w", i + 1), F.get("_tmk_w", i + 2))
-    pack = lambda i: F.xxhash64(*triple(i)).bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))
-    df = df.withColumn("_tmk_p", F.when((n >= 4) & (n <= mask), F.sort_array(F.transform(place, pack))).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("_tmk_x", F.when((n >= 4) & (n <= mask), F.transform(place, lambda i: F.xxhash64(*triple(i)))).otherwise(F.array().cast("array<bigint>")))
+    # most texts repeat no window, which their hashes tell at once; only the others are sorted
+    packed = F.sort_array(F.transform("_tmk_x", lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
+    df = df.withColumn("_tmk_p", F.when(F.size(F.array_distinct("_tmk_x")) < F.size("_tmk_x"), packed).otherwise(F.array().cast("array<bigint>")))
     twice = F.transform(_neighbours("_tmk_p", lambda x: F.shiftright(x, PLACE_BITS)), lambda x: x.bitwiseAND(F.lit(mask)).cast("int"))
     df = df.withColumn("_tmk_c", F.when(n <= mask, twice).otherwise(place))
     df = df.withColumn("_tmk_t", F.sort_array(F.transform("_tmk_c", lambda i: F.struct(F.concat_ws(" ", *triple(i)).alias("k"), i.alias("i")))))
@@ -76,7 +82,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "_tmk_dups": (F.size("_tmk_l") - F.size(F.array_distinct("_tmk_l"))).cast("long"),
         "_tmk_repeats": F.size(covered).cast("long"),
     })
-    return df.drop("_tmk_w", "_tmk_l", "_tmk_p", "_tmk_c", "_tmk_t")
+    return df.drop("_tmk_w", "_tmk_l", "_tmk_x", "_tmk_p", "_tmk_c", "_tmk_t")
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -118,8 +124,8 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFra
     """From (``_tmk_pattern``, ``_tmk_n``): ``_tmk_pattern`` and ``_tmk_good``, the posterior that it is good.
 
     State: p, the share of bad documents, and for each rule b and g, how often it votes bad on bad and on
-    good documents.  g is estimated up to ``MOST_FALSE`` and never above b, so a rule that clean documents trip
-    often loses its weight.
+    good documents.  Priors bound them: p is from 0.01 to 0.5, as most documents are taken to be good; b from 0.05 to
+    0.98; g from 0.0002 to ``MOST_FALSE`` and never above b, so a rule that clean documents trip often loses its weight.
     """
     rules = F.sequence(F.lit(0), F.lit(n_rules - 1))
     item = F.struct(
