@@ -48,8 +48,8 @@ def _local_dir() -> str:
     return _local[0]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def materialize(df: DataFrame, **options: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back; ``options`` are Parquet's.
 
     This cuts the lineage and survives lost executors; as Parquet it also tells Catalyst its size.  Tables that
     ``df`` alone reads (:func:`uses`) are deleted once it is written.
@@ -58,7 +58,7 @@ def materialize(df: DataFrame) -> DataFrame:
     read = getattr(df, "_tamarack_uses", ())
     df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"})
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tamarack_path = path  # type: ignore[attr-defined]
     p, fs = _located(spark, path)
