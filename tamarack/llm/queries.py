@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, chat, hamming, langid, lines, mixing, pii, quality, simhash, substrings
-from tamarack.llm.common import materialize, read
+from tamarack.llm import bpe, chat, divergence, hamming, langid, lines, mixing, packing, periodic, pii, quality, simhash, substrings
+from tamarack.llm.common import materialize, read, uses, words
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +99,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts, by the hash of their id, made periodic from a word on: word i >= a becomes word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    cut = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words(F.col("text"))).alias("w")).withColumn("n", F.size("w").cast("long"))
+    cut = cut.withColumn("a", F.expr("if(n > 0, g % n, null)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("flatten(array_repeat(slice(w, cast(a as int) + 1, cast(p as int)), cast((n - a - 1) div p + 1 as int)))")
+    made = F.array_join(F.slice(F.concat(F.expr("slice(w, 1, cast(a as int))"), again), F.lit(1), F.col("n").cast("int")), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(_with_periods(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]  # noqa: E731  exactly
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(more(r, best), r).otherwise(best))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        content = f.read()
+    out = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), content, public_tokenizers.PATTERN)
+    return uses(out.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), *out._tamarack_uses)
+
+
 def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op5 that SQL can express."""
     return op5_pii(spark, sf_dir).drop("spans", "n_spans", "scores")
@@ -120,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_packing": op13_packing,
     "pii_base_spans": pii_base_spans,
     "quality_base_counts": quality_base_counts,
 }
@@ -219,6 +255,32 @@ ORACLE_SQL: dict[str, str] = {
             cast(coalesce(n, 0) as bigint) as n_repeat_words, len(w) < 50 or 100 * coalesce(n, 0) > 50 * len(w) as base_failed
         from d left join r on d.rn = r.rn
     """,
+    "op12_source_divergence": r"""
+        with d as (
+            select row_number() over () as rn, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as ts
+            from documents),
+        w as (select rn, lang, source, unnest(ts) as term from d),
+        kept as (select lang, term from w group by lang, term having count(distinct rn) >= 30),
+        v as (select lang, count(*) as terms from kept group by lang),
+        held as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by lang, source, term),
+        g as (select distinct lang, source from d),
+        every as (select g.lang, g.source, k.term, coalesce(n, 0) as n from g join kept k using (lang) left join held using (lang, source, term)),
+        s as (
+            select *, sum(n) over (partition by lang, source) as own, sum(n) over (partition by lang, term) as all_n, sum(n) over (partition by lang) as every_n from every),
+        p as (
+            select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)::hugeint) // (own + 5 * terms)::hugeint as p, 1 + (1000000000::hugeint * (all_n + 5)::hugeint) // (every_n + 5 * terms)::hugeint as q
+            from s join v using (lang)),
+        pairs as (
+            select a.lang, a.source, b.source as item, coalesce(sum(abs(x.p - y.p)), 0) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+                left join p x on x.lang = a.lang and x.source = a.source left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+            group by all),
+        ranked as (
+            select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+            union all
+            select lang, source, 'term', term, p - q, row_number() over (partition by lang, source order by p - q desc, term) from p where n > 0 and p > q)
+        select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 50
+    """,
     "op9_source_mixing": f"""
         with d as (
             select row_number() over () as rn, doc_id, cast(doc_id as varchar) as id, coalesce('1' || source, '2') as src, cast(len({_WORDS}) as bigint) as size,
