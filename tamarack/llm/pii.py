@@ -9,9 +9,12 @@ code points before the span or ``AFTER`` behind it raise it too.  Spans below ``
   country's fixed length; in a country without one, each end at a boundary is tried, the farthest first
 * ssn: 3-2-4 digits, no zero group; kept only with a context word nearby
 * mac: six colon- or hyphen-separated hex pairs
-* secret: private-key blocks; tokens with a known beginning; tokens of three parts whose first is JSON in base64; and
-  runs of 20 characters or more with letters and digits whose entropy is that of random ones, where a context word
-  such as ``token`` or ``password`` is nearby
+* secret: private-key blocks, up to their END line or, without one, as far as their headers and lines of base64 go;
+  tokens with a known beginning; tokens of three parts whose first is JSON in base64; runs of 20 characters or more,
+  of any length, with letters and digits whose entropy is that of random ones, where a context word such as ``token`` or
+  ``password`` is nearby; and 8 characters or more with letters and digits that are assigned to such a name
+
+Context words are those of English, German, French and Spanish.
 
 Every pattern runs in time linear in the text: runs are matched from where they can begin, with
 possessive repeats, and the left side of an email is cut at the previous ``@``.
@@ -53,19 +56,30 @@ IBAN_LENGTHS = {c: int(x[0]) for x in map(str.split, (
     "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU")) for c in x[1:]}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _MAC = re.compile(r"(?<![0-9A-Fa-f:-])[0-9A-Fa-f]{2}(?:([:-])[0-9A-Fa-f]{2})(?:\1[0-9A-Fa-f]{2}){4}(?![0-9A-Fa-f:-])")
-_SECRET = re.compile(
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
-    r"|(?<![A-Za-z0-9_+/.=-])[A-Za-z0-9_+/.-]{20,}+={0,2}")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/.-])[A-Za-z0-9_+/.-]{20,}+={0,2}")
+_BLOCK = re.compile(r"-----(BEGIN|END) [A-Z ]{0,40}PRIVATE KEY-----")
+#: A line end or blanks, then a header or base64; what a block without an END line is made of.
+_BODY = re.compile(r"(?:(?:[\x20\t\r\n]|\\n)++(?:[A-Z][A-Za-z-]{2,30}:\x20[^\n]{0,200}+|[A-Za-z0-9+/]{20,}+={0,2}|[A-Za-z0-9+/]+={1,2}))*")
+#: Names whose value is a secret.
+NAMES = ("password", "passwd", "pwd", "passwort", "kennwort", "contraseña", "contrasena", "clave", "mot de passe", "secret", "token", "api[_-]?key", "access[_-]?key", "secret[_-]?key", "private[_-]?key")
+_NAMED = re.compile(rf"(?i)(?<![^\W\d_])(?:{'|'.join(NAMES)})[\"']?[\x20\t]{{0,3}}[=:][\x20\t]{{0,3}}[\"']?(?P<value>[^\s\"'`,;<>]{{8,}}+)")
 #: How tokens of well-known services begin, and the least entropy, in bits a character, of random hex
 #: digits and of other random characters of that length.
 BEGINNINGS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-", "sk_live_", "npm_")
 HEX_BITS, OTHER_BITS = 2.8, 3.4
 #: Words near a span that speak for its kind, the kind's prior, and what a checksum adds.
-CONTEXT = {
-    "email": ("mail", "contact", "write"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "credit", "payment"),
-    "phone": ("phone", "call", "tel", "mobile", "fax"), "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
-    "ssn": ("ssn", "social", "security"), "mac": ("mac", "device", "ethernet"),
-    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api", "auth", "bearer", "credential", "credentials"),
+CONTEXT: dict[str, tuple[str, ...]] = {
+    "email": ("mail", "email", "contact", "write", "kontakt", "correo", "courriel", "contacto"),
+    "ip": ("ip", "host", "server", "address", "adresse", "dirección", "serveur", "servidor"),
+    "card": ("card", "visa", "credit", "payment", "karte", "kreditkarte", "carte", "tarjeta", "zahlung", "pago"),
+    "phone": ("phone", "call", "tel", "mobile", "fax", "telefon", "handy", "téléphone", "portable", "teléfono", "móvil"),
+    "iban": ("iban", "account", "bank", "konto", "cuenta", "compte", "banque", "banco"),
+    "ssn": ("ssn", "social", "security", "sozialversicherung", "sozialversicherungsnummer", "versicherungsnummer", "sécurité", "sociale", "seguridad", "seguro"),
+    "mac": ("mac", "device", "ethernet", "gerät", "appareil", "dispositivo"),
+    "secret": (
+        "token", "secret", "password", "passwd", "pwd", "key", "apikey", "api", "auth", "bearer", "credential", "credentials",
+        "passwort", "kennwort", "schlüssel", "geheimnis", "zugangsdaten", "clé", "jeton", "passe", "identifiants",
+        "contraseña", "contrasena", "clave", "secreto", "credencial", "credenciales"),
 }
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.3, "mac": 0.6, "secret": 0.1}
 CHECKSUM, NEARBY, BEFORE, AFTER, LEAST = 0.4, 0.3, 50, 25, 0.6
@@ -143,6 +157,9 @@ def entropy(run: str) -> float:
     return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values())
 
 
+_HEX, _WORDS = re.compile("[0-9a-fA-F]+").fullmatch, re.compile(r"[^\W\d_]+").findall
+
+
 def _header(run: str) -> bool:
     """Whether the first of three parts is JSON in base64."""
     parts = run.split(".")
@@ -152,27 +169,58 @@ def _header(run: str) -> bool:
         return False
 
 
+def _blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Private-key blocks."""
+    begin = None
+    for m in _BLOCK.finditer(text):
+        if begin is not None:
+            yield begin.start(), m.end() if m[1] == "END" else _BODY.match(text, begin.end()).end()
+        begin = m if m[1] == "BEGIN" else None
+    if begin is not None:
+        yield begin.start(), _BODY.match(text, begin.end()).end()
+
+
+def _mixed(run: str) -> bool:
+    return any(map(str.isdigit, run)) and any(map(str.isalpha, run))
+
+
 def _secrets(text: str) -> Iterator[tuple[int, int, float]]:
-    """Start, end and what form and entropy add to the score."""
+    """Start, end and what form and entropy add to the score; spans don't overlap."""
+    found = [(s, e, FORM) for s, e in _blocks(text)] if "PRIVATE KEY" in text else []
+    blocks, at = [*found, (len(text), len(text), 0.0)], 0
     for m in _SECRET.finditer(text):
-        run = m[0]
-        if run.startswith("-----"):
-            yield *m.span(), FORM
+        while blocks[at][1] <= m.start():
+            at += 1
+            if at == len(blocks):
+                break
+        if at < len(blocks) and blocks[at][0] < m.end():
             continue
-        run = run.rstrip("./-_+")
+        run = m[0].rstrip("./-_+")
         if len(run) < 20:
             continue
         if run.startswith(BEGINNINGS) or _header(run):
-            yield m.start(), m.start() + len(run), FORM
-        elif len(run) <= 512 and any(c.isdigit() for c in run) and any(c.isalpha() for c in run):
-            bits = entropy(run)
-            if bits >= (HEX_BITS if re.fullmatch("[0-9a-fA-F]+", run) else OTHER_BITS):
-                yield m.start(), m.start() + len(run), CHECKSUM
+            found.append((m.start(), m.start() + len(run), FORM))
+        elif _mixed(run) and entropy(run) >= (HEX_BITS if _HEX(run) else OTHER_BITS):
+            found.append((m.start(), m.start() + len(run), CHECKSUM))
+    found.sort()
+    named = [(m.start("value"), m.start("value") + len(m["value"].rstrip(".:!?)]}"))) for m in _NAMED.finditer(text) if _mixed(m["value"])]
+    at = 0
+    for s, e in named:
+        while at < len(found) and found[at][1] <= s:
+            at += 1
+        # a run that is known already, or too short without what ends the sentence
+        if e - s >= 8 and not (at < len(found) and found[at][0] < e and _likely(text, *found[at])):
+            yield s, e, CHECKSUM
+    yield from found
+
+
+def _likely(text: str, start: int, end: int, added: float) -> bool:
+    return _score("secret", text, start, end, added) >= LEAST
 
 
 def _near(kind: str, text: str, start: int, end: int) -> bool:
     around = (text[max(0, start - BEFORE) : start] + " " + text[end : end + AFTER]).lower()
-    return any(w in CONTEXT[kind] for w in re.findall("[a-z]+", around))
+    return any(w in CONTEXT[kind] for w in _WORDS(around))
 
 
 def _score(kind: str, text: str, start: int, end: int, added: float = 0.0) -> float:
@@ -192,7 +240,7 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
     more = [("iban", s, e, _score("iban", text, s, e, CHECKSUM)) for s, e in _ibans(text)]
     more += [("ssn", *m.span(), _score("ssn", text, *m.span())) for m in _SSN.finditer(text)]
     more += [("mac", *m.span(), _score("mac", text, *m.span())) for m in _MAC.finditer(text)]
-    more += [("secret", s, e, _score("secret", text, s, e, added)) for s, e, added in _secrets(text)]
+    more += sorted(("secret", s, e, _score("secret", text, s, e, added)) for s, e, added in _secrets(text))
     return out + [x for x in more if x[3] >= LEAST]
 
 
