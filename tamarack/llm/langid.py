@@ -5,10 +5,12 @@ model greedily: a phrase is the longest match from where the last phrase ended,
 it begins the next one.  The language that needs the fewest phrases per character wins.
 
 Training text is a bounded sample: about ``chars`` code points for each language (``ALL`` times that in all, shared by
-the languages, but never fewer than ``LEAST`` for any), from at most ``per_language`` labelled documents, those with
-the smallest hash of their id, and from a hashed place in each, so that a rerun learns the same and no shared opening
-is all there is.  Every labelled language is learned, with all characters of its sample; a model takes about 50 bytes
-a code point.  Models are built once in each worker.  Everything else covers all rows and whole texts.
+the languages, but never fewer than ``LEAST`` for any while that is at most ``MOST`` together), from at most
+``per_language`` labelled documents, those with the smallest hash of their id, and from a hashed place in each, so that a
+rerun learns the same and no shared opening is all there is.  Every labelled language is learned, with all characters of
+its sample; only a table with more than ``MOST`` / ``SHORTEST`` of them, which are no languages any more, is held to those
+of most labelled rows.  A model takes about 50 bytes a code point; all are built once, each in a task, and broadcast
+as arrays, at most 50 * ``MOST`` bytes.  Everything else covers all rows and whole texts.
 
 Parsing is vectorised: the automaton is one array of transitions, each state's row laid into gaps of the others, and
 all texts of a batch, cut into blocks of ``BLOCK`` characters, take their steps together.  Blocks are first parsed as
@@ -28,12 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import ship
+from tamarack.llm.common import discard, materialize, n_partitions, ship
 
 CHARS, PER_LANGUAGE, ALL, LEAST, BLOCK = 40_000, 200, 4, 2_000, 512
+#: Bounds of the sample: code points in all where there are very many languages, and of one language then.
+MOST, SHORTEST = 1_000_000, 64
+#: Bits of a document's hash that draw it.
+DRAW = 40
 #: Most characters of texts that are parsed together.
 BATCH = 2_000_000
 #: How sharply the score follows the difference in phrases per character.
@@ -134,14 +140,18 @@ def _letters() -> np.ndarray:
 class Model:
     """Automata of all languages over the characters of all training texts."""
 
-    def __init__(self, texts: dict[str, str]) -> None:
+    def __init__(self, texts: dict[str, str], build: bool = True) -> None:
         self.languages = sorted(texts)
         letters = _letters()
         seen = np.unique(np.frombuffer("".join(texts.values()).lower().encode("utf-32-le", "surrogatepass"), np.uint32))
         seen = seen[letters[seen]]
         self.lookup = np.where(letters, np.int32(UNSEEN), np.int32(GAP))
         self.lookup[seen] = np.arange(GAP + 1, GAP + 1 + len(seen), dtype=np.int32)
-        self.models = [laid_out(automaton(self.codes(texts[x]).tolist()), GAP + 1 + len(seen)) for x in self.languages]
+        self.n_codes = GAP + 1 + len(seen)
+        self.models = [self.built(texts[x]) for x in self.languages] if build else []
+
+    def built(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        return laid_out(automaton(self.codes(text).tolist()), self.n_codes)
 
     def codes(self, text: str) -> np.ndarray:
         """Letters as codes; a run of anything else counts as one gap."""
@@ -221,15 +231,26 @@ def parsed(flat: np.ndarray, first: np.ndarray, length: np.ndarray, goes_on: np.
     return count
 
 
-_models: dict[int, Model] = {}
+def learned(spark: SparkSession, texts: dict[str, str]) -> Model:
+    """The model of ``texts``, a language built in each task."""
+    model = Model(texts, build=False)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            made = [shared.value.built(t) for t in b["text"]]
+            yield pd.DataFrame({"lang": b["lang"]} | {c: [m[k].astype(np.int64).tobytes() for m in made] for k, c in enumerate(("steps", "first"))})
+
+    rows = spark.createDataFrame([(x, texts[x]) for x in model.languages], "lang string, text string")
+    rows = rows.repartition(min(len(texts), 4 * n_partitions(spark)), "lang").mapInPandas(run, "lang string, steps binary, first binary")
+    found = {r.lang: (np.frombuffer(r.steps, np.int64), np.frombuffer(r.first, np.int64)) for r in rows.collect()}
+    model.models = [found[x] for x in model.languages]
+    return model
 
 
-def _model(texts: dict[str, str]) -> Model:
-    key = hash(tuple(sorted(texts.items())))
-    if key not in _models:
-        _models.clear()
-        _models[key] = Model(texts)
-    return _models[key]
+def drawn(h: Column, n: Column, per_language: int) -> Column:
+    """Whether a document of hash ``h`` is drawn: about 2 * ``per_language`` + 50 of a language's ``n`` are."""
+    return h < F.lit(float(1 << DRAW) * (2.0 * per_language + 50)) / n
 
 
 def training_text(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chars: int = CHARS, per_language: int = PER_LANGUAGE) -> dict[str, str]:
@@ -239,19 +260,28 @@ def training_text(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     task gathers more of a language than a few times ``per_language`` excerpts; that many reach the driver.
     """
     text = F.col(text_col)
-    rows = labelled.where(F.col(lang_col).isNotNull() & text.rlike("\\p{L}")).select(F.col(lang_col).alias("lang"), text.alias("t"), F.xxhash64(F.col(id_col).cast("string"), lang_col).alias("h"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    h = F.pmod(F.xxhash64(F.col(id_col).cast("string"), lang_col), F.lit(1 << DRAW))
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("t"), h.alias("h"))
+    # texts are looked through once; what is drawn is then read by its hash
+    told = materialize(rows.where(F.col("t").rlike("\\p{L}")).select("lang", "h", F.length("t").alias("size")))
+    counts = told.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     n_languages = counts.count()
-    chars = max(LEAST, min(chars, ALL * chars // max(1, n_languages)))
-    # a row for each language, all of which are in the model too, so broadcast: texts stay where they are
-    drawn = rows.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 40)) * F.col("n") < F.lit((1 << 40) * (2.0 * per_language + 50)))
+    if n_languages > MOST // SHORTEST:
+        counts = counts.orderBy(F.desc("n"), "lang").limit(MOST // SHORTEST)
+        n_languages = MOST // SHORTEST
+    chars = max(min(chars, ALL * chars // max(1, n_languages)), min(chars, LEAST, MOST // max(1, n_languages)))
+    # a row for each language, a few for each document drawn: both bounded as the sample is, so broadcast
+    ranked = told.join(F.broadcast(counts), "lang").where(drawn(F.col("h"), F.col("n"), per_language))
+    ranked = ranked.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "size"))).where(F.col("k") <= per_language)
+    chosen = materialize(ranked.select("lang", "h", "n").distinct())
     size = F.ceil(F.lit(chars) / F.least("n", F.lit(per_language))).cast("int")
     start = F.pmod(F.xxhash64("h"), F.greatest(F.length("t") - size + 1, F.lit(1))).cast("int") + 1
-    cut = drawn.select("lang", F.substring("t", start, size).alias("t"), F.pmod("h", F.lit(1 << 40)).alias("h"))
+    cut = rows.join(F.broadcast(chosen), ["lang", "h"]).where(F.col("t").rlike("\\p{L}")).select("lang", F.substring("t", start, size).alias("t"), "h")
     best = cut.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("k") <= per_language)
     out: dict[str, list[str]] = {}
     for r in best.select("lang", "t", "h").orderBy("lang", "h", "t").collect():
         out.setdefault(r.lang, []).append(r.t)
+    discard(told, chosen)
     return {lang: "\n".join(ts) for lang, ts in out.items()}
 
 
@@ -260,10 +290,10 @@ def predict_language(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_
     spark = docs.sparkSession
     ship(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(texts)  # the bounded sample
+    shared = spark.sparkContext.broadcast(learned(spark, texts) if texts else None)  # arrays of the bounded sample
 
     def judged(texts_: list[str]) -> tuple[list[str], list[float]]:
-        model = _model(shared.value)
+        model = shared.value
         rate = model.phrases(texts_)
         best = rate.argmin(axis=1)
         odds = np.exp(-SHARP * (rate - rate.min(axis=1, keepdims=True)))

@@ -278,6 +278,21 @@ def test_many_languages_and_scripts(spark):
     assert langid.predict_language(df.limit(0), texts).count() == 0
 
 
+def test_draw_at_any_count(spark):
+    """About as many documents are drawn from ten thousand million as from a thousand."""
+    for n in (100, 10**3, 10**7, 10**10, 10**15):
+        some = spark.range(20_000).select(F.lit(n).cast("long").alias("n"), (F.col("id") * F.lit((1 << langid.DRAW) // 20_000)).alias("h"))
+        share = some.where(langid.drawn(F.col("h"), F.col("n"), 200)).count() / 20_000
+        assert abs(share - min(1, 450 / n)) <= 1 / 20_000 + 1e-9
+
+
+def test_very_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST", 640)
+    rows = [(k, f"some words of {k}", f"l{k % 30:02}") for k in range(100)] + [(k, "more words", "l29") for k in range(100, 110)]
+    texts = langid.training_text(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(texts) == 10 and "l29" in texts and sum(map(len, texts.values())) <= 3 * 640
+
+
 def test_language_id(spark):
     rnd = random.Random(8)
     vocab = {"en": ["the", "and", "thing", "of", "with"], "de": ["der", "und", "nicht", "über", "mit"], "fr": ["les", "été", "nous", "avec", "une"]}

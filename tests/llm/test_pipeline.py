@@ -16,11 +16,11 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamarack.llm import bpe, pii
+from tamarack.llm import bpe, langid, pii
 from tamarack.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SMALL
 from tests.llm.test_near import brute_roots
-from tests.llm.test_operators import RANKS, brute_components, brute_fingerprint, brute_lines, brute_mix, brute_pii, brute_quality, words
+from tests.llm.test_operators import RANKS, brute_components, brute_fingerprint, brute_lines, brute_mix, brute_pii, brute_quality, greedy, words
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +96,26 @@ def test_language_rows(spark, tables):
     assert {k: (r.lang_pred, r.score) for k, r in result(spark, "op6_language_id", path).items()} == {k: (r.lang_pred, r.score) for k, r in got.items()}
 
 
+def test_language_is_the_plain_argmin(spark, tables):
+    """The query's language and score against a plain parse of each text by each language."""
+    docs = spark.read.parquet(f"{tables['hard']}/documents.parquet")
+    texts = langid.training_text(docs.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
+    model = langid.Model(texts)
+    known = {x: "".join(map(chr, model.codes(t))) for x, t in texts.items()}
+    got = result(spark, "op6_language_id", tables["hard"])
+    some = 0
+    for d in documents(spark, tables["hard"]):
+        codes = "".join(map(chr, model.codes(d.text or "")))
+        if not 0 < len(codes) < 3000 or got[d.doc_id].lang_pred == "und":
+            continue
+        rate = {x: greedy(codes, known[x]) / len(codes) for x in model.languages}
+        odds = {x: np.exp(-langid.SHARP * (r - min(rate.values()))) for x, r in rate.items()}
+        assert got[d.doc_id].lang_pred == min(model.languages, key=lambda x: (rate[x], x))
+        assert abs(got[d.doc_id].score - 1 / sum(odds.values())) < 1e-9
+        some += 1
+    assert some > 100
+
+
 def test_bpe_rows(spark, tables):
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(RANKS), special_tokens={})
     got = result(spark, "op7_byte_bpe", tables["hard"])
