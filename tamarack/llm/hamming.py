@@ -6,8 +6,10 @@ the query's.  After shell t every code within m * (t + 1) - 1 bits has been met,
 t in each of m segments is at least m * (t + 1) away.  Each code met is verified by its whole distance, and a
 query is done when its k-th verified distance is within what is covered; only the others go on.
 
-A shell with more lookups than there are codes is not worth making: the queries still open then meet the codes in
-blocks of queries against blocks of codes, joined by the number of the block, which is exact as well.
+Lookups of a shell are joined with the index like any two tables, so no shell needs another way: with segments of log2(n / 4)
+bits a lookup meets about four codes, and the last shell, whose radius is a whole segment, meets every code.  How many
+shells a query takes follows from how far its k-th neighbour is; on random codes that is far and wide shells meet much of
+a small table, on codes of alike vectors the first shells are enough.
 
 Codes are indexed once however many rows share them, with the ``k + 1`` smallest ids of each (enough for k
 neighbours other than the query itself), so a vector that a third of all rows repeat is one entry.  Equal
@@ -21,17 +23,14 @@ and zero give bit 0; a query in a table of fewer than k other rows gets them all
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import discard, materialize, ship
+from tamarack.llm.common import discard, materialize
 
-BITS, K, BLOCK = 64, 10, 4096
+BITS, K = 64, 10
 
 
 def sign_code(vector: Column) -> Column:
@@ -74,33 +73,6 @@ def _met(open_: DataFrame, index: DataFrame, cuts: list[tuple[int, int]], t: int
     return pairs.where(fresh & (first == seg)).select("q", "c", F.bit_count(F.col("q").bitwiseXOR(F.col("c"))).alias("d"))
 
 
-def _scan(open_: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """(``q``, ``c``, ``d``) of the nearest codes of each query, by scanning blocks against blocks."""
-    ship(open_.sparkSession)
-
-    def blocks(rows: DataFrame, name: str, *cols: str) -> tuple[DataFrame, int]:
-        n = max(1, -(-rows.count() // BLOCK))
-        return rows.groupBy(F.pmod(F.xxhash64(cols[0]), F.lit(n)).alias(name)).agg(*[F.collect_list(c).alias(c + "s") for c in cols]), n
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for qs, cs, least in zip(b.column("qs"), b.column("cs"), b.column("leasts")):
-                q, c, lo = (x.values.to_numpy(zero_copy_only=False) for x in (qs, cs, least))
-                order = np.argsort(lo, kind="stable")
-                c = c[order]
-                for at in range(0, len(q), 256):
-                    d = np.bitwise_count((q[at : at + 256, None] ^ c[None, :]).view(np.uint64))
-                    near = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
-                    row = np.repeat(np.arange(len(d)), near.shape[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(q[at : at + 256][row]), pa.array(c[near.ravel()]), pa.array(d[row, near.ravel()].astype(np.int32))], ["q", "c", "d"])
-
-    codes, n = blocks(index.select("c", F.get("ids", F.lit(0)).alias("least")), "b", "c", "least")
-    open_blocks, _ = blocks(open_, "a", "q")
-    # each block of queries goes to each block of codes, which stay where they were gathered
-    both = open_blocks.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))).hint("merge").join(codes, "b")
-    return both.select("qs", "cs", "leasts").mapInArrow(run, "q long, c long, d int")
-
-
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """The ``k`` nearest rows of each query: ``query_id``, ``rank`` (from 1), ``neighbor_id``, ``distance``.
 
@@ -115,22 +87,14 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     by_near = Window.partitionBy("q").orderBy("d", F.get("ids", F.lit(0)), "c")
     best: DataFrame | None = None
     t = 0
-    while not open_.isEmpty():
-        lookups = sum(math.comb(n, t) for _, n in cuts)
-        scan = lookups > n_codes or t > max(n for _, n in cuts)
-        met = _scan(open_, index, k) if scan else _met(open_, index, cuts, t)
-        met = met.hint("merge").join(index, "c").select("q", "c", "d", "ids")
-        if best is not None and not scan:
+    while t <= max(n for _, n in cuts) and not open_.isEmpty():
+        met = _met(open_, index, cuts, t).hint("merge").join(index, "c").select("q", "c", "d", "ids")
+        if best is not None:
             met = met.unionByName(best)
-        near = met.withColumn("r", F.row_number().over(by_near)).where(F.col("r") <= k + 1).drop("r")
-        if best is not None and scan:
-            near = near.unionByName(best.join(open_, "q", "left_anti"))
-        near = materialize(near)
+        near = materialize(met.withColumn("r", F.row_number().over(by_near)).where(F.col("r") <= k + 1).drop("r"))
         if best is not None:
             discard(best)
         best = near
-        if scan:
-            break
         covered = len(cuts) * (t + 1) - 1
         have = best.withColumn("n", F.sum(F.size("ids")).over(by_near.rowsBetween(Window.unboundedPreceding, 0)))
         done = have.where((F.col("n") > k) & (F.col("d") <= covered)).select("q").distinct()
