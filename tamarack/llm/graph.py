@@ -55,10 +55,12 @@ def first_of_each(docs: DataFrame, found: DataFrame, node, id_col: str = "doc_id
     one with the smallest, else one without; ``node`` is the node of a row, as a Column over ``docs``.
 
     Rows are matched by id and node, both sides dealt by them whatever their size, so texts move once and copies
-    of one text are spread by their ids.
+    of one text are spread by their ids.  Of rows alike in id and node the first in the order of all their columns stays
+    (of those that can be ordered; by the JSON text of the others), so reruns agree.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
     keep = found.groupBy("root").agg(first.alias("f")).select(F.col("f.doc_id").alias("doc_id"), F.col("f.node").alias("node"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), node.alias("at"))
     kept = rows.join(keep.hint("merge"), rows["id"].eqNullSafe(keep["doc_id"]) & (rows["at"] == keep["node"]), "left_semi")
-    return kept.dropDuplicates(["id", "at"]).select("row.*")
+    order = [F.to_json(F.col("row")[c]) if "map<" in kind or "variant" in kind else F.col("row")[c] for c, kind in docs.dtypes]
+    return kept.groupBy("id", "at").agg(F.min_by("row", F.struct(*order)).alias("row")).select("row.*")

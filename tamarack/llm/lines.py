@@ -12,7 +12,7 @@ salted hosts otherwise, which spreads a host with a third of all pages.
 
 Defined results: null text stays null and has no lines; a null host is a host of its own; a page that
 loses all its lines has an empty text and stays; repeated rows are pages of their own; ties don't arise;
-an empty table gives an empty result; other columns stay, whatever their names.
+an empty table gives an empty result; other columns stay, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -57,8 +57,9 @@ def drop_boilerplate(pages: DataFrame, text_col: str = "text", host_col: str = "
     if size <= BROADCAST_BYTES:
         out = rows.join(F.broadcast(gone), "host", "left")
     else:
-        # a salt of the whole row, so that copies of one page are spread by their ids; it is the same in every attempt
-        salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+        # a salt of all columns that can be hashed, so that copies of one page are spread by their ids; it is the same in every attempt
+        known = [F.col("row")[c] for c, kind in pages.dtypes if "map<" not in kind and "variant" not in kind]
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64(*known), F.lit(SALTS)).cast("int"))
         out = salted.join(gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["host", "salt"], "left")
     every = F.split("text", "\n")
     out = out.withColumn("kept", F.when(F.col("gone").isNull(), every).otherwise(F.filter(every, lambda x: ~F.array_contains("gone", _hash(x)))))

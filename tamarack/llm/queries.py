@@ -18,6 +18,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def page_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 1 over raw web pages, a tag a line, by the host of their address."""
+    pages = read(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "><", ">\n<").alias("text"), lines.url_host(F.col("url")).alias("host"))
+    out = lines.drop_boilerplate(pages, host_col="host", count_col="n_dropped")
+    return uses(out.select("page_id", "host", "n_dropped", F.sha2("text", 256).alias("kept_sha256")), *out._tamarack_uses)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.over_kept(docs, substrings.digest, "n_words long, n_removed long, kept_sha256 string")
@@ -156,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_periodic_runs": op11_periodic_runs,
     "op12_source_divergence": op12_source_divergence,
     "op13_packing": op13_packing,
+    "page_line_dedup": page_line_dedup,
     "pii_base_spans": pii_base_spans,
     "quality_base_counts": quality_base_counts,
 }
@@ -174,6 +182,19 @@ _SQL_SPANS = " union all ".join(_sql_spans(k, p) for k, p in (
     ("card", r"[0-9](?:[\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")))
 
 ORACLE_SQL: dict[str, str] = {
+    "page_line_dedup": """
+        with pages as (
+            select page_id, nullif(regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1), '') as host, string_split(regexp_replace(html, '><', '>' || chr(10) || '<', 'g'), chr(10)) as ls from pages),
+        lines as (select page_id, host, unnest(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ \\t-\\r]')))) as line from pages),
+        totals as (select host, count(*) as n from pages group by host),
+        gone as (
+            select l.host, list(l.line) as gone from (select host, line, count(*) as k from lines group by host, line) l
+            join totals t on l.host is not distinct from t.host where l.k >= 5 and l.k > 0.1 * t.n group by l.host),
+        kept as (
+            select p.page_id, p.host, len(p.ls) as n, list_filter(p.ls, lambda x: not list_contains(coalesce(g.gone, cast([] as varchar[])), x)) as ks
+            from pages p left join gone g on p.host is not distinct from g.host)
+        select page_id, host, cast(coalesce(n - len(ks), 0) as bigint) as n_dropped, sha256(array_to_string(ks, chr(10))) as kept_sha256 from kept
+    """,
     "op1_line_dedup": """
         with pages as (select doc_id, source, text, string_split(text, chr(10)) as ls from documents),
         lines as (select doc_id, source, unnest(list_distinct(list_filter(ls, lambda x: regexp_matches(x, '[^ \\t-\\r]')))) as line from pages),

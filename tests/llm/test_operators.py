@@ -56,8 +56,9 @@ def test_line_dedup(spark, monkeypatch, bound):
     texts = ["\n".join(rnd.choice(["menu", "foot", "", " ", f"own {k}", "rare"]) for _ in range(6)) for k in range(60)] + [None, "", "menu"]
     df = docs(spark, *texts).unionByName(docs(spark, "menu\nfoot", "menu", source=lambda k: None))
     rows = [(r.doc_id, r.text, r.source) for r in df.collect()]
-    got = lines.drop_boilerplate(df.withColumn("gone", F.lit(1)), ratio=0.3, least=4, count_col="salt")
-    assert got.columns == [*df.columns, "gone", "salt"]
+    more = df.withColumns({"gone": F.lit(1), "kinds": F.create_map(F.lit("a"), F.col("doc_id")), "deep": F.array(F.create_map(F.lit(1), F.lit(2)))})
+    got = lines.drop_boilerplate(more, ratio=0.3, least=4, count_col="salt")
+    assert got.columns == [*more.columns, "salt"]
     assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, brute_lines(rows, 0.3, 4)))
 
 
