@@ -2,7 +2,7 @@
 
 Each back end is a factory that the caller hands in; it is called once for each task, so clients and models
 live in the Python workers, never in the plan.  Answers come back as columns, and a row that fails carries
-its error and goes on.
+its error and goes on.  What is paid for, pages read and answers given, goes through :mod:`tamarack.answers`.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.tables import ship
+from tamarack.answers import SLOTS, answered
+from tamarack.tables import materialize, ship, uses
 
 MAX_TEXT, TRIES = 15_000, 3
 #: What in an error's text makes a call worth another try.
@@ -79,12 +80,17 @@ def rasterize(pdfs: DataFrame, factory: Callable[[], Rasterizer], dpi: int = 300
     return _over(pdfs, "content", ["source_file", "filename"], "page,png", "page int, png binary", factory, use)
 
 
-def read_pages(pages: DataFrame, factory: Callable[[], PageReader], wait: Callable[[float], None] = time.sleep) -> DataFrame:
-    """``pages`` read: (``source_file``, ``filename``, ``page``, ``page_text``, ``error``)."""
-    good = pages.where("error is null").drop("error")
-    use = lambda b, png: [{"page_text": retried(lambda: b.read(bytes(png)), wait=wait)}]
-    read = _over(good, "png", ["source_file", "filename", "page"], "page_text", "page_text string", factory, use)
-    return read.unionByName(pages.where("error is not null").select("source_file", "filename", "page", F.lit(None).cast("string").alias("page_text"), "error"))
+def read_pages(pages: DataFrame, factory: Callable[[], PageReader], wait: Callable[[float], None] = time.sleep, name: str = "reader", store: str | None = None, slots: int = SLOTS) -> DataFrame:
+    """``pages`` read: (``source_file``, ``filename``, ``page``, ``page_text``, ``error``).
+
+    Pages are written first, so that each PDF is rasterised once, and equal images are read once; texts are kept in
+    ``store``, see :mod:`tamarack.answers`.
+    """
+    pages = materialize(pages.withColumnRenamed("error", "_page_error"))
+    read = answered(pages.where("_page_error is null"), "png", factory, lambda b, png: retried(lambda: b.read(bytes(png)), wait=wait), name, store, slots)
+    columns = ("source_file", "filename", "page")
+    bad = pages.where("_page_error is not null").select(*columns, F.lit(None).cast("string").alias("page_text"), F.col("_page_error").alias("error"))
+    return uses(read.select(*columns, F.col("answer").alias("page_text"), "error").unionByName(bad), pages)
 
 
 def page_mark(n: Column) -> Column:
@@ -98,8 +104,11 @@ def join_pages(read: DataFrame) -> DataFrame:
     return docs.select("source_file", "filename", F.when(F.size("ps") == 1, F.get("ps", F.lit(0))["page_text"]).otherwise(marked).alias("text"), "error")
 
 
-def ask(df: DataFrame, factory: Callable[[], Model], key: str, text_col: str = "cleaned_text", out: str = "model", chars: int = MAX_TEXT, wait: Callable[[float], None] = time.sleep) -> DataFrame:
-    """``key`` and ``out``, a model's answer to the first ``chars`` characters of each text; null where it failed."""
-    cut = df.select(key, F.substring(text_col, 1, chars).alias("_text"))
-    use = lambda b, text: [{out: retried(lambda: b.answer(text), wait=wait)}]
-    return _over(cut, "_text", [key], out, f"`{out}` string", factory, use)
+def ask(df: DataFrame, factory: Callable[[], Model], key: str, text_col: str = "cleaned_text", out: str = "model", chars: int = MAX_TEXT, wait: Callable[[float], None] = time.sleep, name: str = "model", store: str | None = None, slots: int = SLOTS) -> DataFrame:
+    """``key`` and ``out``, a model's answer to the first ``chars`` characters of each text; null where it failed.
+
+    Equal texts are asked about once; answers are kept in ``store``, see :mod:`tamarack.answers`.
+    """
+    cut = materialize(df.select(key, F.substring(text_col, 1, chars).alias("_text")))
+    told = answered(cut, "_text", factory, lambda b, text: retried(lambda: b.answer(text or ""), wait=wait), name, store, slots)
+    return uses(told.withColumnRenamed("answer", out), cut)

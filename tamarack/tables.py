@@ -48,8 +48,21 @@ def _local_dir() -> str:
     return _local[0]
 
 
-def materialize(df: DataFrame, **options: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back; ``options`` are Parquet's.
+def temporary(spark: SparkSession, path: str) -> str:
+    """``path``, which goes with the driver."""
+    p, fs = _located(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _located(spark, path)
+    return fs.exists(p)
+
+
+def materialize(df: DataFrame, partition_by: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, a folder for each value of ``partition_by``, and read it back;
+    ``options`` are Parquet's.
 
     This cuts the lineage and survives lost executors; as Parquet it also tells Catalyst its size.  Tables that
     ``df`` alone reads (:func:`uses`) are deleted once it is written.
@@ -58,7 +71,7 @@ def materialize(df: DataFrame, **options: str) -> DataFrame:
     read = getattr(df, "_tamarack_uses", ())
     df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"})
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).parquet(path, partitionBy=partition_by)
     out = spark.read.schema(df.schema).parquet(path)
     out._tamarack_path = path  # type: ignore[attr-defined]
     p, fs = _located(spark, path)
