@@ -8,6 +8,7 @@ back ends named ``module:factory``, see ``tamarack.backends``.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import importlib
 import logging
 import sys
@@ -16,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack import adapters
+from tamarack.answers import SLOTS
 from tamarack.config import Settings
 from tamarack.plans.extraction import extract_documents
 from tamarack.plans.services import extract_with_model, process_pdfs
 from tamarack.session import session
-from tamarack.sources.files import read_pdfs, read_results, read_texts, skip_done
-from tamarack.sources.sinks import failures, records, summary, write_csv, write_flat_json, write_json
+from tamarack.sources.files import read_pdfs, read_texts
+from tamarack.sources.runs import PER_BATCH, Output, run
+from tamarack.sources.sinks import failures, records, write_json
 from tamarack.streaming.ingest import run_incremental
 from tamarack.tables import materialize
 
@@ -54,6 +57,10 @@ def _parser() -> argparse.ArgumentParser:
         x.add_argument("--dpi", type=int)
     for x in (many, pdfs):
         x.add_argument("--resume", action="store_true", help="skip files whose rows are in the output")
+        x.add_argument("--per-batch", type=int, default=PER_BATCH, help="files whose rows are committed together")
+    for x in (one, many, pdf, pdfs):
+        x.add_argument("--answers", help="folder that keeps paid answers for later runs; for folders OUTPUT.answers")
+        x.add_argument("--slots", type=int, default=SLOTS, help="calls under way at a time")
     grow = sub.add_parser("ingest", help="text files that are new since the last run")
     grow.add_argument("folder")
     grow.add_argument("-o", "--output", required=True)
@@ -66,18 +73,33 @@ def _factory(name: str):
     return getattr(importlib.import_module(module), attr)
 
 
+def _store(args: argparse.Namespace) -> str | None:
+    """Where paid answers are kept: of a folder's run beside its output, so that a run which died asks nothing twice."""
+    return args.answers or (args.output.rstrip("/") + ".answers" if args.command.endswith("-dir") else None)
+
+
+def _named(*what: object) -> str:
+    """A name for a model with its prompts and settings: others get answers of their own."""
+    return hashlib.sha256("\0".join(map(str, what)).encode()).hexdigest()
+
+
 def _extracted(files: DataFrame, args: argparse.Namespace, settings: Settings) -> DataFrame:
     """Records of texts, with a model's answers where the settings have one and it is wanted."""
     if args.regex_only or not settings.calls_model():
         return extract_documents(files, do_clean=not args.no_clean)
-    return extract_with_model(files, "source_file", lambda: adapters.ChatModel(settings), lambda: adapters.SecondOpinion(settings), do_clean=not args.no_clean)
+    name = _named(settings.llm_base_url, settings.llm_model, settings.llm_temperature, adapters.MODEL_ROLE, adapters.MODEL_PROMPT, adapters.SECOND_ROLE)
+    return extract_with_model(
+        files, "source_file", lambda: adapters.ChatModel(settings), lambda: adapters.SecondOpinion(settings), do_clean=not args.no_clean, name=name, store=_store(args), slots=args.slots)
 
 
 def _read(pdfs: DataFrame, args: argparse.Namespace, settings: Settings) -> DataFrame:
     """Records of PDFs, written before they are used, so that no page is read twice."""
     rasterizer = _factory(args.rasterizer) if args.rasterizer else adapters.PdfPages
     reader = _factory(args.reader) if args.reader else adapters.reader(settings)
-    return materialize(process_pdfs(pdfs, rasterizer, reader, args.dpi or settings.pdf_dpi, args.reader or settings.ocr_backend))
+    store = _store(args)
+    kind = args.reader or _named(settings.ocr_backend, settings.for_ocr()[1:], settings.ocr_model_path, adapters.PAGE_PROMPT)
+    out = process_pdfs(pdfs, rasterizer, reader, args.dpi or settings.pdf_dpi, kind, store=store, slots=args.slots)
+    return materialize(out.withColumn("ocr_backend", F.lit(args.reader or settings.ocr_backend)))
 
 
 def _one(out: DataFrame, path: str | None) -> None:
@@ -87,14 +109,6 @@ def _one(out: DataFrame, path: str | None) -> None:
         print(records(out).first()["value"])
 
 
-def _left(files: DataFrame, args: argparse.Namespace) -> tuple[DataFrame, int]:
-    """Files that a resumed run has still to take, and how many it skips."""
-    if not args.resume:
-        return files, 0
-    left = skip_done(files, read_results(files.sparkSession, args.output))
-    return left, files.select("source_file").count() - left.select("source_file").count()
-
-
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO, format="%(levelname)s %(message)s")
@@ -112,16 +126,11 @@ def main(argv: list[str] | None = None) -> int:
             run_incremental(spark, args.folder, args.output, args.checkpoint)
         else:
             texts = args.command == "extract-dir"
-            files, skipped = _left(read_texts(spark, args.path) if texts else read_pdfs(spark, args.path), args)
-            out = materialize(_extracted(files, args, settings).withColumn("error", F.lit(None).cast("string"))) if texts else _read(files, args, settings)
-            # rows in the order of their files, as ranges over the output's parts
-            good, mode = out.where("error is null").orderBy("source_file"), "append" if args.resume else "errorifexists"
-            if texts and args.format == "json":
-                write_flat_json(good, args.output, mode)
-            else:
-                write_csv(good, args.output, mode)
-            failures(out).coalesce(1).write.mode("overwrite").json(args.output.rstrip("/") + ".errors")
-            log.info("%s", summary(out, skipped).first())
+            out = Output(spark, args.output, args.format if texts else "csv")
+            read = (lambda paths: read_texts(spark, paths, glob="")) if texts else (lambda paths: read_pdfs(spark, paths, "*"))
+            extract = (lambda files: _extracted(files, args, settings)) if texts else (lambda files: _read(files, args, settings))
+            told = run(spark, args.path, "*.txt" if texts else "*.pdf", out, read, extract, args.resume, args.per_batch)
+            log.info("%s", told)
     except Exception:
         log.exception("failed")
         return 1

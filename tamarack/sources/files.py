@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from tamarack.functions.regex import sub
 
 
+def file_name() -> Column:
+    """The name of a row's file, as it is: Spark's own has characters escaped as in addresses."""
+    last = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+
+
 def _named(df: DataFrame) -> DataFrame:
-    name = F.col("_metadata.file_name")
+    name = file_name()
     return df.withColumns({"source_file": name, "filename": stem(name)})
 
 
@@ -18,13 +24,13 @@ def stem(name: Column) -> Column:
     return sub(name, r"(?<!\A)\.[^.]*\z")
 
 
-def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+def read_texts(spark: SparkSession, path: str | list[str], glob: str = "*.txt") -> DataFrame:
     """A row for each text file: ``text``, ``source_file`` and ``filename`` (its stem).  Folders aren't searched deeper."""
     reader = spark.read.option("wholetext", True)
     return _named((reader.option("pathGlobFilter", glob) if glob else reader).text(path)).withColumnRenamed("value", "text")
 
 
-def read_pdfs(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+def read_pdfs(spark: SparkSession, path: str | list[str], glob: str = "*.pdf") -> DataFrame:
     """A row for each PDF: ``content`` (binary), ``source_file`` and ``filename``."""
     return _named(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)).select("content", "source_file", "filename")
 

@@ -1,7 +1,7 @@
 """Incremental runs: new text files are extracted as they arrive and appended to the results.
 
-A query is stateless; which files are done is in its checkpoint, so a restart goes on where it stopped and
-each file's row is written once.
+Which files are done is in the query's checkpoint and which batches are written is in the output, see
+``tamarack.sources.runs``, so a restart goes on where it stopped and each file's row is written once.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tamarack.operators.flatten import flatten
 from tamarack.plans.extraction import extract_documents
-from tamarack.sources.files import stem
+from tamarack.sources.files import file_name, stem
+from tamarack.sources.runs import Output
 
 
 def text_stream(spark: SparkSession, path: str, glob: str = "*.txt", per_batch: int = 10_000) -> DataFrame:
     """``text``, ``source_file`` and ``filename`` of files as they arrive in ``path``."""
     rows = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob).option("maxFilesPerTrigger", per_batch).load(path)
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return rows.select(F.col("value").alias("text"), F.url_decode(name).alias("source_file")).withColumn("filename", stem(F.col("source_file")))
+    return rows.select(F.col("value").alias("text"), file_name().alias("source_file")).withColumn("filename", stem(F.col("source_file")))
 
 
 def extract_stream(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -27,10 +27,20 @@ def extract_stream(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, source: str, target: str, checkpoint: str, as_of: Column | None = None, fmt: str = "csv", wait: bool = True) -> StreamingQuery:
-    """Extract all files of ``source`` that ``checkpoint`` doesn't know into ``target``, then stop."""
-    out = extract_stream(text_stream(spark, source), as_of)
-    writer = out.writeStream.format(fmt).option("checkpointLocation", checkpoint).option("path", target).outputMode("append").trigger(availableNow=True)
-    query = (writer.option("header", True).option("escape", '"') if fmt == "csv" else writer).start()
+    """Extract all files of ``source`` that ``checkpoint`` doesn't know into ``target``, then stop.
+
+    Each micro-batch is a batch of the output, committed under the query's id and the batch's number, so one that is run
+    again after a crash adds nothing twice.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        out = Output(own, target, fmt)
+        out.recover()
+        query = own.sparkContext.getLocalProperty("sql.streaming.queryId")
+        out.commit(extract_documents(batch, as_of=as_of), f"{query}-{number:08}")
+
+    query = text_stream(spark, source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         query.awaitTermination()
     return query
