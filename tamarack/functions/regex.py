@@ -91,25 +91,55 @@ def place(text: Column, pattern: str, flags: str = "") -> Column:
     return let(F.split(text, rx(pattern, flags), 2), lambda parts: F.when(F.size(parts) > 1, F.length(item(parts, 0)) + 1).otherwise(0))
 
 
-def with_starts(text: Column, found: Column) -> Column:
-    """``array<struct<m, at>>``: each of :func:`matches` with the place it starts at (from 1).
+def running(sizes: Column) -> Column:
+    """For each element the sum of those before it.
 
-    Sound for patterns without look-around or anchors: an earlier equal piece would have matched itself.
+    Arrays grow by copies, so sums are made in blocks of about the root of their number: n sqrt(n) copies, not n * n.
     """
 
+    def sums(xs: Column, start: Column) -> Column:
+        zero = F.struct(start.cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+        return F.aggregate(xs, zero, step, lambda s: s["out"])
+
+    def build(xs: Column) -> Column:
+        block = F.greatest(F.ceil(F.sqrt(F.size(xs))), F.lit(1)).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int")), lambda j: F.slice(xs, j * block + 1, block))
+        return let(cut, lambda blocks: F.flatten(F.zip_with(blocks, sums(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda s, x: s + x)), F.lit(0)), sums)))
+
+    return F.when(F.size(sizes) == 0, F.array().cast("array<bigint>")).otherwise(let(F.transform(sizes, lambda x: x.cast("long")), build))
+
+
+def with_starts(text: Column, pattern: str, found: Column, flags: str = "") -> Column:
+    """``array<struct<m, at>>``: each of :func:`matches` with the place it starts at (from 1), from the lengths of matches
+    and of what stands between them: linear in the text however many there are."""
+
     def run(all_: Column) -> Column:
-        step = lambda s, m: let(F.call_function("locate", m["g0"], text, s["next"]), lambda at: F.struct(
-            (at + F.length(m["g0"])).alias("next"), F.concat(s["out"], F.array(F.struct(m.alias("m"), at.alias("at")))).alias("out")))
-        none = F.slice(F.transform(all_, lambda m: F.struct(m.alias("m"), F.lit(0).alias("at"))), 1, 0)
-        return F.aggregate(all_, F.struct(F.lit(1).alias("next"), none.alias("out")), step, lambda s: s["out"])
+        def build(gaps: Column) -> Column:
+            sizes = F.transform(all_, lambda m, i: F.length(item(gaps, i)) + F.length(m["g0"]))
+            return let(running(sizes), lambda before: F.transform(all_, lambda m, i: F.struct(m.alias("m"), (item(before, i) + F.length(item(gaps, i)) + 1).cast("int").alias("at"))))
+
+        gaps = F.when(F.size(all_) > 0, F.split(text, rx(pattern, flags), -1)).otherwise(F.array().cast("array<string>"))
+        return let(gaps, build)
 
     return let(found, run)
 
 
-def around(text: Column, at: Column, size: Column, before: int, after: int) -> Column:
-    """The text from ``before`` characters before a match to ``after`` behind it."""
-    start = F.greatest(at - before, F.lit(1))
-    return F.substring(text, start, at + size + after - start)
+#: Characters of a page, see :func:`pages`.
+PAGE = 2048
+
+
+def pages(text: Column) -> Column:
+    """``text`` cut into pages of ``PAGE`` code points, so that a window can be taken without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+
+def window(cut: Column, start: Column, stop: Column) -> Column:
+    """Code points ``start`` to ``stop`` (from 1, exclusive) of a text in :func:`pages`; at most ``PAGE`` of them."""
+    lo = F.greatest(start, F.lit(1)) - 1
+    page = F.floor(lo / PAGE).cast("int")
+    both = F.concat(F.coalesce(item(cut, page), F.lit("")), F.coalesce(item(cut, page + 1), F.lit("")))
+    return F.substring(both, lo - page * PAGE + 1, F.greatest(stop - 1 - lo, F.lit(0)))
 
 
 def rewrite(text: Column, pattern: str, flags: str, change: Callable[[Column, Column], Column], groups: int = 0) -> Column:

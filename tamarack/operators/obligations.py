@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.dates import NUMERIC, SHORT, normalize_date
-from tamarack.functions.regex import contains_any, fence, first, has, let, matches, place, strip, sub, with_starts
+from tamarack.functions.regex import contains_any, fence, first, has, let, matches, pages, place, strip, sub, window, with_starts
 
 #: Phrases before a mention of vacating that make it a notice or a consequence of breach.
 NOTICE = ("acknowledges receipt", "receipt of", "notice to vacate served", "notice to leave served")
@@ -69,8 +69,10 @@ def only_breach_vacates(text: Column) -> Column:
     bound = lambda before: contains_any(before, NOTICE + BREACH)
 
     def judged(low: Column) -> Column:
-        inside = lambda x: let(F.substring(low, F.greatest(x["at"] - 200, F.lit(1)), F.least(x["at"] - 1, F.lit(200))), bound)
-        return let(with_starts(low, matches(low, MENTION, 0)), lambda found: (F.size(found) > 0) & F.forall(found, inside))
+        def judge(found: Column) -> Column:
+            return let(F.when(F.size(found) > 0, pages(low)), lambda cut: F.forall(found, lambda x: let(window(cut, x["at"] - 200, x["at"]), bound)))
+
+        return let(with_starts(low, MENTION, matches(low, MENTION, 0)), lambda found: (F.size(found) > 0) & judge(found))
 
     return F.coalesce(let(F.lower(text), judged), F.lit(False))
 

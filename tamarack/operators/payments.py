@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import dates
 from tamarack.functions.numbers import to_double, two_places
-from tamarack.functions.regex import around, every, fence, first, has, item, let, matches, strip, sub, title, with_starts
+from tamarack.functions.regex import every, fence, first, has, item, let, matches, pages, strip, sub, title, window, with_starts
 
 #: Wordings of amounts, dates, times and limits.
 AMOUNT = r"\d+(?:,\d{3})*(?:\.\d{2})?"
@@ -155,15 +155,19 @@ def payments(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None
 
     def near(before: int):
         def build(t: Column, m: Column, at: Column, amount: int, day: Column, time: Column | None) -> Column:
-            return _item(day, _plain(m[f"g{amount}"]), m["g0"], about=around(t, at, F.length(m["g0"]), before, 50), time=time)
+            # the words before, the match itself and those behind it: a match may be longer than a page
+            end = at + F.length(m["g0"])
+            about = F.concat(window(t, at - before, at), m["g0"], window(t, end, end + 50))
+            return _item(day, _plain(m[f"g{amount}"]), m["g0"], about=about, time=time)
 
         return build
 
     def placed(pattern: str, groups: int, build, keep=None):
         def make(t: Column) -> Column:
-            found = with_starts(t, matches(t, pattern, groups, "i"))
+            found = with_starts(t, pattern, matches(t, pattern, groups, "i"), "i")
             found = F.filter(found, lambda x: keep(x["m"])) if keep else found
-            return F.transform(found, lambda x: build(t, x["m"], x["at"]))
+            # pages are cut where something was found
+            return let(found, lambda xs: let(F.when(F.size(xs) > 0, pages(t)), lambda cut: F.transform(xs, lambda x: build(cut, x["m"], x["at"]))))
 
         return make
 

@@ -1,6 +1,7 @@
 import datetime
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -38,12 +39,42 @@ def test_rewrite_and_places(spark):
     rnd = random.Random(5)
     texts = ["".join(rnd.choice("ab1 $.") for _ in range(rnd.randint(0, 30))) for _ in range(300)]
     df = spark.createDataFrame([(x,) for x in texts], "t string")
-    out = df.select("t", regex.rewrite(F.col("t"), r"\$[\w.]+", "", lambda m, _: F.upper(m)).alias("r"), regex.with_starts(F.col("t"), regex.matches(F.col("t"), r"a(b)?1*", 1)).alias("w")).collect()
+    out = df.select("t", regex.rewrite(F.col("t"), r"\$[\w.]+", "", lambda m, _: F.upper(m)).alias("r"), regex.with_starts(F.col("t"), r"a(b)?1*", regex.matches(F.col("t"), r"a(b)?1*", 1)).alias("w")).collect()
     for r in out:
         assert r.r.text == re.sub(r"\$[\w.]+", lambda m: m[0].upper(), r.t)
         assert [(x.m.g0, x.m.g1, x["at"] - 1) for x in r.w] == [(m[0], m[1], m.start()) for m in re.finditer(r"a(b)?1*", r.t)]
 
 
+def test_running_sums_and_windows(spark):
+    rnd = random.Random(6)
+    rows = [([rnd.randrange(9) for _ in range(n)],) for n in [0, 1, 2, 3, 5, 16, 17, 99, 1000]]
+    for r in spark.createDataFrame(rows, "xs array<int>").select("xs", regex.running(F.col("xs")).alias("s")).collect():
+        assert r.s == [sum(r.xs[:k]) for k in range(len(r.xs))]
+    texts = ["", "short", "é🙂\n" * 3000, "x" * 2048, "ab" * 2048 + "c"]
+    spans = [(rnd.randrange(-300, 9100), rnd.randrange(0, 2000)) for _ in range(200)]
+    df = spark.createDataFrame([(t, a, a + n) for t in texts for a, n in spans], "t string, a int, b int").withColumn("cut", regex.pages(F.col("t")))
+    for r in df.select("t", "a", "b", regex.window(F.col("cut"), F.col("a"), F.col("b")).alias("w")).collect():
+        assert r.w == r.t[max(r.a, 1) - 1 : max(r.b - 1, 0)], (len(r.t), r.a, r.b)
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    """Places and what stands around them take time in proportion to the text."""
+    from tamarack.operators import obligations, payments
+
+    n = 100_000
+    mention = "On breach 🙂 Defendant shall vacate. "
+    pay = "water $5.00 by 1/2/2024 🙂 "
+    df = spark.createDataFrame([(mention * n, pay * n)], "m string, p string")
+    began = time.time()
+    found = df.select(regex.with_starts(F.col("m"), r"shall\s+vacate", regex.matches(F.col("m"), r"shall\s+vacate", 0)).alias("w")).first().w
+    assert len(found) == n and all(x["at"] - 1 == k * len(mention) + mention.index("shall") for k, x in enumerate(found))
+    assert df.select(obligations.only_breach_vacates(F.col("m")).alias("x")).first().x
+    assert not df.select(obligations.only_breach_vacates(F.concat(F.col("m"), F.lit("." * 200 + "They must vacate."))).alias("x")).first().x
+    got = payments.payments(df, "p", F.lit(DAY)).select(F.size("payment_schedule").alias("n"), F.exists("payment_schedule", lambda x: x["extra_text"] != "water").alias("odd"), F.get("payment_schedule", F.lit(n - 1)).alias("last")).first()
+    assert got.n == n and not got.odd and (got["last"].amount, got["last"].due_date) == ("5.00", "2024-01-02")
+    assert time.time() - began < 240
+
+
 def test_fence_stops_conditions(spark):
     df = regex.fence(spark.range(3).withColumn("x", F.concat(F.lit("a"), F.col("id").cast("string"))), "x").where("x = 'a1'")
     assert df.count() == 1
