@@ -6,6 +6,7 @@ Patterns carry the flags ``d`` (only a line feed ends a line) and ``U`` (Unicode
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,30 @@ def contains_any(text: Column, phrases) -> Column:
     return out
 
 
+def mentions(text: Column, *anchors: str) -> Column:
+    """Whether a text has one of ``anchors`` in any case, as patterns that ignore case see it.
+
+    An anchor is a piece that every match of a pattern holds, so a pattern is looked for only where one of its anchors
+    stands: finding a literal takes a fraction of what a pattern costs, and most texts lack most patterns.
+    """
+    return F.coalesce(text.rlike("(?iu)" + "|".join(re.escape(a) for a in anchors)), F.lit(False))
+
+
+def holds(text: Column, *pieces: str) -> Column:
+    """Whether a text has one of ``pieces`` as they are."""
+    return F.coalesce(contains_any(text, pieces), F.lit(False))
+
+
+def sub_if(anchor: Column, text: Column, pattern: str, to: str = "", flags: str = "") -> Column:
+    return F.when(anchor, sub(text, pattern, to, flags)).otherwise(text)
+
+
+def stripped(text: Column) -> Column:
+    """:func:`strip` of a long text, which is searched only if there is something at an end of it."""
+    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(edges.rlike(rx(r"[\s\x1c-\x1f]")), strip(text)).otherwise(text)
+
+
 def blank(text: Column) -> Column:
     """Null or empty, as Python's ``not text``."""
     return F.coalesce(text, F.lit("")) == ""
@@ -86,9 +111,24 @@ def matches(text: Column, pattern: str, groups: int, flags: str = "") -> Column:
     return F.transform(every(text, pattern, 0, flags), one)
 
 
+#: A code point that no text is meant to hold, and that stands for a match for as long as a text is cut.
+MARK = "\ufdd0"
+
+
+def gaps(text: Column, pattern: str, flags: str = "") -> Column:
+    """What stands before, between and behind all matches.
+
+    A pattern is compiled once where it is replaced, but for every row where a text is split by it; splitting by one
+    character needs no pattern.
+    """
+    marked = F.split(F.regexp_replace(text, rx(pattern, flags), MARK), MARK, -1)
+    return F.when(holds(text, MARK), F.split(text, rx(pattern, flags), -1)).otherwise(marked)
+
+
 def place(text: Column, pattern: str, flags: str = "") -> Column:
     """Where the first match starts, in code points from 1; 0 without a match.  For patterns that match something."""
-    return let(F.split(text, rx(pattern, flags), 2), lambda parts: F.when(F.size(parts) > 1, F.length(item(parts, 0)) + 1).otherwise(0))
+    before = sub(text, rf"(?:{pattern})(?s:.*)\z", "", flags)
+    return let(before, lambda b: F.when(b != text, F.length(b) + 1).otherwise(0))
 
 
 def running(sizes: Column) -> Column:
@@ -115,12 +155,11 @@ def with_starts(text: Column, pattern: str, found: Column, flags: str = "") -> C
     and of what stands between them: linear in the text however many there are."""
 
     def run(all_: Column) -> Column:
-        def build(gaps: Column) -> Column:
-            sizes = F.transform(all_, lambda m, i: F.length(item(gaps, i)) + F.length(m["g0"]))
-            return let(running(sizes), lambda before: F.transform(all_, lambda m, i: F.struct(m.alias("m"), (item(before, i) + F.length(item(gaps, i)) + 1).cast("int").alias("at"))))
+        def build(cut: Column) -> Column:
+            sizes = F.transform(all_, lambda m, i: F.length(item(cut, i)) + F.length(m["g0"]))
+            return let(running(sizes), lambda before: F.transform(all_, lambda m, i: F.struct(m.alias("m"), (item(before, i) + F.length(item(cut, i)) + 1).cast("int").alias("at"))))
 
-        gaps = F.when(F.size(all_) > 0, F.split(text, rx(pattern, flags), -1)).otherwise(F.array().cast("array<string>"))
-        return let(gaps, build)
+        return let(F.when(F.size(all_) > 0, gaps(text, pattern, flags)).otherwise(F.array().cast("array<string>")), build)
 
     return let(found, run)
 
@@ -142,17 +181,19 @@ def window(cut: Column, start: Column, stop: Column) -> Column:
     return F.substring(both, lo - page * PAGE + 1, F.greatest(stop - 1 - lo, F.lit(0)))
 
 
-def rewrite(text: Column, pattern: str, flags: str, change: Callable[[Column, Column], Column], groups: int = 0) -> Column:
-    """Replace each match by ``change(match, groups)`` (null: as it was).
+def rewrite(text: Column, pattern: str, flags: str, change: Callable[[Column, Column], Column], groups: int = 0, anchor: Column | None = None) -> Column:
+    """Replace each match by ``change(match, groups)`` (null: as it was); nothing is looked for where ``anchor`` is false.
 
     A struct of ``text``, the new text, and ``changed``, an ``array<struct<old, new>>`` of the matches that changed.
     """
 
     def build(done: Column) -> Column:
-        gaps = F.split(text, rx(pattern, flags), -1)
-        joined = F.array_join(F.flatten(F.zip_with(gaps, done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
-        out = F.when(F.size(done) > 0, joined).otherwise(text)
+        joined = F.array_join(F.flatten(F.zip_with(gaps(text, pattern, flags), done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
+        # most matches stay as they are, and so does a text without others
+        out = F.when(F.exists(done, lambda d: d["old"] != d["new"]), joined).otherwise(text)
         return F.struct(out.alias("text"), F.filter(done, lambda d: d["old"] != d["new"]).alias("changed"))
 
     found = matches(text, pattern, groups, flags)
-    return let(F.transform(found, lambda m: F.struct(m["g0"].alias("old"), F.coalesce(change(m["g0"], m), m["g0"]).alias("new"))), build)
+    made = let(F.transform(found, lambda m: F.struct(m["g0"].alias("old"), F.coalesce(change(m["g0"], m), m["g0"]).alias("new"))), build)
+    same = F.struct(text.alias("text"), F.array().cast("array<struct<old:string,new:string>>").alias("changed"))
+    return made if anchor is None else F.when(anchor, made).otherwise(same)

@@ -6,11 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tamarack.functions.dates import SHORT, normalize_date
-from tamarack.functions.regex import first, sub
+from tamarack.functions.regex import first, let, mentions, sub
+
+
+#: Endings of files' names, and how a name gives an agreement's month, day and year.
+ENDINGS = ("txt", "png", "pdf", "jpg", "jpeg")
+AGREED = (r"_-_(\d{1,2})_(\d{1,2})_(\d{4})_-_DAGREED", r"\s*-\s*(\d{1,2})\s+(\d{1,2})\s+(\d{4})\s*-\s*DAGREED")
 
 
 def _bare(filename: Column) -> Column:
-    return sub(filename, r"\.(?:txt|png|pdf|jpg|jpeg)\z", "", "i")
+    return sub(filename, rf"\.(?:{'|'.join(ENDINGS)})\z", "", "i")
 
 
 def _year(y: Column) -> Column:
@@ -27,18 +32,16 @@ def case_number(text: Column, filename: Column) -> Column:
     # fixed values: forms in a text
     long_form, short_form = r"\d{4}\s*CVG\s*\d{6}", r"\d{2}[_\s]CVG[_\s]\d{5,6}"
     label = r"Case\s+No\.?[:\s]*"
-    found = F.coalesce(*[first(text, p, 1, "i") for p in (f"{label}({long_form})", f"{label}({short_form})", f"({long_form})", f"({short_form})")])
-    spaced = sub(sub(found, "[_-]", " "), r"\s+", " ")
-    parts = F.split(spaced, " ")
-    widen = (F.size(parts) == 3) & (F.length(F.get(parts, F.lit(0))) == 2)
-    return F.coalesce(*from_name, F.when(widen, F.concat(F.lit("20"), spaced)).otherwise(spaced))
+    found = F.when(mentions(text, "cvg"), F.coalesce(*[first(text, p, 1, "i") for p in (f"{label}({long_form})", f"{label}({short_form})", f"({long_form})", f"({short_form})")]))
+    widened = lambda x: F.when((F.size(F.split(x, " ")) == 3) & (F.length(F.substring_index(x, " ", 1)) == 2), F.concat(F.lit("20"), x)).otherwise(x)
+    return F.coalesce(*from_name, let(sub(sub(found, "[_-]", " "), r"\s+", " "), widened))
 
 
 def agreement_date(text: Column, filename: Column, as_of: Column | None = None) -> Column:
     name = sub(_bare(filename), r"_cleaned\z")
     two = lambda x: F.lpad(x, 2, "0")
     from_name = []
-    for p in (r"_-_(\d{1,2})_(\d{1,2})_(\d{4})_-_DAGREED", r"\s*-\s*(\d{1,2})\s+(\d{1,2})\s+(\d{4})\s*-\s*DAGREED"):
+    for p in AGREED:
         m, d, y = (first(name, p, g, "i") for g in (1, 2, 3))
         from_name.append(F.when(m.isNotNull(), F.concat_ws("-", y, two(m), two(d))))
     # fixed values: wordings around an agreement's date
@@ -46,7 +49,10 @@ def agreement_date(text: Column, filename: Column, as_of: Column | None = None)
     named = rf"((?:{SHORT})[A-Z]*\s+\d{{1,2}}[,\s]+\d{{4}})"
     judge, signed = r"(?:JUDGE|MAGISTRATE)[\s\S]{0,100}?", r"Date[\s:]*<?signature>?[\s\S]{0,50}?"
     mark = r"<watermark>.*?{}.*?</watermark>"
-    rules = [(judge + slash, "is"), (judge + named, "is"), (signed + slash, "is"), (signed + named, "is"),
-             (mark.format(r"(\d{4}\s+[A-Z]{3}\s+\d{1,2}[\s,]+(?:AM|PM)\s+\d{1,2}:\d{2})"), "is"), (mark.format(r"([A-Z]{3}\s+\d{1,2}\s+\d{4})"), "is"),
-             (r"(\d{4}\s+[A-Z]{3}\s+\d{1,2})(?:\s+[AP]M?)?", "")]
-    return F.coalesce(*from_name, normalize_date(F.coalesce(*[first(text, p, 1, f) for p, f in rules]), as_of))
+    # each with the pieces one of which every match holds
+    rules = [
+        (judge + slash, "is", ("judge", "magistrate")), (judge + named, "is", ("judge", "magistrate")), (signed + slash, "is", ("signature",)), (signed + named, "is", ("signature",)),
+        (mark.format(r"(\d{4}\s+[A-Z]{3}\s+\d{1,2}[\s,]+(?:AM|PM)\s+\d{1,2}:\d{2})"), "is", ("<watermark>",)), (mark.format(r"([A-Z]{3}\s+\d{1,2}\s+\d{4})"), "is", ("<watermark>",)),
+        (r"(\d{4}\s+[A-Z]{3}\s+\d{1,2})(?:\s+[AP]M?)?", "", ())]
+    found = [F.when(mentions(text, *anchors), first(text, p, 1, f)) if anchors else first(text, p, 1, f) for p, f, anchors in rules]
+    return F.coalesce(*from_name, normalize_date(F.coalesce(*found), as_of))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions import dates
-from tamarack.functions.regex import fence, has, let, matches, rewrite, rx, strip, sub
+from tamarack.functions.regex import fence, gaps, has, holds, let, matches, mentions, rewrite, strip, stripped, sub, sub_if
 
 #: Glyphs that OCR takes for digits, and the digits.
 GLYPHS = ("OolISBZgq", "001158299")
@@ -22,11 +22,11 @@ INVALID = " [INVALID DATE]"
 
 
 def fix_money(text: Column) -> Column:
-    return rewrite(text, MONEY, "", lambda m, _: F.concat(F.lit("$"), F.translate(F.substring(m, F.lit(2), F.length(m)), *GLYPHS)))
+    return rewrite(text, MONEY, "", lambda m, _: F.concat(F.lit("$"), F.translate(F.substring(m, F.lit(2), F.length(m)), *GLYPHS)), anchor=holds(text, "$"))
 
 
 def fix_numbers(text: Column) -> Column:
-    return rewrite(text, NUMBER, "", lambda m, _: F.translate(m, *GLYPHS_IN_NUMBERS))
+    return rewrite(text, NUMBER, "", lambda m, _: F.translate(m, *GLYPHS_IN_NUMBERS), anchor=has(text, r"\.[\dOoIl]{2}"))
 
 
 def flag_text_dates(text: Column) -> Column:
@@ -34,7 +34,7 @@ def flag_text_dates(text: Column) -> Column:
         ymd = F.struct(dates.month_number(g["g1"], False).alias("m"), g["g2"].cast("int").alias("d"), g["g3"].cast("int").alias("y"))
         return let(ymd, lambda x: F.when(~dates.valid(x["m"], x["d"], x["y"]), F.concat(m, F.lit(INVALID))))
 
-    return rewrite(text, TEXT_DATE, "i", change, 3)
+    return rewrite(text, TEXT_DATE, "i", change, 3, anchor=mentions(text, *(m.lower() for m in dates.MONTHS)))
 
 
 def flag_numeric_dates(text: Column) -> Column:
@@ -42,7 +42,7 @@ def flag_numeric_dates(text: Column) -> Column:
         ymd = F.struct(g["g1"].cast("int").alias("m"), g["g2"].cast("int").alias("d"), dates.widened(g["g3"].cast("int")).alias("y"))
         return let(ymd, lambda x: F.when(~dates.valid(x["m"], x["d"], x["y"]), F.concat(m, F.lit(INVALID))))
 
-    return rewrite(text, NUMERIC_DATE, "", change, 3)
+    return rewrite(text, NUMERIC_DATE, "", change, 3, anchor=has(text, r"[/-]\d"))
 
 
 def sort_schedules(text: Column) -> Column:
@@ -65,20 +65,19 @@ def sort_schedules(text: Column) -> Column:
             (d["as_was"] != d["sorted"]).alias("moved")))
 
     def build(done: Column) -> Column:
-        gaps = F.split(text, rx(BLOCK, "i"), -1)
-        out = F.array_join(F.flatten(F.zip_with(gaps, done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
+        out = F.array_join(F.flatten(F.zip_with(gaps(text, BLOCK, "i"), done, lambda g, d: F.array(g, F.coalesce(d["new"], F.lit(""))))), "")
         return F.struct(out.alias("text"), F.transform(F.filter(done, lambda d: d["moved"]), lambda d: d["new"]).alias("moved"))
 
-    some = has(text, r"(?:Payment\s+(?:Schedule|Plan)|Installment\s+Schedule)[:\s]*\n", "i")
+    some = mentions(text, "schedule", "plan") & has(text, r"(?:Payment\s+(?:Schedule|Plan)|Installment\s+Schedule)[:\s]*\n", "i")
     same = F.struct(text.alias("text"), F.array().cast("array<string>").alias("moved"))
     return F.when(some, let(F.transform(blocks, ordered), build)).otherwise(same)
 
 
 def tidy(text: Column) -> Column:
-    text = sub(text, r"\n{4,}", "\n\n\n")
-    text = sub(text, r" {2,}", " ")
-    text = sub(text, r"\[--- PAGE (\d+) START ---\]", "\n\n=== PAGE $1 ===\n\n")
-    return strip(sub(text, r"\[--- PAGE (\d+) END ---\]", ""))
+    text = sub_if(holds(text, "\n\n\n\n"), text, r"\n{4,}", "\n\n\n")
+    text = let(text, lambda t: sub_if(holds(t, "  "), t, r" {2,}", " "))
+    pages = lambda t: sub(sub(t, r"\[--- PAGE (\d+) START ---\]", "\n\n=== PAGE $1 ===\n\n"), r"\[--- PAGE (\d+) END ---\]", "")
+    return let(let(text, lambda t: F.when(holds(t, "[--- PAGE "), pages(t)).otherwise(t)), stripped)
 
 
 #: What the log of changes says.

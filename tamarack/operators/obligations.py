@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.dates import NUMERIC, SHORT, normalize_date
-from tamarack.functions.regex import contains_any, fence, first, has, let, matches, pages, place, strip, sub, window, with_starts
+from tamarack.functions.regex import contains_any, fence, first, has, holds, let, matches, mentions, pages, place, strip, sub, sub_if, window, with_starts
 
 #: Phrases before a mention of vacating that make it a notice or a consequence of breach.
 NOTICE = ("acknowledges receipt", "receipt of", "notice to vacate served", "notice to leave served")
@@ -27,12 +27,12 @@ MENTION = rf"{_MUST}\s+(?:\w+\s+)?vacate|vacate\s+(?:the\s+)?(?:premises?|proper
 DISMISS = r"dismiss.*?(?:if|upon).*?(?:compliance|terms?|satisfied|met)"
 JUDGMENT = r"immediate.*?judgment|move.*?directly.*?judgment|breach.*?judgment"
 PLAN = r"payment.*?(?:schedule|plan)|pay.*?follows|installments|following\s+manner"
-#: Labels of additional terms, in order, and what shows each.
+#: Labels of additional terms, in order, and what shows each; last the piece that every match holds.
 TERMS = (
-    ("Dismiss if terms met", DISMISS), ("Immediate judgment on breach", JUDGMENT), ("Comply with lease", r"comply\s+with\s+(?:all\s+)?lease"),
-    ("Pay utilities", r"pay[^.]*?utilities"), ("No contact", r"no\s+(?:intentional\s+)?contact"), ("Return keys", r"return[^.]*?keys"),
-    ("Broom swept clean", r"broom\s+(?:swept\s+)?clean"), ("Remove personal property", r"remove[^.]*?(?:property|possessions)"),
-    ("Vacate premises", r"vacate\s+(?:the\s+)?premises?"), ("Pest control compliance", r"compliance\s+with[^.]*?pest\s+control"),
+    ("Dismiss if terms met", DISMISS, "dismiss"), ("Immediate judgment on breach", JUDGMENT, "judgment"), ("Comply with lease", r"comply\s+with\s+(?:all\s+)?lease", "comply"),
+    ("Pay utilities", r"pay[^.]*?utilities", "utilities"), ("No contact", r"no\s+(?:intentional\s+)?contact", "contact"), ("Return keys", r"return[^.]*?keys", "return"),
+    ("Broom swept clean", r"broom\s+(?:swept\s+)?clean", "broom"), ("Remove personal property", r"remove[^.]*?(?:property|possessions)", "remove"),
+    ("Vacate premises", r"vacate\s+(?:the\s+)?premises?", "vacate"), ("Pest control compliance", r"compliance\s+with[^.]*?pest\s+control", "pest"),
 )
 _DEADLINE = r"([A-Za-z]+\s+\d{1,2},?\s+\d{4}|\d{1,2}/\d{1,2}/\d{4})"
 ASSISTANCE = (
@@ -46,21 +46,25 @@ ENFORCEMENT = (
     r"(?:agreement|entry)\s+shall\s+remain\s+enforceable\s+for[^.]*?(\d+\s+days)",
     r"time for execution.*?extended.*?to\s+(\d+\s+days)",
 )
-#: Signs of a payment, in the text as it is, and in lower case.
-PAYS = (r"\$\s*\d", "") , (rf"\$\s*(?:{SHORT})\w*\s+rent", "i"), (r"\$\s*#\d+", "")
-PAYS_LOWER = r"agree\s+to\s+pay.*?(?:following|schedule|manner)|shall\s+make\s+the\s+following\s+payments|due\s+to\s+plaintiff\s+by|(?:agrees?\s+to\s+pay|shall\s+pay)\s+(?:plaintiff\s+)?\$|will\s+pay\s+\$|\w+\s+rent\s+(?:will|shall)\s+be\s+paid"
+#: Signs of a payment, in the text as it is, and in lower case, each with pieces one of which it holds.
+PAYS = (r"\$\s*\d", ""), (rf"\$\s*(?:{SHORT})\w*\s+rent", "i"), (r"\$\s*#\d+", "")
+PAYS_LOWER = (
+    (r"agree\s+to\s+pay.*?(?:following|schedule|manner)", ("agree",)), (r"shall\s+make\s+the\s+following\s+payments", ("following",)),
+    (r"due\s+to\s+plaintiff\s+by", ("due",)), (r"(?:agrees?\s+to\s+pay|shall\s+pay)\s+(?:plaintiff\s+)?\$|will\s+pay\s+\$", ("$",)),
+    (r"\w+\s+rent\s+(?:will|shall)\s+be\s+paid", ("rent",)),
+)
 
 
 def vacate_date(text: Column, as_of: Column | None = None) -> Column:
     """The date of an unconditional obligation to vacate.  Only the first hit of each pattern is tested."""
-    text = F.when(F.contains(F.lower(text), F.lit("vacate")), text)
+    text = F.when(mentions(text, "vacate"), text)
 
     def hit(t: Column, p: str) -> Column:
         before = lambda at: F.lower(F.substring(t, F.greatest(at - 150, F.lit(1)), F.least(at - 1, F.lit(150))))
         bound = lambda b: ~contains_any(b, NOTICE + BREACH)
         return let(place(t, p, "im"), lambda at: F.when((at > 0) & let(before(at), bound), strip(first(t, p, 1, "im"))))
 
-    plain = sub(sub(text, r"\*\*"), r"(\d{1,2})(?:st|nd|rd|th)", "$1")
+    plain = sub(sub_if(holds(text, "**"), text, r"\*\*"), r"(\d{1,2})(?:st|nd|rd|th)", "$1")
     return normalize_date(let(plain, lambda t: F.coalesce(*[hit(t, p) for p in VACATE])), as_of)
 
 
@@ -74,20 +78,25 @@ def only_breach_vacates(text: Column) -> Column:
 
         return let(with_starts(low, MENTION, matches(low, MENTION, 0)), lambda found: (F.size(found) > 0) & judge(found))
 
-    return F.coalesce(let(F.lower(text), judged), F.lit(False))
+    return F.coalesce(let(F.lower(F.when(mentions(text, "vacate"), text)), judged), F.lit(False))
 
 
 def outcome(text: Column, vacates: Column) -> Column:
     """A struct of ``kind`` and ``details`` from the text and its vacate date."""
 
     def signs(low: Column) -> Column:
-        pays = has(low, PAYS_LOWER)
+        # a sum of money is the commonest sign, so it is looked for first
+        pays = F.lit(False)
         for p, flags in PAYS:
             pays = pays | has(text, p, flags)
+        pays = holds(text, "$") & pays
+        for p, pieces in PAYS_LOWER:
+            pays = pays | holds(low, *pieces) & has(low, p)
         named = F
         for phrase, kind in (("agreed judgment entry", "Agreed Judgment"), ("agreed entry", "Agreed Entry"), ("settlement", "Settlement")):
             named = named.when(F.contains(low, F.lit(phrase)), kind)
-        return F.struct(pays.alias("pays"), has(low, PLAN).alias("plan"), has(low, DISMISS, "s").alias("dismissal"), has(low, JUDGMENT, "s").alias("judgment"), named.alias("named"))
+        return F.struct(pays.alias("pays"), (holds(low, "schedule", "plan", "follows", "installments", "manner") & has(low, PLAN)).alias("plan"),
+                        (holds(low, "dismiss") & has(low, DISMISS, "s")).alias("dismissal"), (holds(low, "judgment") & has(low, JUDGMENT, "s")).alias("judgment"), named.alias("named"))
 
     def told(s: Column) -> Column:
         pays, leaves = s["pays"], vacates.isNotNull()
@@ -112,10 +121,10 @@ def obligations(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | N
     out = out.withColumn("_o", outcome(text, F.col("mandatory_vacate_date")))
     out = out.withColumns({
         "outcome_type": F.col("_o.kind"), "outcome_details": F.col("_o.details"),
-        "third_party_acceptance": F.when(has(text, THIRD_PARTY, "i"), True),
-        "assistance_deadline": normalize_date(F.coalesce(*[strip(first(text, p, 1, "i")) for p in ASSISTANCE]), as_of),
-        "additional_agreement_terms": F.nullif(F.concat_ws("; ", *[F.when(has(text, p, "is"), label) for label, p in TERMS]), F.lit("")),
-        "sealing_reference_stipulation": strip(F.coalesce(*[first(text, p, 0, "i") for p in SEALING])),
-        "enforcement_period": strip(F.coalesce(*[first(text, p, 1, "i") for p in ENFORCEMENT])),
+        "third_party_acceptance": F.when(mentions(text, "party") & has(text, THIRD_PARTY, "i"), True),
+        "assistance_deadline": normalize_date(F.coalesce(*[strip(F.when(mentions(text, "assistance", "help", "support"), first(text, p, 1, "i"))) for p in ASSISTANCE]), as_of),
+        "additional_agreement_terms": F.nullif(F.concat_ws("; ", *[F.when(mentions(text, piece) & has(text, p, "is"), label) for label, p, piece in TERMS]), F.lit("")),
+        "sealing_reference_stipulation": strip(F.coalesce(*[F.when(mentions(text, "seal"), first(text, p, 0, "i")) for p in SEALING])),
+        "enforcement_period": strip(F.coalesce(*[F.when(mentions(text, "days"), first(text, p, 1, "i")) for p in ENFORCEMENT])),
     })
     return fence(out, "outcome_type", "outcome_details").drop("_o")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions.regex import every, fence, first, has, item, let, rx, strip, sub
+from tamarack.functions.regex import every, fence, first, gaps, has, holds, item, let, mentions, strip, sub, sub_if
 
 #: Headers that are no names, labels that are no names.
 HEADER = r"MUNICIPAL COURT|FRANKLIN COUNTY|^IN THE"
@@ -79,7 +79,7 @@ def _block_above(text: Column) -> Column:
         ended = sub(piece, r"\n\s*,?\s*\z")
         return first(sub(ended, r"\A.*\n(?![A-Z][^\n])", "", "s"), r"[A-Z][^\n].*\z", 0, "s")
 
-    pieces = F.split(text, rx(rf"\n(?={PLAINTIFF_LINE})"), -1)
+    pieces = gaps(text, rf"\n(?={PLAINTIFF_LINE})")
     return let(pieces, lambda x: item(F.filter(F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda p: let(p, block)), lambda b: b.isNotNull()), 0))
 
 
@@ -100,13 +100,15 @@ def parties(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
     text = F.col(text_col)
     plain = text
     for tag in ("page_number", "watermark", "img"):
-        plain = sub(plain, rf"<{tag}>.*?</{tag}>")
-    plain = sub(sub(plain, r"^\s*[mM]\d+\s*$", "", "m"), r"^=+\s*PAGE\s+\d+\s*=+\s*$", "", "m")
+        plain = sub_if(holds(text, f"<{tag}>"), plain, rf"<{tag}>.*?</{tag}>")
+    # what is cut above can bring a mark together, so these are looked for in what is left of it
+    plain = let(plain, lambda t: sub_if(has(t, r"[mM]\d"), t, r"^\s*[mM]\d+\s*$", "", "m"))
+    plain = let(plain, lambda t: sub_if(holds(t, "PAGE"), t, r"^=+\s*PAGE\s+\d+\s*=+\s*$", "", "m"))
     out = df.withColumn("_plain", plain)
-    cells = lambda k: F.transform(F.flatten(F.transform(every(item(every(F.col("_plain"), r"<table>(.*?)</table>", 1, "s"), k), r"<tr>(.*?)</tr>", 1, "s"), lambda r: every(r, r"<td>(.*?)</td>", 1, "s"))), lambda c: strip(sub(c, SIGNATURE)))
+    cells = lambda k: F.transform(F.flatten(F.transform(every(item(F.when(holds(F.col("_plain"), "<table>"), every(F.col("_plain"), r"<table>(.*?)</table>", 1, "s")).otherwise(F.array().cast("array<string>")), k), r"<tr>(.*?)</tr>", 1, "s"), lambda r: every(r, r"<td>(.*?)</td>", 1, "s"))), lambda c: strip(sub(c, SIGNATURE)))
     out = out.withColumns({
-        "_sigs": every(F.col("_plain"), SIGNATURE, 1),
-        "_bare": sub(sub(F.col("_plain"), SIGNATURE), r"</?u>"),
+        "_sigs": F.when(holds(F.col("_plain"), "<signature>") | F.col("_plain").isNull(), every(F.col("_plain"), SIGNATURE, 1)).otherwise(F.array().cast("array<string>")),
+        "_bare": F.when(holds(F.col("_plain"), "<"), sub(sub(F.col("_plain"), SIGNATURE), r"</?u>")).otherwise(F.col("_plain")),
         "_cells0": cells(0), "_cells1": cells(1),
         "_p": F.lit(None).cast("string"), "_d": F.lit(None).cast("string"),
     })
@@ -118,16 +120,17 @@ def parties(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
             "_d": F.coalesce(d, _above(c, "defendant", lambda x: has(x, r"\Adate\n?\z", "i"))),
         })
     bare = F.col("_bare")
-    some = lambda word, x: F.when(F.contains(F.lower(bare), F.lit(word)), x)
+    some = lambda word, x: F.when(mentions(bare, word), x)
     squeeze = lambda x: sub(x, r"\s+", " ")
     m1 = squeeze(strip(_block_above(bare)))
     m2 = squeeze(sub(strip(first(bare, PLAINTIFF_AFTER, 1, "i")), r"\n", " "))
     m3 = strip(first(bare, PLAINTIFFS, 1, "i"))
     keep = lambda name, header: let(name, lambda x: F.when(~has(x, header, "i") & (x != ""), x))
-    d1 = strip(first(bare, VERSUS_LINE, 1, "i"))
+    v = lambda p, f: F.when(mentions(bare, "v"), first(bare, p, 1, f))
+    d1 = strip(v(VERSUS_LINE, "i"))
     d1 = strip(squeeze(sub(sub(sub(d1, ADDRESS, "", "i"), NAME), DEFENDANT_TAIL, "", "i")))
-    d2 = sub(strip(first(bare, VERSUS_NAME, 1, "i")), DEFENDANT_TAIL, "", "i")
-    d3 = strip(first(bare, DEFENDANTS, 1, "is"))
+    d2 = sub(strip(v(VERSUS_NAME, "i")), DEFENDANT_TAIL, "", "i")
+    d3 = strip(v(DEFENDANTS, "is"))
     long_ = lambda name: let(name, lambda x: F.when(F.length(x) > 1, x))
     out = out.withColumns({
         "_p": F.coalesce(F.col("_p"), some("plaintiff", F.coalesce(keep(m1, HEADER_ABOVE), keep(m2, HEADER), keep(m3, HEADER_INLINE))), _signed(F.col("_sigs"), text, "plaintiff", "defendant")),

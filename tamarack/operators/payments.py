@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import dates
 from tamarack.functions.numbers import to_double, two_places
-from tamarack.functions.regex import every, fence, first, has, item, let, matches, pages, strip, sub, title, window, with_starts
+from tamarack.functions.regex import every, fence, first, has, item, let, matches, mentions, pages, strip, sub, title, window, with_starts
 
 #: Wordings of amounts, dates, times and limits.
 AMOUNT = r"\d+(?:,\d{3})*(?:\.\d{2})?"
@@ -179,32 +179,32 @@ def payments(df: DataFrame, text_col: str = "cleaned_text", as_of: Column | None
     summary = lambda m: _any(F.lower(F.coalesce(m["g2"], F.lit(""))), ("represents", "in the amount of"))
     pay = r"(?:will\s+pay|shall\s+pay|agrees?\s+to\s+pay)[^$\n]*?"
     limit = r"(?:no\s+later\s+than|by|on\s+or\s+before)\s+"
-    dollar, rent = F.lit("$"), F.lit("rent")
-    # fixed values: the wordings of each form, in the order they are looked for
+    # fixed values: the wordings of each form, in the order they are looked for, after the pieces that every match holds
+    # (one of each group)
     forms = [
         # an amount, then a date in numbers
-        ((dollar,), placed(rf"{money}\s+(?:{due})\s+({dates.NUMERIC})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda t, m, at: narrow(t, m, at, 1, _slashes(m["g2"]), m["g3"]))),
+        ((("$",),), placed(rf"{money}\s+(?:{due})\s+({dates.NUMERIC})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda t, m, at: narrow(t, m, at, 1, _slashes(m["g2"]), m["g3"]))),
         # an amount, then a date in words
-        ((dollar,), placed(rf"{money}\s+(?:{due}|due)\s+({dates.TEXT_FULL}|{dates.TEXT_SHORT})", 2, lambda t, m, at: narrow(t, m, at, 1, m["g2"], None))),
+        ((("$",),), placed(rf"{money}\s+(?:{due}|due)\s+({dates.TEXT_FULL}|{dates.TEXT_SHORT})", 2, lambda t, m, at: narrow(t, m, at, 1, m["g2"], None))),
         # an amount "to be paid by" a date, unless the text between sums up
-        ((dollar,), placed(rf"{money}([^$\n]*?)(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda t, m, at: wide(t, m, at, 1, _slashes(m["g3"]), None), lambda m: ~summary(m))),
+        ((("$",), ("paid", "due")), placed(rf"{money}([^$\n]*?)(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda t, m, at: wide(t, m, at, 1, _slashes(m["g3"]), None), lambda m: ~summary(m))),
         # "March rent of" an amount "to be paid by" a date
-        ((dollar, rent), plain(rf"(\w+)\s+rent\s+of\s+{money}[^.]*?(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda m: _item(_slashes(m["g3"]), _plain(m["g2"]), m["g0"], kind="monthly_rent", month=title(m["g1"])))),
+        ((("$",), ("rent",), ("paid", "due")), plain(rf"(\w+)\s+rent\s+of\s+{money}[^.]*?(?:to\s+be\s+paid|due)\s+{UNTIL}({DATE})", 3, lambda m: _item(_slashes(m["g3"]), _plain(m["g2"]), m["g0"], kind="monthly_rent", month=title(m["g1"])))),
         # "agrees to pay" an amount "by" a time and a date
-        ((dollar,), plain(rf"(?:agrees?\s+to\s+pay|shall\s+pay)[^$]*?{money}\s+by\s+(?:({CLOCK}),?\s*)?({DATE})", 3, lambda m: _item(sub(_slashes(m["g3"]), r"(\d{1,2})(?:st|nd|rd|th)", "$1"), _plain(m["g1"]), m["g0"], kind="fixed_amount", time=m["g2"]))),
+        ((("$",), ("pay",)), plain(rf"(?:agrees?\s+to\s+pay|shall\s+pay)[^$]*?{money}\s+by\s+(?:({CLOCK}),?\s*)?({DATE})", 3, lambda m: _item(sub(_slashes(m["g3"]), r"(\d{1,2})(?:st|nd|rd|th)", "$1"), _plain(m["g1"]), m["g0"], kind="fixed_amount", time=m["g2"]))),
         # "will pay" an amount "no later than" a day, and months' rents to be paid so
-        ((), lambda t: F.concat(
+        ((("pay", "paid"),), lambda t: F.concat(
             F.coalesce(placed(rf"{pay}{money}\s+{limit}{WEEKDAY}({DATE})", 2, lambda t, m, at: wide(t, m, at, 1, _slashes(m["g2"]), None))(t), _none()),
-            F.coalesce(plain(rf"({dates.FULL}|{dates.SHORT})\s+rent\s+(?:will\s+be|shall\s+be|to\s+be|is\s+to\s+be)\s+paid\s+{limit}{WEEKDAY}({DATE})", 2, lambda m: _item(_slashes(m["g2"]), None, m["g0"], kind="monthly_rent", month=title(m["g1"])))(t), _none()),
+            F.coalesce(plain(rf"({dates.FULL}|{dates.SHORT})\s+rent\s+(?:will\s+be|shall\s+be|to\s+be|is\s+to\s+be)\s+paid\s+{limit}{WEEKDAY}({DATE})", 2, lambda m: _item(_slashes(m["g2"]), None, m["g0"], kind="monthly_rent", month=title(m["g1"])))(F.when(mentions(t, "rent"), t)), _none()),
         )),
         # "$March rent ..." with no number
-        ((dollar, rent), plain(rf"\$([A-Za-z]+\s+rent[^$\n]*?)\s+on or before\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda m: _item(m["g2"], None, m["g0"], about=m["g1"], kind="monthly_rent", time=m["g3"], extra=m["g1"]))),
+        ((("$",), ("rent",)), plain(rf"\$([A-Za-z]+\s+rent[^$\n]*?)\s+on or before\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}})(?:\s+(?:by\s+)?({CLOCK}))?", 3, lambda m: _item(m["g2"], None, m["g0"], about=m["g1"], kind="monthly_rent", time=m["g3"], extra=m["g1"]))),
     ]
     out = out.withColumn("_y", F.coalesce(F.col("_y1").cast(_FOUND), _none()))
     for needs, make in forms:
         look = F.size("_y") == 0
         for n in needs:
-            look = look & F.contains(F.lower(text), n)
+            look = look & mentions(text, *n)
         # the text is null, and the form costs nothing, where it isn't looked for
         out = out.withColumn("_t", F.when(look, text))
         out = out.withColumn("_y", F.when(F.col("_t").isNull(), F.col("_y")).otherwise(F.coalesce(make(F.col("_t")).cast(_FOUND), _none())))

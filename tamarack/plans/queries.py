@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.evaluate import evaluate
+from tamarack.answers import answered
+from tamarack.evaluate import evaluate, gate
 from tamarack.operators import case_ids, clean, confidence, fixups, flatten, merge, obligations, parties, payments, reclassify
 from tamarack.plans.corpus import BASE_SQL, FILENAME, base, documents
 from tamarack.plans.extraction import extract_documents
 from tamarack.sources.files import skip_done
+from tamarack.tables import materialize, uses
 
 TODAY = "2026-11-26"
 
@@ -206,3 +208,36 @@ def field_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _add("field_accuracy", field_accuracy, "select 'plaintiff' as field, count(*) as n, count(*) as n_correct from b union all select 'defendant', count(*), count(*) filter (k % 4 <> 0) from b union all select 'total_payment_sum', count(*), count(*) from b")
+
+
+def accuracy_floors(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields and total against floors; a schedule of k % 3 payments has to have as many."""
+    rows = base(spark, sf).selectExpr("concat('f', k) as filename", "case when k % 10 = 0 then 'x' else cust end as defendant", "transform(sequence(1, cast(k % 3 + 1 as int)), x -> named_struct('n', x)) as payment_schedule")
+    truth = base(spark, sf).selectExpr("concat('f', k) as filename", "stack(2, 'defendant', upper(cust), 'payment_count', cast(k % 3 + if(k % 4 = 0, 2, 1) as string)) as (field, expected)")
+    return gate(rows, truth, {"defendant": 0.8, "payment_count": 0.85, "overall": 0.85}).drop("accuracy")
+
+
+_add("accuracy_floors", accuracy_floors, """, s as (
+    select 'defendant' as field, count(*) as n, count(*) filter (k % 10 <> 0) as n_correct, 0.8::double as floor from b
+    union all select 'payment_count', count(*), count(*) filter (k % 4 <> 0), 0.85::double from b
+    union all select 'overall', 2 * count(*), count(*) filter (k % 10 <> 0) + count(*) filter (k % 4 <> 0), 0.85::double from b)
+    select field, n, n_correct, floor, n_correct >= floor * n as met from s""")
+
+
+class Echo:
+    """Stands in for a model: what it is shown, turned round."""
+
+    def answer(self, text: str) -> str:
+        if text.endswith("0"):
+            raise ValueError("no answer")
+        return text[::-1]
+
+
+def answers_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers to texts most of which are equal; those that end in 0 fail and say why."""
+    rows = materialize(base(spark, sf).selectExpr("k", "concat(nat, ' ', k % 40) as shown"))
+    out = answered(rows, "shown", Echo, lambda b, text: b.answer(text), "echo", slots=8, each=1000)
+    return uses(out, rows)
+
+
+_add("answers_once", answers_once, "select k, case when k % 10 <> 0 then reverse(nat || ' ' || (k % 40)) end as answer, case when k % 10 = 0 then 'ValueError: no answer' end as error from b")

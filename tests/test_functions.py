@@ -57,6 +57,29 @@ def test_running_sums_and_windows(spark):
         assert r.w == r.t[max(r.a, 1) - 1 : max(r.b - 1, 0)], (len(r.t), r.a, r.b)
 
 
+def test_anchors_hide_no_match(spark):
+    """An anchor is seen wherever a pattern that ignores case would match it, odd letters included."""
+    rnd = random.Random(8)
+    odd = {"i": "iI\u0130\u0131", "k": "kK\u212a", "s": "sS\u017f"}
+    texts = ["".join(rnd.choice(odd.get(c, c + c.upper())) for c in rnd.choice(["dismiss", "keys", "vacate", "third", "none"])) + rnd.choice(["", " x", "\n"]) for _ in range(400)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = ("dismiss", "keys", "vacate", "third")
+    for r in df.select("t", regex.mentions(F.col("t"), *words).alias("m"), *[regex.has(F.col("t"), w, "i").alias(w) for w in words]).collect():
+        assert r.m == any(r[w] for w in words)
+
+
+def test_gaps_and_first_places(spark):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice(["a", "b", "1", "\n", "🙂", "\ufdd0"] if k % 5 == 0 else ["a", "b", "1", "\n", "🙂"]) for _ in range(rnd.randrange(14))) for k in range(500)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", regex.gaps(F.col("t"), r"ab?").alias("g"), regex.place(F.col("t"), r"a1*b").alias("at")).collect():
+        if r.t is None:
+            assert r.g is None and r.at is None or r.at == 0
+            continue
+        m = re.search("a1*b", r.t)
+        assert r.g == re.split("ab?", r.t) and r.at == (m.start() + 1 if m else 0), r.t
+
+
 def test_a_hundred_thousand_matches_in_one_text(spark):
     """Places and what stands around them take time in proportion to the text."""
     from tamarack.operators import obligations, payments

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tamarack import backends
 from tamarack.config import Settings
-from tamarack.evaluate import evaluate
+from tamarack.evaluate import evaluate, gate
 from tamarack.plans.extraction import extract_documents
 from tamarack.plans.services import extract_with_model
 from tamarack.sources import files, sinks
@@ -121,6 +121,17 @@ def test_settings_and_evaluation(spark):
     assert {r.field: (r.n, r.n_correct) for r in evaluate(rows, truth).collect()} == {"who": (2, 2), "n": (1, 1)}
 
 
+def test_totals_and_floors(spark):
+    kind = "filename string, who string, amount string, payment_schedule array<struct<a:int>>"
+    rows = spark.createDataFrame([("a", "X", "10.001", [(1,), (2,)]), ("b", "Y", None, []), ("c", "Z", "3", None)], kind)
+    truth = spark.createDataFrame([(f, c, e) for f, who, amount, n in (("a", "x ", "10", "2"), ("b", "y", None, "0"), ("c", "no", "4", "0"), ("d", "q", "1", "1")) for c, e in (("who", who), ("amount", amount), ("payment_count", n))], "filename string, field string, expected string")
+    got = {r.field: (r.n, r.n_correct, r.accuracy) for r in evaluate(rows, truth, overall=True).collect()}
+    assert got == {"who": (4, 2, 0.5), "amount": (4, 2, 0.5), "payment_count": (4, 3, 0.75), "overall": (12, 7, 7 / 12)}
+    told = {r.field: (r.n, r.floor, r.met) for r in gate(rows, truth, {"who": 0.5, "payment_count": 0.8, "overall": 0.5, "case_number": 0.9}).collect()}
+    assert told == {"who": (4, 0.5, True), "amount": (4, None, None), "payment_count": (4, 0.8, False), "overall": (12, 0.5, True), "case_number": (0, 0.9, False)}
+    assert {r.met for r in gate(rows.limit(0), truth.limit(0)).collect() if r.floor is not None} == {False}
+
+
 def test_truth_file(spark, tmp_path):
     (tmp_path / "cases.json").write_text(json.dumps([{"filename": "a", "text_file": "a.txt", "expected": {"plaintiff": "X", "payment_count": 2, "mandatory_vacate_date": None}}]))
     rows = files.read_truth(spark, str(tmp_path / "cases.json"))
