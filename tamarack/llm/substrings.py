@@ -9,8 +9,8 @@ super-k-mer, to the bucket of the minimiser.  Equal windows have equal minimiser
 where they are sorted by hash, and windows of equal hash are compared word by word.
 
 Hot keys: a first pass over all texts counts windows by minimiser, and runs that would be the minimiser of more
-than one window in ``SHARE`` come last in the order of runs, so that a frequent phrase is a minimiser only where
-all runs of a window are frequent.  Copies are combined before the shuffle: of equal super-k-mers in one chunk of
+than one window in ``SHARE`` (or four times the buckets, where that is more) come last in the order of runs, so that
+a frequent phrase is a minimiser only where all runs of a window are frequent.  Copies are combined before the shuffle: of equal super-k-mers in one chunk of
 a task's input only the one of the smallest document travels, as all windows of the others are known to go.  A
 passage that a third of all documents holds therefore reaches its bucket once for each chunk, not once for each
 document.  There are ``SPLIT`` buckets for each shuffle partition; one is worked off in blocks, and one with more
@@ -44,7 +44,7 @@ WINDOW, MINIMISER = 13, 2
 #: Bytes of text whose super-k-mers are combined, bytes of a block of a bucket, most windows of a super-k-mer,
 #: windows of a bucket that are held at once.
 CHUNK, BLOCK, LONGEST, ROUND = 6 << 20, 4 << 20, 4096, 2_000_000
-#: Buckets for each shuffle partition; the share of windows that makes a run frequent; the least count of a chunk.
+#: Buckets for each shuffle partition; the least share of windows that makes a run frequent; the least count of a chunk.
 SPLIT, SHARE, LEAST = 4, 4096, 64
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 64
@@ -364,8 +364,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], table: _Table) -> Iterator[tuple[
         yield np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), [t for x in held for t in x[2]]
 
 
-def _heavy(rows: DataFrame, table: _Table) -> np.ndarray:
-    """Runs that are the minimiser of more than one window in ``SHARE``, sorted: no more than ``SHARE`` of them."""
+def shares(n_buckets: int) -> int:
+    """Into how many parts of all windows a run may fall before it is frequent: a run that is not has at most a quarter of
+    a bucket's mean share, so buckets stay even on clusters of any size; this many runs are broadcast, 8 bytes each."""
+    return max(SHARE, 4 * n_buckets)
+
+
+def _heavy(rows: DataFrame, table: _Table, share: int = SHARE) -> np.ndarray:
+    """Runs that are the minimiser of more than one window in ``share``, sorted: no more than ``share`` of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, texts in _chunks(batches, table):
@@ -375,12 +381,12 @@ def _heavy(rows: DataFrame, table: _Table) -> np.ndarray:
                 continue
             runs, where = np.unique(least, return_inverse=True)
             n = np.bincount(where, weights=stop - start - (WINDOW - 1)).astype(np.int64)
-            often = n >= max(LEAST, n.sum() // (4 * SHARE))
+            often = n >= max(LEAST, n.sum() // (4 * share))
             yield pa.RecordBatch.from_arrays([pa.array([None, *runs[often].astype(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64())], ["run", "n"])
 
     counts = materialize(rows.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")))
     total = counts.where("run is null").agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("run").isNotNull() & (F.col("n") * SHARE > total)).select("run").collect()
+    found = counts.where(F.col("run").isNotNull() & (F.col("n") * share > total)).select("run").collect()
     discard(counts)
     return np.sort(np.array([r.run for r in found], np.int64).astype(np.uint64))
 
@@ -404,7 +410,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     n = n_partitions(spark)
     n_buckets = SPLIT * n
     rows = docs.select(F.col("doc_id").cast(table.kind), "h", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
-    heavy = _heavy(rows, table)
+    heavy = _heavy(rows, table, shares(n_buckets))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, texts in _chunks(batches, table):

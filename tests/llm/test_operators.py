@@ -145,6 +145,24 @@ def test_frequent_runs_come_last(spark):
     assert len(heavy) == 1 and kmers(texts)[1].max() > 500 and kmers(texts, heavy)[1].max() < 20
 
 
+def test_frequent_runs_follow_the_buckets(spark, monkeypatch):
+    """However many buckets there are, a run that is not frequent has a quarter of a bucket's mean share at most."""
+    for n in (1, 48, 844, 4096, 400_000):
+        assert substrings.shares(n) >= max(substrings.SHARE, 4 * n)
+    monkeypatch.setattr(substrings, "SHARE", 8)
+    monkeypatch.setattr(substrings, "LEAST", 1)
+    rnd = random.Random(12)
+    rare = lambda k: " ".join(f"p{k % 12}{c}" for c in "abcdefghijklmnopq")  # noqa: E731  a passage of each twelfth text
+    texts = ["the same words " * 12 + rare(k) + " " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(40)) for k in range(60)]
+    table = substrings._Table(False)
+    rows = docs(spark, *texts).select("doc_id", F.lit(0).cast("long").alias("h"), "text")
+    few, many = (substrings._heavy(rows, table, substrings.shares(n)) for n in (1, 64))
+    assert 0 < len(few) < len(many) <= substrings.shares(64) and set(few.tolist()) <= set(many.tolist())
+    df = docs(spark, *texts)
+    got = [tuple(r) for r in substrings.over_kept(df, substrings.digest, "n_words long, n_removed long, kept_sha256 string").collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute_repeats([(r.doc_id, r.text) for r in df.collect()])))
+
+
 def test_equal_hashes_are_told_apart():
     same = np.zeros(3, np.uint64)
     assert substrings._repeated(same, np.array([1, 2, 3]), [b"a", b"b", b"a"]).tolist() == [False, False, True]
