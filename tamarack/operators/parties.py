@@ -18,7 +18,8 @@ LABELS = ("v.", "vs.", "defendant", "defendants", "plaintiff", "plaintiffs", "da
 SIGNATURE = r"<signature>(.*?)</signature>"
 #: Wordings of plaintiffs and defendants in running text.
 PLAINTIFF_LINE = r"\s*(?:Plaintiff|PLAINTIFF)"
-PLAINTIFF_AFTER = r"((?:[A-Z][^\n]*\n){0,3}[^\n]*?),?\s*Plaintiff\s*[,(.]"
+PLAINTIFF_END = r"Plaintiff\s*[,(.]"
+PLAINTIFF_AFTER = rf"((?:[A-Z][^\n]*\n){{0,3}}[^\n]*?),?\s*{PLAINTIFF_END}"
 PLAINTIFFS = r"([A-Z][A-Za-z\s.,&/]+?)\s*(?:,\s*)?PLAINTIFF\(S\)"
 VERSUS_LINE = r"(?:v\.|Vs|versus|vs)\s*\.?\s*\n\s*(?:Name:\s*)?([^\n]+)"
 VERSUS_NAME = r"(?:v\.|vs\.|versus)\s+([A-Z][A-Za-z\s]+?)(?:\s*,|\s*\n)"
@@ -123,8 +124,9 @@ def parties(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
     some = lambda word, x: F.when(mentions(bare, word), x)
     squeeze = lambda x: sub(x, r"\s+", " ")
     m1 = squeeze(strip(_block_above(bare)))
-    m2 = squeeze(sub(strip(first(bare, PLAINTIFF_AFTER, 1, "i")), r"\n", " "))
-    m3 = strip(first(bare, PLAINTIFFS, 1, "i"))
+    # these two try every start of a line or a run, so they are looked for only where what ends each match stands
+    m2 = squeeze(sub(strip(first(F.when(has(bare, PLAINTIFF_END, "i"), bare), PLAINTIFF_AFTER, 1, "i")), r"\n", " "))
+    m3 = strip(first(F.when(mentions(bare, "plaintiff(s)"), bare), PLAINTIFFS, 1, "i"))
     keep = lambda name, header: let(name, lambda x: F.when(~has(x, header, "i") & (x != ""), x))
     v = lambda p, f: F.when(mentions(bare, "v"), first(bare, p, 1, f))
     d1 = strip(v(VERSUS_LINE, "i"))
