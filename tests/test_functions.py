@@ -101,3 +101,20 @@ def test_a_hundred_thousand_matches_in_one_text(spark):
 def test_fence_stops_conditions(spark):
     df = regex.fence(spark.range(3).withColumn("x", F.concat(F.lit("a"), F.col("id").cast("string"))), "x").where("x = 'a1'")
     assert df.count() == 1
+
+
+def test_mentions_folds_letters_as_patterns_do(spark):
+    """Looked for in lower case first, with the four letters beyond ASCII that fold to i, s and k."""
+    from tamarack.functions.regex import mentions
+
+    rows = [("to be PAID", True), ("paıd", True), ("PAİD", True), ("aſsistance", True), ("<watermarK>", True), ("pa id", False), ("", False), (None, False), ("İı", False)]
+    df = spark.createDataFrame(rows, "t string, want boolean")
+    assert all(r.got == r.want for r in df.select("want", mentions(F.col("t"), "paid", "assistance", "<watermark>").alias("got")).collect())
+
+
+def test_descriptions_with_and_without_rent(spark):
+    """Months are looked for where rent is mentioned, in any case."""
+    from tamarack.operators import payments
+
+    df = spark.createDataFrame([("$5 for March RENT and water",), ("$5 in March",)], "t string").select(payments.describe(F.col("t")).alias("d"))
+    assert [tuple(r.d) for r in df.collect()] == [("monthly_rent", "March", "water"), ("fixed_amount", None, None)]
