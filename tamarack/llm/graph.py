@@ -15,22 +15,22 @@ def components(edges: DataFrame) -> DataFrame:
     neighbour (large star), then its smaller neighbours and itself to the smallest (small star).  Both are
     a minimum by key and a join, so a node with very many links is combined before the shuffle and its
     side of the join can be split.  Rounds grow with the logarithm of the number of nodes.  Each round is
-    written to the shared folder; no edge reaches the driver.
+    written to the shared folder; no edge reaches the driver, not even to be broadcast.
     """
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         # large star: over edges in both directions, links to larger neighbours move to the minimum
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialize(large)
         # small star: each node's smaller neighbours, and the node itself, move to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
+        small = large.join(least.hint("merge"), "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
         after = materialize(small.select("e.a", "e.b").where("a <> b").distinct())
         # settled when every node has one link and no link's lower end has a link of its own
         links = after.count()
-        same = links == now.count() and after.join(now, ["a", "b"], "left_anti").isEmpty()
+        same = links == now.count() and after.join(now.hint("merge"), ["a", "b"], "left_anti").isEmpty()
         discard(large, now)
         now = after
         if same:
@@ -45,9 +45,9 @@ def named(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
     ``nodes`` has ``node`` and ``first``, its smallest id; a node that ``roots`` lacks is alone.
     """
-    linked = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    linked = nodes.select("node", "first").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(linked.join(names, "root").select("node", "root", "component_id"), "node")
+    return rows.join(linked.join(names.hint("merge"), "root").select("node", "root", "component_id").hint("merge"), "node")
 
 
 def first_of_each(docs: DataFrame, found: DataFrame, node, id_col: str = "doc_id") -> DataFrame:

@@ -19,7 +19,8 @@ the words between them (the node and its 64 neighbours), and nodes that meet at
 each other, so each links to the least of them.  That finds the same components exactly, with 65 rows a node instead
 of all pairs.
 
-Components are found by joins over distinct fingerprints; only ids and fingerprints move, never texts.
+Components are found by joins over distinct fingerprints; only ids and fingerprints move, never texts.  Both sides of
+every join are dealt by key, so no table of keys, links or names passes the driver, whatever its size.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id never
 names a component unless the component has no other; repeated rows share their component; an empty table
@@ -141,13 +142,13 @@ def links(nodes: DataFrame) -> DataFrame:
 
     keyed = nodes.select("fp").mapInArrow(run, "key long, fp long")
     often = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = materialize(keyed.join(often, "key"))
+    keyed = materialize(keyed.join(often.hint("merge"), "key"))
     few = keyed.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     few = few.select(F.explode("fps").alias("a"), "fps").select("a", F.explode(F.filter("fps", lambda x: (x > F.col("a")) & (F.bit_count(x.bitwiseXOR(F.col("a"))) <= DISTANCE))).alias("b"))
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), k) for k in range(64)])
     many = keyed.where(F.col("n") > SMALL).select("fp").distinct().select("fp", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("fp")))).alias("mid"))
     least = many.groupBy("mid").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = many.join(least, "mid").select(F.col("fp").alias("a"), "b").where("a <> b")
+    met = many.join(least.hint("merge"), "mid").select(F.col("fp").alias("a"), "b").where("a <> b")
     return uses(few.unionByName(met).distinct(), keyed)
 
 
