@@ -1,10 +1,12 @@
 """Operator 10 at five-word shingles: pairs whose shingle sets have a Jaccard similarity of 0.8 or more.
 
-At that similarity fingerprints of 64 bits differ in about ten bits (an angle of acos(8/9), so 15 % of the bits), and
-Golay keys find two.  Wider radii need hundreds of keys a document, see README, so candidates come from banded MinHash
-here: ``BANDS`` keys of ``ROWS`` minima each, so a pair at similarity 0.8 shares a key with probability
-1 - (1 - 0.8^5)^20 = 0.9996, and more above.  Candidates are verified on the shingles of the texts themselves, so no
-pair below 0.8 is linked.
+The first candidates are those of operator 10: each text has a SimHash fingerprint, here of its distinct five-word
+shingles, and Golay keys link fingerprints of two bits or less apart (:func:`simhash.links`); the node of the smallest
+hash speaks for equal fingerprints.  At similarity 0.8 fingerprints differ in about ten bits (an angle of acos(8/9), so
+15 % of the bits), and wider radii need hundreds of keys a document, see README.  What lies farther than two bits comes
+from banded MinHash: ``BANDS`` keys of ``ROWS`` minima each, so a pair at similarity 0.8 shares a key with probability
+1 - (1 - 0.8^5)^20 = 0.9996, and more above.  Candidates of both kinds are verified on the shingles of the texts
+themselves, so no pair below 0.8 is linked.
 
 Equal texts are one node.  Nodes that share a key form a bucket.  Its members are verified against the bucket's pivot,
 the one that shares its keys with most nodes; where a group has a common original, that is the pivot of its largest
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm import graph
+from tamarack.llm import graph, simhash
 from tamarack.llm.common import discard, materialize, n_partitions, ship, uses
 
 SHINGLE, SIMILAR, BANDS, ROWS, SEED, CHUNK = 5, 0.8, 20, 5, 42, 4096
@@ -53,17 +55,19 @@ def similarity(a: set[bytes], b: set[bytes]) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def sketch(text: str | None) -> tuple[int, list[int]]:
-    """The number of distinct shingles and the key of each band."""
+def sketch(text: str | None) -> tuple[int, list[int], int]:
+    """The number of distinct shingles, the key of each band and the SimHash fingerprint."""
     found = shingles(text)
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in found), np.uint64, len(found))
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    least, over = np.full(BANDS * ROWS, ~np.uint64(0)), np.zeros(64, np.int64)
     for at in range(0, len(hashes), CHUNK):
+        over += np.unpackbits(hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         mixed = (hashes[at : at + CHUNK, None] ^ _FLIP) * _TIMES
         np.minimum(least, mixed.min(axis=0), out=least)
     rows = least.reshape(BANDS, ROWS)
-    return len(found), [digest(r.tobytes(), k) - (1 << 63) for k, r in enumerate(rows)]
+    bits = np.packbits(2 * over > len(found), bitorder="little")
+    return len(found), [digest(r.tobytes(), k) - (1 << 63) for k, r in enumerate(rows)], int(bits.view(np.int64)[0])
 
 
 def _node(text: Column) -> Column:
@@ -97,6 +101,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def fuzzy_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (``x``, ``n``, ``y``, ``m``) of ``nodes`` (``node``, ``n``, ``fp``) whose fingerprints are equal or that Golay keys
+    link: nodes, and the sizes of their sets of shingles."""
+    told = materialize(nodes.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("p")).select("fp", "p.node", "p.n"))
+    linked = materialize(simhash.links(told.select("fp")))
+    end = lambda fp, node, n: told.select(F.col("fp").alias(fp), F.col("node").alias(node), F.col("n").alias(n)).hint("merge")
+    same = nodes.select(F.col("node").alias("x"), "n", "fp").join(end("fp", "y", "m"), "fp").where("x <> y")
+    apart = linked.join(end("a", "x", "n"), "a").join(end("b", "y", "m"), "b")
+    return uses(same.select("x", "n", "y", "m").unionByName(apart.select("x", "n", "y", "m")), told, linked)
+
+
 def _fits(m: str, n: str) -> Column:
     """Whether sets of these sizes can be similar."""
     return F.least(m, n) >= F.greatest(m, n) * F.lit(SIMILAR)
@@ -196,24 +211,29 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             told = [sketch(t.as_py()) for t in b.column("text")]
             sizes, keys = pa.array([x[0] for x in told], pa.int64()), pa.array([x[1] for x in told], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), sizes, keys], ["doc_id", "node", "n", "keys"])
+            fps = pa.array([x[2] for x in told], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), sizes, keys, fps], ["doc_id", "node", "n", "keys", "fp"])
 
     rows = docs.select(docs[id_col].alias("doc_id"), _node(docs[text_col]).alias("node"), docs[text_col].alias("text"))
-    told = materialize(rows.mapInArrow(run, f"doc_id {kind}, node long, n long, keys array<bigint>"))
-    nodes = materialize(told.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    told = materialize(rows.mapInArrow(run, f"doc_id {kind}, node long, n long, keys array<bigint>, fp long"))
+    nodes = materialize(told.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("fp").alias("fp")))
     keyed = nodes.select(F.col("node").alias("x"), "n", F.explode("keys").alias("key"))
     often = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     shared = materialize(keyed.join(often, "key"))
     degree = shared.groupBy("x").agg(F.sum("many").alias("degree"))
     pivot = shared.join(degree, "x").groupBy("key").agg(F.max(F.struct("degree", F.xxhash64("x").alias("h"), "x", "n")).alias("p"))
     met = shared.join(pivot.select("key", F.col("p.x").alias("y"), F.col("p.n").alias("m")), "key").where(_fits("m", "n") & (F.col("x") != F.col("y")))
-    tried = materialize(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    # the text of each node that shares a key, from the row of its smallest id
-    wanted = nodes.join(shared.select(F.col("x").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("w"), "first")
+    near = fuzzy_pairs(nodes)
+    fuzzy = materialize(uses(near.where(_fits("m", "n")), *near._tamarack_uses))
+    both = met.select("x", "y").unionByName(fuzzy.select("x", "y"))
+    tried = materialize(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    # the text of each node that shares a key or has a near fingerprint, from the row of its smallest id
+    some = shared.select(F.col("x").alias("node")).unionByName(fuzzy.select(F.explode(F.array("x", "y")).alias("node")))
+    wanted = nodes.join(some.distinct(), "node", "left_semi").select(F.col("node").alias("w"), "first")
     texts = rows.join(wanted.hint("merge"), rows["doc_id"].eqNullSafe(wanted["first"]) & (rows["node"] == wanted["w"]), "left_semi")
     texts = materialize(texts.select("node", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["node"]))
     links = materialize(_verified(tried, texts))
-    discard(tried)
+    discard(tried, fuzzy)
     roots = graph.components(links)
     # buckets of three or more with several components
     named = shared.join(roots.withColumnRenamed("node", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))

@@ -92,3 +92,30 @@ def test_rows_alike_in_id_and_text(spark):
         assert len(out) == 1
         kept |= set(out)
     assert len(kept) == 1
+
+
+def test_fingerprints_and_golay_keys_propose_pairs(spark):
+    """The named method is a step of the stage: pairs of near or equal fingerprints reach the check on texts."""
+    rnd = random.Random(24)
+    texts = []
+    for _ in range(40):
+        t = [word(rnd) for _ in range(600)]
+        texts += [" ".join(t), " ".join([*t, word(rnd)])]
+    fps = [nearcopies.sketch(t)[2] for t in texts]
+    nodes = spark.createDataFrame([(k, nearcopies.sketch(t)[0], fps[k]) for k, t in enumerate(texts)], "node long, n long, fp long")
+    near = {(a, b) for a in range(len(fps)) for b in range(a) if ((fps[a] ^ fps[b]) & (1 << 64) - 1).bit_count() <= 2}
+    got = {(max(r.x, r.y), min(r.x, r.y)) for r in nearcopies.fuzzy_pairs(nodes).collect()}
+    assert got == near and len(near) > 20
+    shown = nearcopies.near_copies(docs(spark, *texts))
+    assert {r.doc_id: r.component_id for r in shown.collect()} == dict(enumerate(brute_roots(texts)))
+
+
+def test_no_table_of_links_or_names_is_broadcast(spark):
+    """Op 10's joins deal both sides by key, however small they are, so nothing passes the driver."""
+    from tamarack.llm import simhash
+
+    told = docs(spark, *[f"some words of text {k % 7} and more of it" for k in range(50)])
+    fps = nearcopies.materialize(simhash.fingerprints(told).select("fp").distinct())
+    for df in (simhash.near_copies(told), simhash.links(fps)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
