@@ -19,8 +19,9 @@ its queue being a prefix sum over hash ranges of its source; ids are moved once,
 Every sequence but the last few is full: the tokens left at the end make sequences of a power of two each, so there is
 no padding at all.
 
-Encoding: a text is cut at spaces between characters that are no white space, where a pre-token always begins, and the
-ids of such pieces are kept in a table of bounded size; a text with other spaces is encoded in one go.
+Encoding: a text is cut at spaces between characters that are no white space, where a pre-token always begins.  The
+distinct pieces of many texts are encoded by one call, in which ids that begin with a space tell pieces apart, and the ids
+of each text are gathered from theirs.  A text with other spaces is encoded in one go.
 
 Defined results: null text is empty and has the end token only; a null source is a source of its own; strings of special
 tokens in a text are ordinary text; null ids and repeated rows are documents like others, and rows alike in id and tokens
@@ -30,11 +31,11 @@ may change places between reruns, which changes nothing; an empty table gives an
 from __future__ import annotations
 
 import json
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,8 @@ from tamarack.llm.common import materialize, n_partitions, ship, uses
 LENGTH, END = 2048, 1
 #: Fewest tokens of a piece where more than one source waits; tokens of a slice, and its windows at least.
 LEAST, SLICE, SLICE_WINDOWS = 32, 1 << 21, 8
-#: Pieces whose ids are kept, characters of the longest, bytes of ids in a batch.
-KEPT, LONGEST_KEPT, BATCH = 400_000, 32, 8 << 20
+#: Heads whose ids are kept, characters of the longest; bytes of texts encoded together, of ids in a batch; ids moved at once.
+KEPT, LONGEST_KEPT, CHUNK, BATCH, GATHERED = 100_000, 32, 4 << 20, 8 << 20, 1 << 16
 
 
 def byte_ranks(content: bytes) -> dict[bytes, int]:
@@ -60,8 +61,14 @@ def byte_ranks(content: bytes) -> dict[bytes, int]:
     return {bytes(byte[c] for c in t): model["vocab"][t] for t in [*byte, *merges]}
 
 
-class _Spaced(Exception):
-    """A piece next to more than one space."""
+def blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``most`` in all, or of one row that is larger."""
+    upto, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + most, side="right")))
+        yield lo, hi
+        lo = hi
 
 
 class Encoder:
@@ -70,32 +77,88 @@ class Encoder:
     def __init__(self, content: bytes, pattern: str) -> None:
         import tiktoken
 
-        self.whole = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_ranks(content), special_tokens={}).encode_ordinary
+        ranks = byte_ranks(content)
+        top = max(ranks.values()) + 1
+        # the special token is never allowed, so it is ordinary text; with none at all the engine stops at every place to look for one
+        self.engine = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|none|>": top})
+        self.after_space = np.zeros(top, bool)
+        self.after_space[[i for b, i in ranks.items() if b[:1] == b" "]] = True
         self.known: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        return array("I", self.whole(text)).tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece after a space, which ``self.known`` doesn't hold."""
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Spaced
-        found = self.ids(" " + piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self.known) >= KEPT:
-                self.known.clear()
-            self.known[piece] = found
+    def whole(self, text: str) -> np.ndarray:
+        return self.engine.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+
+    def head(self, text: str) -> bytes:
+        """Ids of what stands before the first space."""
+        found = self.known.get(text)
+        if found is None:
+            found = self.whole(text).tobytes()
+            if len(text) <= LONGEST_KEPT:
+                if len(self.known) >= KEPT:
+                    self.known.clear()
+                self.known[text] = found
         return found
 
+    def pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each after a space, and where each word's begin.  No word has a space or white space at its ends."""
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words), " ")
+        ids = self.whole(" " + joined[0].as_py())
+        begins = np.flatnonzero(self.after_space[ids])
+        assert len(begins) == len(words)
+        return ids, begins
+
+    def rows(self, texts: pa.Array, last: int | None = None) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        """Numbers of ids and ids of the texts, ``last`` behind each, in batches of about ``BATCH`` bytes."""
+        texts = pc.fill_null(texts, "")
+        for lo, hi in blocks(pc.binary_length(texts).to_numpy(zero_copy_only=False), CHUNK):
+            yield from self._chunk(texts.slice(lo, hi - lo), last)
+
+    def _chunk(self, texts: pa.Array, last: int | None) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        n, split = len(texts), pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        words, index = coded.dictionary, coded.indices.to_numpy()
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        first, m = bounds[:-1], len(words)
+        size, inner, upto = (pc.binary_length(x).to_numpy() for x in (words, pc.utf8_trim_whitespace(words), pc.utf8_rtrim_whitespace(words)))
+        # texts that have white space beside a space are encoded in one go
+        odd = ((size == 0) | (inner < size))[index]
+        odd[first] = (upto < size)[index[first]] & (np.diff(bounds) > 1)
+        odd = np.logical_or.reduceat(odd, first)
+        rest = ~np.repeat(odd, np.diff(bounds))
+        rest[first] = False
+        used = np.zeros(m, bool)
+        used[index[rest]] = True
+        ids, begins = self.pieces(words.filter(pa.array(used)))
+        heads = [self.head(t) for t in pc.if_else(pa.array(odd), texts, words.take(pa.array(index[first]))).to_pylist()]
+        # where the ids of each entry begin, and how many: words, heads, the last id, nothing
+        counts, starts = np.zeros(m + n + 2, np.int64), np.zeros(m + n + 2, np.int64)
+        counts[:m][used], starts[:m][used] = np.diff(begins, append=len(ids)), begins
+        counts[m:-1] = [*(len(x) // 4 for x in heads), 0 if last is None else 1]
+        starts[m:] = len(ids) + np.cumsum(counts[m:]) - counts[m:]
+        ids = np.concatenate([ids, np.frombuffer(b"".join(heads), np.uint32), np.array([] if last is None else [last], np.uint32)])
+        index = np.where(rest, index, m + n + 1)
+        index[first] = m + np.arange(n)
+        index = np.insert(index, bounds[1:], m + n)
+        bounds += np.arange(n + 1)
+        counts = counts[index]
+        at = np.concatenate([[0], np.cumsum(counts)])
+        ends = at[bounds]
+        for lo, hi in blocks(4 * np.diff(ends), BATCH):
+            out = np.empty(ends[hi] - ends[lo], np.uint32)
+            for a, b in blocks(counts[bounds[lo] : bounds[hi]], GATHERED):
+                a, b = a + bounds[lo], b + bounds[lo]
+                if b - a == 1:
+                    own = slice(starts[index[a]], starts[index[a]] + counts[a])
+                else:
+                    own = np.repeat(starts[index[a:b]] - at[a:b], counts[a:b]) + np.arange(at[a], at[b])
+                out[at[a] - ends[lo] : at[b] - ends[lo]] = ids[own]
+            offsets = (4 * (ends[lo : hi + 1] - ends[lo])).astype(np.int32)
+            yield np.diff(ends[lo : hi + 1]), pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
     def encode(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        if not rest or not head or head[-1].isspace():
-            return self.ids(text)
-        known, piece = self.known.get, self.piece
-        try:
-            return self.ids(head) + b"".join([known(p) or piece(p) for p in rest])
-        except _Spaced:
-            return self.ids(text)
+        return b"".join(x.as_py() for _, ids in self.rows(pa.array([text], pa.string())) for x in ids)
 
 
 _loaded: dict[int, Encoder] = {}
@@ -106,28 +169,18 @@ def encoded(docs: DataFrame, content: bytes, pattern: str, id_col: str = "doc_id
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(content)  # a vocabulary file
     kind = docs.schema[id_col].dataType.simpleString()
-    last = array("I", [end]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = shared.value
         if hash(content) not in _loaded:
             _loaded[hash(content)] = Encoder(content, pattern)
-        encode = _loaded[hash(content)].encode
-
-        def told(b: pa.RecordBatch, lo: int, held: list[bytes]) -> pa.RecordBatch:
-            own = b.slice(lo, len(held))
-            return pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("src"), pa.array([len(x) // 4 for x in held], pa.int64()), pa.array(held, pa.binary())], ["doc_id", "src", "n", "ids"])
-
+        encoder = _loaded[hash(content)]
         for b in batches:
-            lo, held, size = 0, [], 0
-            for k, t in enumerate(b.column("text")):
-                held.append(encode(t.as_py() or "") + last)
-                size += len(held[-1])
-                if size >= BATCH:
-                    yield told(b, lo, held)
-                    lo, held, size = k + 1, [], 0
-            if held:
-                yield told(b, lo, held)
+            at = 0
+            for n, ids in encoder.rows(b.column("text"), end):
+                own = b.slice(at, len(ids))
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("src"), pa.array(n, pa.int64()), ids], ["doc_id", "src", "n", "ids"])
+                at += len(ids)
 
     src = F.coalesce(F.concat(F.lit("1"), F.col(f"`{source_col}`").cast("string")), F.lit("2"))
     rows = docs.select(docs[id_col].alias("doc_id"), src.alias("src"), docs[text_col].alias("text"))

@@ -7,6 +7,7 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -40,6 +41,40 @@ def test_encoder(library, monkeypatch):
         packing.byte_ranks(b'{"model": {"vocab": {"ab": 2, "abc": 1}, "merges": ["a b", "ab c"]}}')
 
 
+def test_distinct_words_share_a_call(library, monkeypatch):
+    """The engine is called for many distinct words at once, not for each."""
+    import tiktoken
+
+    calls = []
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        own = getattr(tiktoken.Encoding, name)
+        monkeypatch.setattr(tiktoken.Encoding, name, lambda self, text, own=own, **k: calls.append(len(text)) or own(self, text, **k))
+    e = packing.Encoder(CONTENT, PATTERN)
+    text = "first " + " ".join(f"word{k}\nx" for k in range(3000)) + " word7\nx" * 20_000
+    assert np.frombuffer(e.encode(text), "<u4").tolist() == library(text)
+    assert len(calls) <= 4 and sum(calls) < 50_000
+
+
+@pytest.mark.parametrize("chunk, batch, gathered", [(16 << 20, 8 << 20, 1 << 16), (200, 60, 3), (1, 1, 1)])
+def test_batches_of_texts(library, monkeypatch, chunk, batch, gathered):
+    """Texts encoded together, whatever is cut where: white space of all kinds at all places, the engine's own special token."""
+    for name, value in (("CHUNK", chunk), ("BATCH", batch), ("GATHERED", gathered)):
+        monkeypatch.setattr(packing, name, value)
+    e, rnd = packing.Encoder(CONTENT, PATTERN), random.Random(4)
+    special = [*e.engine.special_tokens_set, "<|endoftext|>"]
+    some = ["a", "bcd", " ", " ", " ", " ", "\n", "\xa0", "\u3000", "\x1c", "\x85", "é", "🙂", "'s", "12", "!", "日本", *special]
+    texts = [None, "", " ", "  ", "a ", " a", "a\n", "a\n b", "a \nb", "x" * 3000, "日本語" * 500, " ".join(special), "".join(special)]
+    texts += ["".join(rnd.choice(some) for _ in range(rnd.randrange(20))) for _ in range(1500)]
+    for last in (1, None):
+        column = pa.array(["cut off", *texts], pa.string()).slice(1)
+        found = [(n, x.as_py()) for sizes, ids in e.rows(column, last) for n, x in zip(sizes, ids)]
+        assert len(found) == len(texts)
+        for text, (n, ids) in zip(texts, found):
+            want = library(text) + ([] if last is None else [last])
+            assert np.frombuffer(ids, "<u4").tolist() == want and n == len(want)
+    assert [*e.rows(pa.array([], pa.string()), 1)] == []
+
+
 def test_layout():
     rnd = random.Random(2)
     for total in (0, 1, 100, 2048, 2049, 5000, 20_480, 30_000):
