@@ -2,11 +2,11 @@
 
 A store is a folder of Parquet files (``ask``, ``answer``, ``error``), keyed by a hash of the asked model's name and what
 it is shown.  What the store doesn't know yet is asked in waves of ``slots`` tasks, so no more than ``slots`` calls are
-under way, each task asking about ``each`` of the wave's contents.  A task's answers are moved into the store when it
-ends, not when the job does (the committer's second algorithm), so a run that dies loses what its unfinished tasks
-have asked, at most ``slots * each`` answers, and a run after it asks nothing that is in the store.  An executor that is
-lost asks its own task's contents again.  Rows that failed are kept with their error, for this run to tell, and are asked
-again by the next one.
+under way, each task asking about ``each`` of the wave's contents.  Waves follow the order of the rows and are cut by
+number, so none is larger.  A task's answers are moved into the store when it ends, not when the job does (the committer's
+second algorithm), so a run that dies loses what its unfinished tasks have asked, at most ``slots * each`` answers, and a
+run after it asks nothing that is in the store.  An executor that is lost asks its own task's contents again.  Rows that
+failed are kept with their error, for this run to tell, and are asked again by the next one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamarack.tables import discard, exists, materialize, shared_dir, ship, temporary, uses
@@ -51,6 +51,15 @@ def _wave(rows: DataFrame, shown: str, factory: Callable[[], object], use: Calla
     return rows.select("ask", shown).mapInPandas(run, KIND)
 
 
+def _numbered(pending: DataFrame) -> DataFrame:
+    """``pending`` with ``number``, from 0 without gaps, by ``at``, a :func:`monotonically_increasing_id` that was written."""
+    part = F.shiftright("at", 33).alias("part")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each task that wrote
+    counts = pending.groupBy(part).count().select("part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("ahead"))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return pending.withColumn("part", part).join(F.broadcast(counts), "part").withColumn("number", F.col("ahead") + inside).drop("part", "ahead")
+
+
 def answered(rows: DataFrame, shown: str, factory: Callable[[], object], use: Callable[[object, object], str], name: str, store: str | None = None, slots: int = SLOTS, each: int = EACH) -> DataFrame:
     """``rows`` without ``shown`` (a string or binary column, null: nothing) but with ``answer`` and ``error``.
 
@@ -63,14 +72,15 @@ def answered(rows: DataFrame, shown: str, factory: Callable[[], object], use: Ca
     store = store or temporary(spark, f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}")
     content = F.coalesce(F.col(shown).cast("binary"), F.lit(b""))
     keyed = rows.withColumn("ask", F.sha2(F.concat(F.encode(F.lit(name + "\0"), "UTF-8"), content), 256))
-    unique = keyed.groupBy("ask").agg(F.first(shown).alias(shown))
+    seen = keyed.select("ask", shown, F.monotonically_increasing_id().alias("row"))
+    unique = seen.groupBy("ask").agg(F.first(shown).alias(shown), F.min("row").alias("row"))
     have = known(spark, store).where("error is null").select("ask")
-    pending = materialize(unique.join(have, "ask", "left_anti"))
+    pending = materialize(unique.join(have, "ask", "left_anti").sort("row").withColumn("at", F.monotonically_increasing_id()))
     n = pending.count()
     each = max(each, -(-n // (slots * MOST_WAVES)))
     waves = -(-n // (slots * each))
     if waves:
-        dealt = pending.withColumn("wave", F.pmod(F.xxhash64("ask"), F.lit(waves)).cast("int"))
+        dealt = _numbered(pending).withColumn("wave", F.expr(f"number div {slots * each}").cast("int"))
         dealt = materialize(dealt.repartition("wave"), partition_by="wave") if waves > 1 else dealt
         for k in range(waves):
             asked = _wave(dealt.where(F.col("wave") == k).repartition(slots), shown, factory, use)

@@ -86,6 +86,16 @@ def test_a_killed_run_asks_nothing_twice(spark, tmp_path):
     assert len(calls(log)) <= 42 and len(again) <= 2
 
 
+def test_no_wave_is_larger_than_its_tasks(spark, tmp_path):
+    """A run that dies loses a wave at most: each of them has slots * each contents, the last one what is left."""
+    store = str(tmp_path / "store")
+    rows = spark.createDataFrame([(k, f"t{k:02}") for k in range(41)], "k int, shown string").repartition(5)
+    answers.answered(rows, "shown", lambda: Logged(str(tmp_path / "log")), use, "m", store, slots=2, each=2)
+    job = F.regexp_extract(F.input_file_name(), "part-[0-9]+-([0-9a-f-]{36})", 1)
+    sizes = [r["count"] for r in spark.read.parquet(store).groupBy(job.alias("job")).count().collect()]
+    assert sorted(sizes) == [1] + [4] * 10
+
+
 def test_slots_bound_calls_under_way(spark, tmp_path):
     log = str(tmp_path / "log")
     rows = spark.createDataFrame([(k, f"t{k}") for k in range(30)], "k int, shown string").repartition(8)
