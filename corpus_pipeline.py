@@ -9,7 +9,6 @@ otherwise, keeps columns it doesn't know, and gives no rows for no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +54,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path(VOCABULARY), "rb") as f:
         content = f.read()
 
-    def each(coder: bpe.Bpe, text: str) -> tuple[int, bytes, str]:
-        ids = coder.encode(text)
-        return len(ids), ids.tobytes(), hashlib.sha256(coder.decode(ids)).hexdigest()
+    def each(coder: bpe.Bpe, ids: list[bytes]) -> list[list]:
+        return [[len(x) // 4 for x in ids], ids, bpe.sha256(coder.decode_all(ids))]
 
     return bpe.over_texts(docs, content, public_tokenizers.PATTERN, each, "n_tokens long, ids binary, decoded_sha256 string")
 

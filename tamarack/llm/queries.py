@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +74,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         content = f.read()
 
-    def each(coder: bpe.Bpe, text: str) -> tuple[int, str, str]:
-        ids = coder.encode(text)
-        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()
+    def each(coder: bpe.Bpe, ids: list[bytes]) -> list[list]:
+        return [[len(x) // 4 for x in ids], bpe.sha256(ids), bpe.sha256(coder.decode_all(ids))]
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.over_texts(docs, content, public_tokenizers.PATTERN, each, "n_tokens long, ids_sha256 string, decoded_sha256 string")

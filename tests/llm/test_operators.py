@@ -364,6 +364,45 @@ def test_bpe_with_ranks_out_of_order():
         assert not coder.queue.buckets and not any(coder.queue.levels[0])
 
 
+def test_bpe_words_share_a_queue(monkeypatch):
+    """Many words that are met for the first time go through one queue, not each through its own."""
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(RANKS), special_tokens={})
+    coder, calls = bpe.Bpe(bpe.parse_ranks(RANKS), public_tokenizers.PATTERN), []
+    own = bpe.Bpe.merge
+    monkeypatch.setattr(bpe.Bpe, "merge", lambda self, piece: calls.append(piece) or own(self, piece))
+    rnd = random.Random(12)
+    bits = ["an", "a", "aa", "th", "ing", "é", "日本", "🙂", "q", "-", "__", "7", "\x00"]
+    text = " ".join("".join(rnd.choice(bits) for _ in range(rnd.randint(3, 12))) for _ in range(30_000)) + " " + "ab" * 5000
+    assert list(coder.encode(text)) == enc.encode_ordinary(text)
+    assert len(calls) < 6000
+    assert not coder.queue.buckets and not any(any(x) for x in coder.queue.levels)
+
+
+def test_bpe_shared_queue_is_the_single_ones(monkeypatch):
+    """Also with merges that bring up lower ranks, pairs that overlap, and whatever is cut or forgotten where."""
+    rnd, lower = random.Random(13), 0
+    for k in range(150):
+        tokens = {"".join(rnd.choice("abc") for _ in range(rnd.randint(2, 4))).encode() for _ in range(rnd.randint(1, 25))}
+        ranks = {b: r for r, b in enumerate(rnd.sample([*tokens, *(bytes([b]) for b in range(256))], len(tokens) + 256), rnd.randrange(3))}
+        for name, value in (("FEW", 1), ("SHARED", rnd.choice([1, 30, 1 << 20])), ("KEPT", rnd.choice([5, 1000])), ("LONGEST_SHARED", rnd.choice([3, 100]))):
+            monkeypatch.setattr(bpe, name, value)
+        coder, single = bpe.Bpe(ranks, "[^ ]+| "), bpe.Bpe(ranks, "x")
+        own = bpe.Bpe.merge_one
+        monkeypatch.setattr(coder, "merge_one", lambda piece: (calls.append(piece), own(coder, piece))[1])
+        for _ in range(3):
+            words = ["".join(rnd.choice("aaabc") for _ in range(rnd.randint(0, 12))) for _ in range(60)]
+            calls = []
+            texts = [" ".join(words[i::4]) for i in range(4)] + [""]
+            found = coder.encode_all(texts)
+            lower += any(b" " != c and c not in ranks and len(c) <= bpe.LONGEST_SHARED for c in calls)
+            for text, ids in zip(texts, found):
+                pieces = text.replace(" ", "\0 \0").split("\0")
+                assert np.frombuffer(ids, "<u4").tolist() == [i for p in pieces if p for i in single.merge(p.encode())]
+            assert coder.decode_all(found) == [t.encode() for t in texts] and len(coder.packed) == len(coder.numbers) <= bpe.KEPT
+            assert not coder.queue.buckets and not any(any(x) for x in coder.queue.levels)
+    assert lower > 20
+
+
 def test_bpe_tables(spark):
     out = bpe.encode_texts(hard(spark), RANKS, public_tokenizers.PATTERN)
     back = {r.doc_id: bytes(r.text) for r in bpe.decode_ids(out.where("doc_id is not null"), RANKS).collect()}
